@@ -106,13 +106,19 @@ def required_contract(spark, sf_dir):
     return quality.violations(holes, schemas.required_paths(schemas.GAMES))
 
 
+def land(spark, sf_dir, location, kinds=("own", "opponent"), unknown_suffix=None):
+    """Land one response per document; endpoints with the suffix get an unknown URL."""
+    docs = documents(spark, sf_dir, kinds)
+    url = paths.request_url(F.col("endpoint"), BASE_URL)
+    if unknown_suffix:
+        url = F.when(F.col("endpoint").endswith(unknown_suffix), F.lit(BASE_URL + "leaderboards")).otherwise(url)
+    source.land_responses(docs.select(url.alias("url"), "body"), location)
+
+
 def land_response_metadata(spark, sf_dir):
-    """Land one response per document, read the landing table back."""
-    url = F.when(F.col("endpoint").endswith("/11"), F.lit(BASE_URL + "leaderboards")).otherwise(
-        paths.request_url(F.col("endpoint"), BASE_URL)
-    )
+    """Land the documents, read the landing table back; responses of one month have an unknown URL."""
     location = scratch_path(spark, "landing")
-    source.land_responses(documents(spark, sf_dir).select(url.alias("url"), "body"), location)
+    land(spark, sf_dir, location, unknown_suffix="/11")
     landed = ops.parse_documents(source.read_landing(spark, location))
     return landed.select("endpoint", "player", "period", "url", F.size("games").alias("n_games"))
 
@@ -133,12 +139,14 @@ def _target(spark, label):
 
 
 def incremental_load(spark, sf_dir):
-    """Own documents first, then all, then all again; the last run adds nothing."""
+    """Own documents first, then the others as well, then all again; the last run adds nothing."""
     target = _target(spark, "load")
-    load_documents(documents(spark, sf_dir, ("own",)), target, RUN_TIME)
-    everything = documents(spark, sf_dir)
-    for hours in (1, 2):
-        load_documents(everything, target, RUN_TIME + dt.timedelta(hours=hours))
+    location = scratch_path(spark, "landing")
+    for hours, kinds in enumerate([("own",), ("opponent",), ()]):
+        if kinds:
+            land(spark, sf_dir, location, kinds)
+        landed = source.read_landing(spark, location).select("endpoint", "body")
+        load_documents(landed, target, RUN_TIME + dt.timedelta(hours=hours))
     return flat_games(spark.table(target.games))
 
 

@@ -5,24 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rookery import schemas
-from rookery.bindings.archive import _target
+from rookery.bindings.archive import _target, land
 from rookery.bindings.messages import LOG_NAME, MESSAGE_PARTS, RESOURCE_TYPE, VALID_EVENTS_SQL
 from rookery.bindings.usage import _facts
 from rookery.bindings.views import (
-    BASE_URL,
     GAME_COLUMNS_SQL,
     RUN_TIME,
     V_ARCHIVE,
     V_FACTS,
     V_MSG,
-    documents,
     flat_games,
     messages,
     with_cte,
 )
-from rookery.functions import paths
 from rookery.session import scratch_path
-from rookery.sources import archive as source
 from rookery.streaming import counts, load
 from rookery.streaming import messages as message_stream
 from rookery.streaming.runs import file_stream, run_to_files, stream_session
@@ -30,8 +26,7 @@ from rookery.streaming.runs import file_stream, run_to_files, stream_session
 
 def _landed(spark, sf_dir):
     location = scratch_path(spark, "landing")
-    url = paths.request_url(F.col("endpoint"), BASE_URL)
-    source.land_responses(documents(spark, sf_dir).select(url.alias("url"), "body"), location)
+    land(spark, sf_dir, location)
     return location
 
 

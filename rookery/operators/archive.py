@@ -40,9 +40,11 @@ def explode_games(documents: DataFrame, keep_empty: bool = False) -> DataFrame:
     ``keep_empty`` leaves one row with NULL ``pos`` for a document without games,
     which is how the action ledger sees it.
     """
-    explode = F.posexplode_outer if keep_empty else F.posexplode
+    # Outer in both cases: before a plain explode Spark also tests the array for
+    # emptiness, which would parse every document a second time.
     others = [c for c in documents.columns if c != "games"]
-    return documents.select(*others, explode("games").alias("pos", "game"))
+    exploded = documents.select(*others, F.posexplode_outer("games").alias("pos", "game"))
+    return exploded if keep_empty else exploded.where(F.col("pos").isNotNull())
 
 
 def games_rows(exploded: DataFrame, run_time: Column | dt.datetime, strict: bool = True) -> DataFrame:
@@ -94,6 +96,7 @@ def leaderboard_players(boards: DataFrame, body: str = "body") -> DataFrame:
 
     Values that are not lists of users, such as a fetch time, hold no players.
     """
-    formats = boards.select(F.explode(F.from_json(body, "map<string,string>")).alias("format", "users"))
-    users = formats.select(F.explode(F.from_json("users", schemas.LEADERBOARD_USERS)).alias("user"))
+    # Outer, as in explode_games, so that no text is parsed twice.
+    formats = boards.select(F.explode_outer(F.from_json(body, "map<string,string>")).alias("format", "users"))
+    users = formats.select(F.explode_outer(F.from_json("users", schemas.LEADERBOARD_USERS)).alias("user"))
     return users.select(F.lower("user.username").alias("player")).where("player IS NOT NULL").distinct()

@@ -52,8 +52,14 @@ def remaining_by_ledger(grid: DataFrame, ledger: DataFrame, skip_failed: bool =
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows of ``left`` that ``right`` lacks; NULL equals NULL."""
-    return left.distinct().subtract(right.distinct())
+    """Distinct rows of ``left`` that ``right`` lacks; NULL equals NULL.
+
+    One aggregate over both inputs: a NULL-safe anti-join would shuffle them again
+    after they are made distinct.
+    """
+    sides = left.withColumn("in_right", F.lit(False)).union(right.withColumn("in_right", F.lit(True)))
+    groups = sides.groupBy(*left.columns).agg(F.bool_or("in_right").alias("in_right"))
+    return groups.where(~F.col("in_right")).select(*left.columns)
 
 
 def missing_keys(local: DataFrame, table: DataFrame, key: str) -> DataFrame:
