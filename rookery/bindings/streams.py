@@ -19,6 +19,7 @@ from rookery.bindings.views import (
     with_cte,
 )
 from rookery.session import scratch_path
+from rookery.sources import tables
 from rookery.streaming import counts, load
 from rookery.streaming import messages as message_stream
 from rookery.streaming.runs import file_stream, run_to_files, stream_session
@@ -58,7 +59,7 @@ def stream_load(spark, sf_dir):
         # The second start finds nothing new behind the checkpoint.
         stream = _landing_stream(spark, location).select("endpoint", "body")
         load.start_load(stream, target, f"{location}-checkpoint", RUN_TIME).awaitTermination()
-    return flat_games(spark.table(target.games))
+    return flat_games(tables.current(spark, target.games))
 
 
 def stream_dedup(spark, sf_dir):

@@ -99,7 +99,8 @@ def load_documents(
     unhandled.  ``run_time`` marks the rows of the run.
     """
     spark = documents.sparkSession
-    todo = documents if mode == "DEV" else pending_documents(documents, spark.table(target.ledger))
+    games, ledger = tables.current(spark, target.games), tables.current(spark, target.ledger)
+    todo = documents if mode == "DEV" else pending_documents(documents, ledger)
     if mode != "PROD":
         chosen = keys.select_endpoints(todo.select("endpoint").distinct(), mode, test_volume, dev_endpoint)
         todo = todo.join(chosen, "endpoint", "left_semi")
@@ -123,12 +124,11 @@ def load_documents(
 
     # A game's date follows from its own end time, so an earlier copy of a game
     # lies on the same day and the other partitions need not be read.
-    table = same_partitions(spark.table(target.games), "game_date", batch.select("game_date"))
-    fresh = new_games(batch, table)
+    fresh = new_games(batch, same_partitions(games, "game_date", batch.select("game_date")))
     actions = archive.action_ledger(staged, run_time)
     if mode == "PROD":
         months = actions.select("gcs_game_month")
-        seen = same_partitions(spark.table(target.ledger), "gcs_game_month", months).select("gcs_endpoint")
+        seen = same_partitions(ledger, "gcs_game_month", months).select("gcs_endpoint")
         actions = _stored(actions.join(seen, "gcs_endpoint", "left_anti"), "actions")
         tables.append(fresh, target.games, "game_date")
         tables.append(actions, target.ledger, "gcs_game_month")
@@ -179,7 +179,7 @@ def load_month(
     else:
         manifest = objects.list_objects(spark, root, period)
         month = F.to_date(F.lit(f"{period}/01"), "yyyy/MM/dd")
-        ledger = spark.table(target.ledger).where(F.col("gcs_game_month") == month)
+        ledger = tables.current(spark, target.ledger).where(F.col("gcs_game_month") == month)
         todo = keys.remaining_endpoints(
             keys.list_endpoints(manifest, period), ledger.select(F.col("gcs_endpoint").alias("endpoint"))
         )

@@ -37,6 +37,16 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_c
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({_column_ddl(schema)}) USING parquet{partitioned}")
 
 
+def current(spark: SparkSession, name: str) -> DataFrame:
+    """A table with the files it has now.
+
+    A session remembers the files it listed; those another session or stream has
+    appended since are only seen after a refresh.
+    """
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
 def append(rows: DataFrame, table: str, partition_column: str | None = None) -> None:
     """Append rows, matching columns by name.
 
