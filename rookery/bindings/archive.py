@@ -127,7 +127,7 @@ def append_table_roundtrip(spark, sf_dir):
     """Append the games in two halves to a day-partitioned table."""
     target = _target(spark, "roundtrip")
     rows = keys.keep_first(_games(spark, sf_dir), "game_id", ["endpoint", "part", "pos"])
-    rows = rows.select(*schemas.GAMES.fieldNames())
+    rows = tables.stage(rows.select(*schemas.GAMES.fieldNames()), "games")
     tables.append(rows.where("rated"), target.games, "game_date")
     tables.append(rows.where("NOT rated").select(*reversed(rows.columns)), target.games, "game_date")
     return flat_games(spark.table(target.games))

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rookery.bindings.views import V_WEEKLY, weekly, weekly_games, with_cte
+from rookery.bindings.views import V_WEEKLY, table, weekly, weekly_games, with_cte
 from rookery.functions import labels
 from rookery.operators import openings as ops
 
 TIME_CLASSES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 START, END = "1996-01-01", "1999-12-31"
 CHOSEN = ["Brand#2", "Brand#3", "Brand#4", "Brand#5", "Brand#6", "Brand#7"]
-MIN_TOTAL = 400
+MIN_TOP = 100
+MIN_TOTAL = 2400
 MIN_WEEKLY = 4
 
 
@@ -26,12 +27,12 @@ def _opening(spark, sf_dir, minimum=None):
 
 def top10_openings(spark, sf_dir):
     base = ops.dimension_filter(ops.week_range(weekly(spark, sf_dir), START, END), "all", None)
-    return _rounded(ops.top_openings(ops.by_opening(base, MIN_TOTAL)), "white_win_pct", "black_win_pct")
+    return _rounded(ops.top_openings(ops.by_opening(base, MIN_TOP)), "white_win_pct", "black_win_pct")
 
 
 def weekly_openings_build(spark, sf_dir):
-    """Archetypes are the even-numbered brands merged with the one before; the rest is unmapped."""
-    parts = spark.read.parquet(f"{sf_dir}/part.parquet").select(F.col("p_brand").alias("opening")).distinct()
+    """Brands up to 20 belong to a family of two; the others are unmapped."""
+    parts = table(spark, sf_dir, "part").select(F.col("p_brand").alias("opening")).distinct()
     number = F.regexp_extract("opening", r"(\d+)$", 1).cast("int")
     mapping = parts.where(number <= 20).select(
         "opening", F.concat(F.lit("Family "), F.floor(number / 2).cast("string")).alias("opening_archetype")
@@ -62,8 +63,8 @@ def win_pct_label(spark, sf_dir):
 
 
 def fill_undefined(spark, sf_dir):
-    filled = weekly(spark, sf_dir).withColumn("opening_archetype", labels.or_undefined(F.col("opening_archetype")))
-    return filled
+    named = labels.or_undefined(F.col("opening_archetype"))
+    return weekly(spark, sf_dir).withColumn("opening_archetype", named)
 
 
 def distinct_dimensions(spark, sf_dir):
@@ -180,7 +181,7 @@ ORACLE = {
   round(black_win_count / nullif(total_games, 0) * 100, 9) AS black_win_pct
 FROM (SELECT opening_archetype, {_SUMS} FROM v_weekly
       WHERE opening_archetype IS NOT NULL AND week_start BETWEEN DATE '{START}' AND DATE '{END}' GROUP BY ALL)
-WHERE total_games > {MIN_TOTAL}
+WHERE total_games > {MIN_TOP}
 ORDER BY total_games DESC, opening_archetype LIMIT 10""",
     "weekly_openings_build": """SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS week_start,
   o_orderpriority AS time_class,

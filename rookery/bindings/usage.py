@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rookery.bindings.views import USAGE_AS_OF, V_FACTS, job_log, plain, with_cte
 from rookery.functions import labels
 from rookery.operators import usage as ops
+from rookery.sources import tables
 
 START, END = "2024-01-08", "2024-01-21"
 USERS = ["user1@example.com", "user2@example.com", "user3@example.com", "user5@example.com", "user8@example.com"]
@@ -30,7 +31,10 @@ def _rounded(rows: DataFrame) -> DataFrame:
 
 
 def job_time_parts(spark, sf_dir):
-    return _facts(spark, sf_dir).select("job_id", *plain("job_creation_dt"), "job_created_date", "job_created_month")
+    """Days as text, as another system may hand them over, cast back on the way."""
+    facts = _facts(spark, sf_dir).withColumn("job_created_date", F.col("job_created_date").cast("string"))
+    facts = tables.with_dates(facts, ["job_created_date"])
+    return facts.select("job_id", *plain("job_creation_dt"), "job_created_date", "job_created_month")
 
 
 def job_unit_conversion(spark, sf_dir):

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions import paths
+from rookery.functions.periods import month_list
 from rookery.operators import archive, keys
 
 
@@ -23,11 +24,15 @@ def plan_requests(
     """Requests still to be made: player, period, endpoint, url.
 
     Players come from the leaderboards; what is done already from the landed
-    endpoints, the request ledger, or both.
+    endpoints, the request ledger, or both; of these only the months of the
+    window are compared.
     """
+    months = month_list(F.lit(start), F.lit(end))
     todo = keys.request_grid(archive.leaderboard_players(boards), start, end)
     if landed is not None:
-        todo = keys.remaining_endpoints(todo, landed)
+        period = F.right(F.col("endpoint"), F.lit(7))
+        todo = keys.remaining_endpoints(todo, landed.where(F.array_contains(months, period)))
     if ledger is not None:
-        todo = keys.remaining_by_ledger(todo, ledger, skip_failed)
+        in_window = ledger.where(F.array_contains(months, F.col("period")))
+        todo = keys.remaining_by_ledger(todo, in_window, skip_failed)
     return todo.select("player", "period", "endpoint", paths.request_url(F.col("endpoint"), base_url).alias("url"))

@@ -12,13 +12,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery import schemas
 from rookery.functions import paths
 from rookery.operators import archive, keys, quality
-from rookery.session import scratch_path
 from rookery.sources import archive as objects
 from rookery.sources import tables
 
@@ -53,17 +52,17 @@ class LoadResult:
     rejects: DataFrame
 
 
-def same_partitions(table: DataFrame, column: str, days: DataFrame) -> DataFrame:
-    """Rows of the table whose partition day occurs in the one column of ``days``.
+def on_days(column: str, days: DataFrame) -> Column:
+    """Filter of a partition column to the dates in the one column of ``days``.
 
     At most ``MAX_LISTED_DAYS`` dates reach the driver; more become a range.
     """
     day = days.columns[0]
     listed = [r[0] for r in days.distinct().limit(MAX_LISTED_DAYS + 1).collect()]
     if len(listed) <= MAX_LISTED_DAYS:
-        return table.where(F.col(column).isin(listed))
+        return F.col(column).isin(listed)
     low, high = days.agg(F.min(day), F.max(day)).first()
-    return table.where(F.col(column).between(low, high))
+    return F.col(column).between(low, high)
 
 
 def pending_documents(documents: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -74,7 +73,7 @@ def pending_documents(documents: DataFrame, ledger: DataFrame) -> DataFrame:
     documents for nothing.
     """
     months = documents.select(paths.endpoint_month(F.col("endpoint")).alias("month"))
-    done = same_partitions(ledger, "gcs_game_month", months).select(F.col("gcs_endpoint").alias("endpoint"))
+    done = ledger.where(on_days("gcs_game_month", months)).select(F.col("gcs_endpoint").alias("endpoint"))
     handled = keys.keep_missing(done.distinct(), documents, "endpoint")
     if handled.isEmpty():
         return documents
@@ -98,15 +97,20 @@ def load_documents(
     otherwise such rows are returned as rejects, and a malformed document stays
     unhandled.  ``run_time`` marks the rows of the run.
     """
-    spark = documents.sparkSession
-    games, ledger = tables.current(spark, target.games), tables.current(spark, target.ledger)
-    todo = documents if mode == "DEV" else pending_documents(documents, ledger)
+    if mode != "DEV":
+        documents = pending_documents(documents, tables.current(documents.sparkSession, target.ledger))
     if mode != "PROD":
-        chosen = keys.select_endpoints(todo.select("endpoint").distinct(), mode, test_volume, dev_endpoint)
-        todo = todo.join(chosen, "endpoint", "left_semi")
+        names = documents.select("endpoint").distinct()
+        chosen = keys.select_endpoints(names, mode, test_volume, dev_endpoint)
+        documents = documents.join(chosen, "endpoint", "left_semi")
+    return _load(documents, target, run_time, mode == "PROD", strict)
+
 
-    exploded = archive.explode_games(archive.parse_documents(todo, strict), keep_empty=True)
-    staged = _stored(exploded, "staged")
+def _load(documents: DataFrame, target: GameTables, run_time: dt.datetime, write: bool, strict: bool) -> LoadResult:
+    """Load documents known to be unhandled."""
+    spark = documents.sparkSession
+    exploded = archive.explode_games(archive.parse_documents(documents, strict), keep_empty=True)
+    staged = tables.stage(exploded, "staged")
     if strict:
         rejects = staged.where(F.lit(False)).select("endpoint", F.lit("").alias("reason"))
     else:
@@ -116,6 +120,9 @@ def load_documents(
 
     required = list(schemas.required_paths(schemas.GAMES))
     batch = archive.games_rows(staged, run_time, strict)
+    actions = archive.action_ledger(staged, run_time)
+    if staged.isEmpty():
+        return LoadResult(batch.select(*schemas.GAMES.fieldNames()), actions, archive.purge_list(actions), rejects)
     if strict:
         quality.check(batch, required)
     else:
@@ -124,16 +131,16 @@ def load_documents(
 
     # A game's date follows from its own end time, so an earlier copy of a game
     # lies on the same day and the other partitions need not be read.
-    fresh = new_games(batch, same_partitions(games, "game_date", batch.select("game_date")))
-    actions = archive.action_ledger(staged, run_time)
-    if mode == "PROD":
-        months = actions.select("gcs_game_month")
-        seen = same_partitions(ledger, "gcs_game_month", months).select("gcs_endpoint")
-        actions = _stored(actions.join(seen, "gcs_endpoint", "left_anti"), "actions")
+    same_days = on_days("game_date", batch.select("game_date"))
+    fresh = new_games(batch, tables.current(spark, target.games).where(same_days))
+    if write:
+        same_months = on_days("gcs_game_month", actions.select("gcs_game_month"))
+        seen = tables.current(spark, target.ledger).where(same_months).select("gcs_endpoint")
+        actions = tables.stage(actions.join(seen, "gcs_endpoint", "left_anti"), "actions")
         tables.append(fresh, target.games, "game_date")
         tables.append(actions, target.ledger, "gcs_game_month")
-        written = same_partitions(spark.table(target.games), "game_date", batch.select("game_date"))
-        fresh = written.where(F.col("ingested_dt") == F.lit(run_time).cast("timestamp"))
+        of_this_run = F.col("ingested_dt") == F.lit(run_time).cast("timestamp")
+        fresh = tables.current(spark, target.games).where(same_days & of_this_run)
     return LoadResult(fresh, actions, archive.purge_list(actions), rejects)
 
 
@@ -148,14 +155,6 @@ def new_games(batch: DataFrame, table: DataFrame) -> DataFrame:
     return unique.join(table.select("game_id"), "game_id", "left_anti").select(*schemas.GAMES.fieldNames())
 
 
-def _stored(rows: DataFrame, label: str) -> DataFrame:
-    """Rows written to the scratch folder and read back from there."""
-    spark = rows.sparkSession
-    location = scratch_path(spark, label)
-    rows.write.parquet(location)
-    return spark.read.schema(rows.schema).parquet(location)
-
-
 def load_month(
     spark: SparkSession,
     root: str,
@@ -175,18 +174,19 @@ def load_month(
     """
     limit = objects.MAX_EXPLICIT_OBJECTS
     if mode == "DEV":
-        few = [dev_endpoint]
-    else:
-        manifest = objects.list_objects(spark, root, period)
-        month = F.to_date(F.lit(f"{period}/01"), "yyyy/MM/dd")
-        ledger = tables.current(spark, target.ledger).where(F.col("gcs_game_month") == month)
-        todo = keys.remaining_endpoints(
-            keys.list_endpoints(manifest, period), ledger.select(F.col("gcs_endpoint").alias("endpoint"))
-        )
-        todo = keys.select_endpoints(todo, mode, test_volume)
-        few = [r["endpoint"] for r in todo.select("endpoint").limit(limit + 1).collect()]
-    if few:
-        documents = objects.read_objects(spark, root, period, few if len(few) <= limit else None)
-    else:
+        return _load(objects.read_objects(spark, root, period, [dev_endpoint]), target, run_time, False, strict)
+    manifest = objects.list_objects(spark, root, period)
+    month = F.to_date(F.lit(f"{period}/01"), "yyyy/MM/dd")
+    ledger = tables.current(spark, target.ledger).where(F.col("gcs_game_month") == month)
+    todo = keys.remaining_endpoints(
+        keys.list_endpoints(manifest, period), ledger.select(F.col("gcs_endpoint").alias("endpoint"))
+    )
+    todo = keys.select_endpoints(todo, mode, test_volume).select("endpoint")
+    few = [r["endpoint"] for r in todo.limit(limit + 1).collect()]
+    if not few:
         documents = spark.createDataFrame([], "endpoint string, body string")
-    return load_documents(documents, target, run_time, mode, strict, test_volume, dev_endpoint)
+    elif len(few) <= limit:
+        documents = objects.read_objects(spark, root, period, few)
+    else:
+        documents = objects.read_objects(spark, root, period).join(todo, "endpoint", "left_semi")
+    return _load(documents, target, run_time, mode == "PROD", strict)

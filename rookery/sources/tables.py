@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rookery.session import scratch_path
+
 
 def query(spark: SparkSession, sql: str, args: dict[str, Any] | None = None, **tables: DataFrame) -> DataFrame:
     """Result of a SQL text, lazily.
@@ -47,6 +51,23 @@ def current(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def stage(rows: DataFrame, label: str) -> DataFrame:
+    """Rows written to the shared scratch folder and read back from there.
+
+    Later steps start from the written files, whatever happens to the executors
+    that made them.
+    """
+    spark = rows.sparkSession
+    location = scratch_path(spark, label)
+    rows.write.parquet(location)
+    return spark.read.schema(rows.schema).parquet(location)
+
+
+def with_dates(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The named columns as dates."""
+    return rows.withColumns({c: F.to_date(c) for c in columns})
+
+
 def append(rows: DataFrame, table: str, partition_column: str | None = None) -> None:
     """Append rows, matching columns by name.
 

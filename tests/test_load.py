@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from rookery import schemas
 from rookery.operators import archive, quality
-from rookery.plans.load import load_documents, load_month, new_games, same_partitions
+from rookery.plans import load as plan
+from rookery.plans.load import load_documents, load_month, new_games, on_days
 from rookery.sources import archive as source
 from rookery.sources import tables
 from rookery.streaming.load import start_load
@@ -101,6 +102,21 @@ def test_load_month(spark, root, database):
     assert spark.table(database.games).count() == 4
 
 
+def test_many_objects_are_scanned_by_period(spark, root, database, monkeypatch):
+    monkeypatch.setattr(plan.objects, "MAX_EXPLICIT_OBJECTS", 1)
+    load_documents(documents(spark, {"player/a/games/2024/10": FILES["player/a/games/2024/10"]}), database, T1)
+    load_month(spark, str(root), "2024/10", database, T2)
+    assert sorted(games_of(spark, database)) == [101, 102, 103] and len(ledger_of(spark, database)) == 4
+
+
+def test_many_days_become_a_range(spark, monkeypatch):
+    monkeypatch.setattr(plan, "MAX_LISTED_DAYS", 2)
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-09', INTERVAL 2 DAYS)) AS d")
+    table = spark.sql("SELECT explode(sequence(DATE '2023-12-30', DATE '2024-01-20')) AS game_date")
+    assert table.where(on_days("game_date", days)).count() == 9
+    assert table.where(on_days("game_date", days.limit(2))).count() == 2
+
+
 def test_no_objects(spark, root, database):
     assert load_month(spark, str(root), "1999/01", database, T1).games.count() == 0
     assert spark.table(database.games).count() == 0 and spark.table(database.ledger).count() == 0
@@ -216,13 +232,13 @@ def test_table_scan_is_pruned_and_exchanged_once(spark, root, database):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         batch = archive.games_rows(archive.explode_games(archive.parse_documents(documents(spark, FILES))), T1)
-        table = same_partitions(spark.table(database.games), "game_date", batch.select("game_date"))
-        plan = new_games(batch, table)._jdf.queryExecution().executedPlan().toString()
+        table = spark.table(database.games).where(on_days("game_date", batch.select("game_date")))
+        text = new_games(batch, table)._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "LeftAnti" in plan and plan.count("Exchange hashpartitioning") == 2
-    assert "PartitionFilters: [game_date" in plan
-    assert plan.count("from_json") == 1
+    assert "LeftAnti" in text and text.count("Exchange hashpartitioning") == 2
+    assert "PartitionFilters: [game_date" in text
+    assert text.count("from_json") == 1
 
 
 def test_tables(spark):

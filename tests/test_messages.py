@@ -5,12 +5,15 @@ from __future__ import annotations
 import base64
 import datetime as dt
 import json
+import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
-from rookery import schemas
+from rookery import schemas, scratch_path
 from rookery.operators import messages as ops
-from rookery.operators import monitor
+from rookery.operators import monitor, quality
+from rookery.plans import monitoring
 from rookery.streaming import counts, load
 from rookery.streaming import messages as message_stream
 from rookery.streaming.runs import file_stream, run_to_files, stream_session
@@ -103,6 +106,14 @@ def test_monitor(spark):
     assert failed.columns == schemas.RUNS_FAILED.fieldNames()
     assert failed.first().stack_trace == "...(truncated)...\n" + "x" * 1500
 
+    name = f"t_{uuid.uuid4().hex}"
+    target = monitoring.MonitorTables.create(spark, name, scratch_path(spark, name))
+    monitoring.record_triggered(runs, target)
+    monitoring.record_failed(failures, target)
+    assert spark.table(target.triggered).count() == spark.table(target.failed).count() == 1
+    with pytest.raises(quality.ContractError, match="stack_trace: 1"):
+        monitoring.record_failed(failures.withColumn("stack_trace", F.lit(None).cast("string")), target)
+
 
 def test_stream_dedup_and_windows(spark, tmp_path):
     start = dt.datetime(2025, 1, 6)  # a Monday
