@@ -30,6 +30,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows over all cores when the scan has fewer splits than there are cores.
+
+    A table of many files is left as it is, without a shuffle.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def with_cte(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -159,7 +168,7 @@ def _player(number: Column) -> Column:
 
 
 def players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(F.lower("c_name").alias("player"))
+    return spread(table(spark, sf_dir, "customer")).select(F.lower("c_name").alias("player"))
 
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,7 +223,7 @@ def documents(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("own",
     The opponent's document holds a copy of it for open orders, no games for
     finished ones, and no ``games`` key for pending ones.
     """
-    orders = table(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders").drop("o_orderdate")
     key, cust, status, priority = (
         F.col(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     )
@@ -239,7 +248,7 @@ def documents(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("own",
         priority.alias("time_class"),
         F.lit("chess").alias("rules"),
         side(cust, F.when(status == "F", "win").when(status == "O", "resigned").otherwise("agreed")).alias("white"),
-        side(cust + 1, F.when(status == "F", "checkmated").when(status == "O", "win").otherwise("agreed")).alias("black"),
+        side(cust + 1, F.when(status == "F", "timeout").when(status == "O", "win").otherwise("agreed")).alias("black"),
         F.when(status != "P", F.struct((F.pmod(key, F.lit(50)) + 50.5).alias("white"), F.lit(71.25).alias("black"))).alias(
             "accuracies"
         ),
@@ -273,7 +282,7 @@ def documents(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("own",
             for k in kinds
         ]
     )
-    return orders.select(F.inline(docs))
+    return spread(orders).select(F.inline(docs))
 
 
 V_ARCHIVE = f"""v_orders AS (
@@ -292,7 +301,7 @@ V_ARCHIVE = f"""v_orders AS (
          'id-' || (o_custkey + 1) AS black_uuid,
          'customer#' || lpad(CAST(o_custkey + 1 AS VARCHAR), 9, '0') AS black_username,
          CAST(floor(o_totalprice / 100) AS BIGINT) AS black_rating,
-         CASE o_orderstatus WHEN 'F' THEN 'checkmated' WHEN 'O' THEN 'win' ELSE 'agreed' END AS black_result,
+         CASE o_orderstatus WHEN 'F' THEN 'timeout' WHEN 'O' THEN 'win' ELSE 'agreed' END AS black_result,
          CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderkey % 50 + 50.5 AS DOUBLE) END AS white_accuracy,
          CASE WHEN o_orderstatus <> 'P' THEN CAST(71.25 AS DOUBLE) END AS black_accuracy,
          CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'https://x/openings/Given-Line-' || (o_orderkey % 25)

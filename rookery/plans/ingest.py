@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions import paths
-from rookery.functions.periods import month_list
+from rookery.functions.periods import period
 from rookery.operators import archive, keys
 
 
@@ -27,12 +27,11 @@ def plan_requests(
     endpoints, the request ledger, or both; of these only the months of the
     window are compared.
     """
-    months = month_list(F.lit(start), F.lit(end))
+    first, last = period(F.lit(start)), period(F.lit(end))
     todo = keys.request_grid(archive.leaderboard_players(boards), start, end)
     if landed is not None:
-        period = F.right(F.col("endpoint"), F.lit(7))
-        todo = keys.remaining_endpoints(todo, landed.where(F.array_contains(months, period)))
+        landed_period = F.right(F.col("endpoint"), F.lit(7))
+        todo = keys.remaining_endpoints(todo, landed.where(landed_period.between(first, last)))
     if ledger is not None:
-        in_window = ledger.where(F.array_contains(months, F.col("period")))
-        todo = keys.remaining_by_ledger(todo, in_window, skip_failed)
+        todo = keys.remaining_by_ledger(todo, ledger.where(F.col("period").between(first, last)), skip_failed)
     return todo.select("player", "period", "endpoint", paths.request_url(F.col("endpoint"), base_url).alias("url"))
