@@ -29,6 +29,9 @@ SQL_SETTINGS = {
 
 SCRATCH_SETTING = "spark.checkpoint.dir"
 
+# Temporary folders of local sessions that name none, by application.
+_local_roots: dict[str, str] = {}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`SQL_SETTINGS` to a running session."""
@@ -62,8 +65,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError(f"set {SCRATCH_SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="rookery-")
-        spark.conf.set(SCRATCH_SETTING, root)
+        application = spark.conf.get("spark.app.id")
+        root = _local_roots.get(application) or tempfile.mkdtemp(prefix="rookery-")
+        _local_roots[application] = root
     return root.rstrip("/")
 
 

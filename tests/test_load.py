@@ -9,7 +9,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from rookery import schemas
+from rookery import schemas, session
 from rookery.operators import archive, quality
 from rookery.plans import load as plan
 from rookery.plans.load import load_documents, load_month, new_games, on_days
@@ -265,3 +265,21 @@ def test_leaderboard_snapshots(spark, tmp_path):
     dated = spark.read.parquet(str(tmp_path / "dated"))
     assert dated.count() == 2 and dated.first().snapshot_date == T1.date()
     assert archive.leaderboard_players(dated).count() == 1
+
+
+class Conf(dict):
+    """Stand-in for a session: only its settings."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_scratch_folder(spark):
+    assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
+    shared = Conf({"spark.checkpoint.dir": "hdfs://shared/", "spark.master": "yarn"})
+    assert session.scratch_path(shared, "a").startswith("hdfs://shared/a-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.scratch_root(Conf({"spark.master": "yarn"}))
+    local = Conf({"spark.master": "local[2]", "spark.app.id": "app"})
+    assert session.scratch_root(local) == session.scratch_root(local)
