@@ -112,6 +112,7 @@ WHERE job_created_date + INTERVAL 1 DAY <= (SELECT max(job_creation_dt) FROM v_f
   count(*) AS total_games, count(*) FILTER (white_result = 'win') AS white_win_count,
   count(*) FILTER (black_result = 'win') AS black_win_count
 FROM v_copies
-WHERE date_trunc('week', game_date) + INTERVAL 7 DAY <= (SELECT TIMESTAMP '1970-01-01' + to_seconds(max(end_time)) FROM v_games) - INTERVAL 1 DAY
+WHERE date_trunc('week', game_date) + INTERVAL 7 DAY
+  <= (SELECT TIMESTAMP '1970-01-01' + to_seconds(max(end_time)) FROM v_games) - INTERVAL 1 DAY
 GROUP BY ALL""",
 }

@@ -70,7 +70,12 @@ def main(argv: list[str]) -> int:
     from rookery import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session("oracle", "local[8]", {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"})
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+    }
+    spark = build_session("oracle", "local[8]", settings)
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     oracle, failed = entry.oracle_sql(), 0
