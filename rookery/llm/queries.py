@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.llm.mixing import mix_copies
+from rookery.llm.quality_rules import quality_rules
+from rookery.llm.simhash import near_duplicates
 from rookery.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,5 +55,27 @@ taken AS (
 SELECT *, size * copies AS taken FROM taken
 """
 
-QUERIES: dict[str, Query] = {"op1_mix_sources": op1_mix_sources}
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of every document."""
+    return quality_rules(table(spark, sf_dir, "documents"), keep=("doc_id",)).select(
+        "row.doc_id",
+        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"),
+        "nearest_lang",
+        "char_divergence",
+        "word_divergence",
+    )
+
+
+def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return found.select("row.doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES: dict[str, Query] = {
+    "op1_mix_sources": op1_mix_sources,
+    "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
+    "op10_quality_rules": op10_quality_rules,
+}
 ORACLE: dict[str, str] = {"op1_mix_sources": OP1_SQL}
