@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rookery.llm.mixing import mix_copies
 from rookery.llm.quality_rules import quality_rules
 from rookery.llm.simhash import near_duplicates
+from rookery.llm.suffix_dedup import remove_repeats
 from rookery.llm.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +68,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What remains of every document without strings of 50 bytes that an earlier one holds."""
+    found = remove_repeats(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), keep=("doc_id",))
@@ -75,6 +82,7 @@ def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op10_quality_rules": op10_quality_rules,
 }
