@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.llm.mixing import mix_copies
+from rookery.llm.pieces import encode_pieces
 from rookery.llm.quality_rules import quality_rules
 from rookery.llm.simhash import near_duplicates
 from rookery.llm.suffix_dedup import remove_repeats
 from rookery.llm.tables import table
+from rookery.llm.token_files import read_documents, read_tokens, with_checksums, write_tokens
+from rookery.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,12 +71,38 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each document's ids lie in the token files, and their checksum, read back from the files."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    write_tokens(table(spark, sf_dir, "documents"), path, tokenizer, end_id=1)
+    sums = with_checksums(read_tokens(spark, path)).withColumnsRenamed({"part": "_part", "row": "_row"})
+    same = (F.col("part") == F.col("_part")) & (F.col("row") == F.col("_row"))
+    return read_documents(spark, path).join(sums, same).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of every document without strings of 50 bytes that an earlier one holds."""
     found = remove_repeats(table(spark, sf_dir, "documents"), keep=("doc_id",))
     return found.select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and digest of every document's ids, and digest of what they decode to."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    found = encode_pieces(table(spark, sf_dir, "documents"), model, keep=("doc_id",))
+    return found.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), keep=("doc_id",))
@@ -82,7 +111,9 @@ def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_token_files": op2_token_files,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_sentencepiece": op6_sentencepiece,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op10_quality_rules": op10_quality_rules,
 }
