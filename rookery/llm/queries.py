@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rookery.llm.licenses import license_sql, scan_licenses
 from rookery.llm.mixing import mix_copies
 from rookery.llm.pieces import encode_pieces
 from rookery.llm.quality_rules import quality_rules
@@ -83,6 +84,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, path).join(sums, same).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    found = scan_licenses(table(spark, sf_dir, "documents"), keep=("doc_id",))
+    return found.select("row.doc_id", *found.drop("row", "matches").columns)
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of every document without strings of 50 bytes that an earlier one holds."""
     found = remove_repeats(table(spark, sf_dir, "documents"), keep=("doc_id",))
@@ -112,9 +119,10 @@ def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_files": op2_token_files,
+    "op3_license_scan": op3_license_scan,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1_SQL}
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op3_license_scan": license_sql()}
