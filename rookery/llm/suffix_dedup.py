@@ -39,8 +39,8 @@ SPAN = LENGTH - CORE + 1
 BLOCK = 1 << 16
 #: Entries a task gathers before it hands them to the ranges.
 FLUSH_ENTRIES = 400_000
-#: Text bytes for which there is one range of anchor hashes (about 1 million entries).
-RANGE_BYTES = 12_000_000
+#: Text bytes for which there is one range of anchor hashes (about 300,000 entries).
+RANGE_BYTES = 4_000_000
 #: Pieces of one suffix array task; anchors with more are spread over several.
 TASK_PIECES = 20_000
 #: Symbols of one suffix array.
