@@ -101,7 +101,8 @@ def fingerprint_links(prints: DataFrame, paired_bucket: int = PAIRED_BUCKET) ->
         "buckets",
     )
     twos = buckets.filter("n = 2").select("a", "b").filter(_near("a", "b"))
-    larger = buckets.filter("n > 2").select(F.col("key").alias("_key"), "n")
+    # These keys grow with the corpus: never broadcast, the same plan at any size.
+    larger = buckets.filter("n > 2").select(F.col("key").alias("_key"), "n").hint("merge")
     shared = variants.join(larger, F.col("key") == F.col("_key")).select("key", "n", "fingerprint")
     shared = staged(shared, "shared-variants")
     few = shared.filter(F.col("n") <= paired_bucket)
