@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rookery.llm.languages import identify_languages, train_languages
 from rookery.llm.licenses import license_sql, scan_licenses
 from rookery.llm.mixing import mix_copies
 from rookery.llm.pieces import encode_pieces
 from rookery.llm.quality_rules import quality_rules
 from rookery.llm.simhash import near_duplicates
 from rookery.llm.suffix_dedup import remove_repeats
-from rookery.llm.tables import table
+from rookery.llm.tables import held_out, table
 from rookery.llm.token_files import read_documents, read_tokens, with_checksums, write_tokens
 from rookery.session import scratch_path
 
@@ -110,6 +111,21 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two thirds of the tagged ones."""
+    docs = table(spark, sf_dir, "documents")
+    apart = held_out(F.col("doc_id"), 3, 1)
+    model = train_languages(docs.filter(~apart))
+    found = identify_languages(docs, model, keep=("doc_id",))
+    return found.select(
+        "row.doc_id",
+        held_out(F.col("row.doc_id"), 3, 1).alias("held_out"),
+        "lang_pred",
+        "score",
+        F.size("mixture").alias("n_languages"),
+    )
+
+
 def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"), keep=("doc_id",))
@@ -122,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op3_license_scan": op3_license_scan,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_language_id": op7_language_id,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op10_quality_rules": op10_quality_rules,
 }
