@@ -11,10 +11,11 @@ from rookery.llm.languages import identify_languages, train_languages
 from rookery.llm.licenses import license_sql, scan_licenses
 from rookery.llm.mixing import mix_copies
 from rookery.llm.pieces import encode_pieces
+from rookery.llm.quality_model import score_quality, text_features, train_quality
 from rookery.llm.quality_rules import quality_rules
 from rookery.llm.simhash import near_duplicates
 from rookery.llm.suffix_dedup import remove_repeats
-from rookery.llm.tables import held_out, table
+from rookery.llm.tables import held_out, staged, table
 from rookery.llm.token_files import read_documents, read_tokens, with_checksums, write_tokens
 from rookery.session import scratch_path
 
@@ -91,6 +92,19 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", *found.drop("row", "matches").columns)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels of four fifths of them."""
+    stats = staged(text_features(table(spark, sf_dir, "documents"), keep=("doc_id",)), "text-features")
+    labels = table(spark, sf_dir, "labels")
+    model = train_quality(stats, labels.filter(~held_out(F.col("doc_id"), 5, 0)))
+    return score_quality(stats, model).select(
+        "row.doc_id",
+        held_out(F.col("row.doc_id"), 5, 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What remains of every document without strings of 50 bytes that an earlier one holds."""
     found = remove_repeats(table(spark, sf_dir, "documents"), keep=("doc_id",))
@@ -136,6 +150,7 @@ QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_files": op2_token_files,
     "op3_license_scan": op3_license_scan,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_language_id": op7_language_id,

@@ -1,0 +1,80 @@
+from __future__ import annotations
+
+import re
+
+import numpy as np
+
+from rookery.llm import quality_model as qm
+from rookery.llm.queries import QUERIES
+
+
+def test_features_of_odd_texts():
+    for data in (b"", b" \n", b"x", b"\n\n", "é".encode() * 3, b"a " * 100_000, b"#"):
+        found = qm.features(data)
+        assert len(found) == len(qm.FEATURES) and np.isfinite(found).all()
+    found = dict(zip(qm.FEATURES, qm.features(b"a a a b### | c.\na a a b!")))
+    assert found["equal_neighbours"] == 4 / 10 and found["longest_run"] == np.log1p(3)
+    assert found["bars"] == 0.1 and found["bare_words"] == 0.1 and found["symbol_words"] == 0.2 and found["lines"] == 0.2
+
+
+def test_lasso_meets_the_optimality_conditions():
+    rng = np.random.default_rng(1)
+    held = (rng.random((400, 12)) < 0.5).astype(float)
+    labels = (rng.random(400) < 1 / (1 + np.exp(-(2 * held[:, 0] - 2 * held[:, 1])))).astype(float)
+    settings = qm.Settings(penalty=0.01, rounds=3000)
+    bias, weights = qm._lasso(held, labels, settings)
+    slope = held.T @ (1 / (1 + np.exp(-(held @ weights + bias))) - labels) / 400
+    used = weights != 0
+    assert used[:2].all() and not used.all()
+    assert np.allclose(slope[used], -0.01 * np.sign(weights[used]), atol=1e-4)
+    assert (np.abs(slope[~used]) <= 0.01 + 1e-4).all()
+
+
+def test_column_equals_plain_rules(spark):
+    rng = np.random.default_rng(2)
+    values = rng.random((600, len(qm.FEATURES)))
+    labels = ((values[:, 1] < 0.6) & (values[:, 3] < 0.7)).astype(float)
+    model = qm.fit_rules(values, labels)
+    plain = np.full(600, model.intercept)
+    for path, weight in model.rules:
+        plain[qm._holds(values, path)] += weight
+    plain = 1 / (1 + np.exp(-plain))
+    frame = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(values)], ["row", *qm.FEATURES])
+    got = {r.row: r.score for r in qm.score_quality(frame, model).collect()}
+    assert np.allclose([got[i] for i in range(600)], plain)
+    assert ((plain >= 0.5) == labels).mean() > 0.97
+    assert len(model.rules) < 60
+
+
+def test_held_out_accuracy_over_all_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    found = QUERIES["op4_quality_classifier"](spark, sf)
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    assert found.count() == spark.read.parquet(f"{sf}/documents.parquet").count()
+    rows = found.filter("held_out").join(labels, "doc_id").collect()
+    good = [r.score for r in rows if r.quality == 1]
+    bad = [r.score for r in rows if r.quality == 0]
+    auc = np.mean([(g > b) + (g == b) / 2 for g in good for b in bad])
+    assert auc > 0.9 and np.mean([r.predicted == r.quality for r in rows]) > 0.9
+
+
+def test_sample_is_bounded_and_labels_may_be_odd(spark, make_docs):
+    rows = [(i, "word " * i + "end", "en", "s") for i in range(60)] + [(3, None, None, None), (None, "x", "en", "s")]
+    docs = make_docs(rows).selectExpr("*", "1 as score", "2 as symbols", "3 as row")
+    stats = qm.text_features(docs, tuple(docs.columns))
+    assert stats.count() == len(rows)
+    labels = spark.createDataFrame(
+        [(i, i % 2, 0) for i in range(60)] + [(None, 1, 0), (5, None, 0), (5, 1, 1), (999, 1, 0)],
+        "doc_id long, quality int, toxic int",
+    )
+    model = qm.train_quality(stats, labels, qm.Settings(max_rows=30))
+    scores = [r.score for r in qm.score_quality(stats, model).collect()]
+    assert len(scores) == len(rows) and all(0 <= s <= 1 for s in scores)
+    constant = qm.train_quality(stats, labels.filter("quality = 1"))
+    assert constant.rules == () and 0.5 < 1 / (1 + np.exp(-constant.intercept)) < 1
+    assert qm.train_quality(stats, labels.filter("false")).rules == ()
+    assert qm.score_quality(stats.filter("false"), model).collect() == []
+
+
+def test_no_identity_among_the_features():
+    assert not {n for n in qm.FEATURES if re.search("id|lang|source|label", n) and n != "distinct_words"}
