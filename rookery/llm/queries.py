@@ -17,6 +17,7 @@ from rookery.llm.simhash import near_duplicates
 from rookery.llm.suffix_dedup import remove_repeats
 from rookery.llm.tables import held_out, staged, table
 from rookery.llm.token_files import read_documents, read_tokens, with_checksums, write_tokens
+from rookery.llm.topk import top_inner_products
 from rookery.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +64,25 @@ SELECT *, size * copies AS taken FROM taken
 """
 
 
+def op9_top_inner_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products of every fiftieth vector with all others."""
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
+OP9_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS uid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.uid, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.uid <> c.uid WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of every document."""
     return quality_rules(table(spark, sf_dir, "documents"), keep=("doc_id",)).select(
@@ -155,6 +175,7 @@ QUERIES: dict[str, Query] = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_language_id": op7_language_id,
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
+    "op9_top_inner_products": op9_top_inner_products,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op3_license_scan": license_sql()}
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op3_license_scan": license_sql(), "op9_top_inner_products": OP9_SQL}
