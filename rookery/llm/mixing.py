@@ -80,36 +80,42 @@ def mix_copies(
     """
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
     spare = "greatest(length(bin(size)) - 8, 0)"
-    rows = staged(
+    rows = (
         docs.select(
             F.struct(*(keep or docs.columns)).alias("row"),
             F.col(source_column).alias("source"),
+            # The source as a key that is never null.
+            F.coalesce(F.concat(F.lit("="), F.col(source_column).cast("string")), F.lit("")).alias("_source"),
             word_count(F.col(text_column)).alias("size"),
             key.alias("_key"),
             F.xxhash64(text_column).alias("_same"),
         )
         .withColumn("_stratum", F.expr(f"shiftleft(shiftright(size, {spare}), {spare})"))
-        .withColumn("_part", F.substring("_key", 1, KEY_DIGITS)),
-        "mix",
+        .withColumn("_part", F.substring("_key", 1, KEY_DIGITS))
     )
-    cells = rows.groupBy("source", "_stratum", "_part").agg(F.count(F.lit(1)).alias("_n"))
-    lower = Window.partitionBy("source").orderBy("_stratum").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy("source", "_stratum").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # The counts read a narrow copy; whole rows move once, to be numbered.
+    sizes = staged(rows.select("source", "_source", "size", "_stratum", "_part"), "mix-sizes")
+    cells = sizes.groupBy("_source", "_stratum", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    lower = Window.partitionBy("_source").orderBy("_stratum").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("_source", "_stratum").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     strata = (
-        rows.groupBy("source", "_stratum")
+        sizes.groupBy("_source", "_stratum")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("source", "_stratum", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_below"))
+        .select("_source", "_stratum", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_below"))
     )
-    starts = cells.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    starts = _matched(starts, strata, ("source", "_stratum")).drop("_n")
-    within = Window.partitionBy("source", "_stratum", "_part").orderBy("_key", "_same")
-    ranked = _matched(
-        rows.withColumn("_rank", F.row_number().over(within)), starts, ("source", "_stratum", "_part")
-    ).withColumn("_rank", F.col("_rank") + F.col("_before") + F.col("_below"))
-    ranked = _matched(ranked, source_targets(rows, weights, limit), ("source",))
+    starts = cells.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))).drop("_n")
+    targets = source_targets(sizes, weights, limit).withColumn(
+        "_source", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))
+    )
+    starts = starts.join(strata, ["_source", "_stratum"]).join(targets.drop("source"), "_source")
+    cell = ["_source", "_stratum", "_part"]
+    numbered = rows.withColumn("_row", F.row_number().over(Window.partitionBy(*cell).orderBy("_key", "_same")))
+    # The starts grow with the corpus: never broadcast, and dealt like the numbered rows.
+    ranked = numbered.join(starts.hint("merge"), cell)
+    rank = F.col("_row") + F.col("_before") + F.col("_below")
     step = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = _unit(F.concat(F.lit(seed), F.col("place").cast("string")))
-    copies = F.floor(F.col("_rank") * step + offset) - F.floor((F.col("_rank") - 1) * step + offset)
+    copies = F.floor(rank * step + offset) - F.floor((rank - 1) * step + offset)
     return ranked.select("row", "source", "size", "source_size", "target", copies.cast("long").alias("copies"))
 
 
@@ -121,10 +127,3 @@ def mix(docs: DataFrame, **options: object) -> DataFrame:
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
         .select("row.*")
     )
-
-
-def _matched(left: DataFrame, right: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Inner join in which null keys equal each other."""
-    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
-    same = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
-    return left.join(renamed, same).drop(*(f"_right_{k}" for k in keys))

@@ -258,7 +258,7 @@ def quality_rules(
     """Verdict on every document: row (the columns of ``keep``, or all), the base counts, divergences, kept.
 
     Two passes over the texts: the first finds the common words of each
-    language, the second counts.  Divergences are held against the nearest
+    language, the second counts (a third, if the texts themselves are kept).  Divergences are held against the nearest
     language by words, so a missing or wrong language tag does no harm to its document.
 
     Null text counts as empty and fails the base rules, as any text below
@@ -268,6 +268,10 @@ def quality_rules(
     vocabulary = sorted({bytes(r.word) for r in common_words(docs, rules.common_share, text_column, lang_column).collect()})
     kept_columns = tuple(keep or docs.columns)
     carried = kept_columns if lang_column in kept_columns else (*kept_columns, lang_column)
-    stats = staged(text_statistics(docs, vocabulary, rules, carried, text_column), "quality-stats")
+    narrow = tuple(c for c in carried if c != text_column)
+    stats = staged(text_statistics(docs, vocabulary, rules, narrow, text_column), "quality-stats")
     refs = references(stats, len(vocabulary), rules, f"row.`{lang_column}`")
+    if text_column in kept_columns:
+        # Counting again costs less than a second copy of all texts.
+        stats = text_statistics(docs, vocabulary, rules, carried, text_column)
     return judged(stats, refs, rules, len(vocabulary))

@@ -146,6 +146,29 @@ def _bucket_parts(members: DataFrame) -> DataFrame:
     return cut.select("key", "fingerprint", "cut", rest.alias("rest"), whole.alias("whole"))
 
 
+def _classes(prints: DataFrame, paired_bucket: int) -> DataFrame:
+    """fingerprint, name: what names its component, the smallest (none, id, t1, t2) of all its documents."""
+    nodes = staged(prints.groupBy("fingerprint").agg(F.min("named").alias("first")), "nodes")
+    linked = components(fingerprint_links(nodes.select("fingerprint"), paired_bucket))
+    firsts = nodes.join(linked, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "first", F.coalesce("component", "fingerprint").alias("component")
+    )
+    names = firsts.groupBy("component").agg(F.min("first").alias("name")).withColumnRenamed("component", "_component")
+    labels = firsts.join(names, F.col("component") == F.col("_component")).select("fingerprint", "name")
+    return staged(labels, "classes")
+
+
+def _named(docs: DataFrame, id_column: str, text_column: str) -> Column:
+    """What a document is known by: its id, null last, then two hashes of its text."""
+    row_id, text = F.col(id_column), F.col(text_column)
+    return F.struct(
+        row_id.isNull().alias("none"),
+        row_id.alias("id"),
+        F.xxhash64(text).alias("t1"),
+        F.xxhash64(text, F.lit(1)).alias("t2"),
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     keep: tuple[str, ...] | None = None,
@@ -153,35 +176,45 @@ def near_duplicates(
     text_column: str = "text",
     paired_bucket: int = PAIRED_BUCKET,
 ) -> DataFrame:
-    """Every document with its class: row (the columns of ``keep``, or all), fingerprint, component_id, is_first.
+    """Every document with its class: row (the columns of ``keep``, or all), fingerprint, component_id.
 
     Documents whose fingerprints differ in at most two bits are linked;
-    component_id is the smallest id reachable, ``is_first`` marks one row of
-    each component (of that id).  Equal fingerprints are one node, so copies are never paired.
+    component_id is the smallest id reachable.  Equal fingerprints are one
+    node, so copies are never paired.
 
     Null text counts as empty: fingerprint zero, linked like any other.  Null
     ids come last: they name a component only where it has no other id.
     Repeated rows are copies of each other.  An empty table gives no rows.
     """
-    kept = tuple(keep or docs.columns)
-    carried = kept if id_column in kept else (*kept, id_column)
-    prints = fingerprints(docs, carried, text_column).withColumn("uid", F.monotonically_increasing_id())
-    prints = staged(prints, "fingerprints")
-    id_field = F.col(f"row.`{id_column}`")
-    named = F.struct(id_field.isNull().alias("none"), id_field.alias("id"), F.col("uid"))
-    nodes = staged(prints.groupBy("fingerprint").agg(F.min(named).alias("first")), "nodes")
-    linked = components(fingerprint_links(nodes.select("fingerprint"), paired_bucket))
-    firsts = nodes.join(linked, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "first", F.coalesce("component", "fingerprint").alias("component")
-    )
-    names = firsts.groupBy("component").agg(F.min("first").alias("name")).withColumnRenamed("component", "_component")
-    labels = firsts.join(names, F.col("component") == F.col("_component")).select(
-        F.col("fingerprint").alias("_fingerprint"), "name"
+    base = docs.select(
+        F.struct(F.struct(*(keep or docs.columns)).alias("row"), _named(docs, id_column, text_column).alias("named")).alias("row"),
+        F.col(text_column).alias("text"),
     )
-    labels = staged(labels, "classes")
+    prints = fingerprints(base, ("row",), "text").select("row.row.row", "row.row.named", "fingerprint")
+    prints = staged(prints, "fingerprints")
+    labels = _classes(prints, paired_bucket).withColumnRenamed("fingerprint", "_fingerprint")
     return prints.join(labels, F.col("fingerprint") == F.col("_fingerprint")).select(
-        "row",
-        "fingerprint",
-        F.col("name.id").alias("component_id"),
-        (F.col("uid") == F.col("name.uid")).alias("is_first"),
+        "row", "fingerprint", F.col("name.id").alias("component_id")
     )
+
+
+def one_of_each(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", paired_bucket: int = PAIRED_BUCKET
+) -> DataFrame:
+    """One document of each component of near duplicates, that of the smallest id, with the columns of ``docs``.
+
+    Texts stay where they are until the ids and text hashes of the documents to
+    keep are known; these are unique, so large groups of copies don't meet in one task.
+    """
+    named = _named(docs, id_column, text_column)
+    narrow = docs.select(named.alias("named"), F.col(text_column).alias("text"))
+    prints = staged(fingerprints(narrow, ("named",), "text").select("row.named", "fingerprint"), "fingerprints")
+    names = _classes(prints, paired_bucket).select("name").distinct()
+
+    def keys(name: str) -> list[Column]:
+        fields = [F.col(f"{name}.{f}") for f in ("id", "t1", "t2")]
+        return [F.xxhash64(*fields).alias("_k1"), F.xxhash64(*fields, F.lit(1)).alias("_k2")]
+
+    rows = docs.select(F.struct("*").alias("row"), named.alias("named")).select("row", *keys("named"))
+    kept = rows.join(names.select(*keys("name")), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])
+    return kept.select("row.*")

@@ -87,7 +87,14 @@ def test_documents_with_gaps_copies_and_clashing_names(spark, make_docs):
         least[i] = min(ids) if ids else None
     want = sorted((str(rows[i][0]), rows[i][1] or "", str(least[i])) for i in least)
     assert sorted((str(r.row.doc_id), r.row.text or "", str(r.component_id)) for r in found) == want
-    assert sum(r.is_first for r in found) == len(set(comp.values()))
+    kept = simhash.one_of_each(docs)
+    assert kept.columns == docs.columns
+    firsts = {}
+    for i, c in comp.items():
+        firsts.setdefault(c, []).append((rows[i][0] is None, rows[i][0] or 0))
+    want = sorted(str(None if none else i) for none, i in map(min, firsts.values()))
+    assert sorted(str(r.doc_id) for r in kept.collect()) == want
+    assert simhash.one_of_each(docs.filter("false")).collect() == []
     assert simhash.near_duplicates(docs.filter("false")).collect() == []
 
 
