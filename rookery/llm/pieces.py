@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -12,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rookery.llm.distinct import DistinctTable, packed
 from rookery.llm.tables import utf8
 
 # Fixed value: SentencePiece writes a space as this marker.
 MARKER = "▁"
-#: Distinct chunks a task remembers before it starts its table anew.
+#: Distinct chunks a worker remembers.
 TABLE_CHUNKS = 800_000
 #: Rows handed on at once.
 ROWS = 500
@@ -47,12 +47,7 @@ class ChunkCodec:
         self.chunks = re.compile(f"{MARKER}+[^{MARKER}]*")
         self.simple = re.compile(f"{MARKER}[^{MARKER}]+")
         self.lead = self.model.encode("x")
-        self._reset()
-
-    def _reset(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids = array("i")
-        self.ends = array("q", [0])
+        self.table = DistinctTable(self._encode_chunks, TABLE_CHUNKS)
 
     def _keeps_input(self) -> bool:
         """Whether the model leaves characters as they are and puts one marker in front."""
@@ -65,37 +60,24 @@ class ChunkCodec:
         if self.whole or not text:
             return np.array(self.model.encode(text), np.int32)
         chunks = self.chunks.findall(MARKER + text.replace(" ", MARKER))
-        places = list(map(self.place.get, chunks))
-        if None in places:
-            if len(self.place) > TABLE_CHUNKS:
-                self._reset()
-            self._add([c for c in dict.fromkeys(chunks) if c not in self.place])
-            places = list(map(self.place.__getitem__, chunks))
-        at = np.array(places, np.int64)
-        ends, ids = np.frombuffer(self.ends, np.int64), np.frombuffer(self.ids, np.int32)
-        first, counts = ends[at], ends[at + 1] - ends[at]
-        shift = np.repeat(first - np.append(0, np.cumsum(counts)[:-1]), counts)
-        return ids[np.arange(len(shift)) + shift]
-
-    def _add(self, chunks: list[str]) -> None:
+        return self.table.ids(chunks)
+
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
         """Segment new chunks: those of one marker and a word all at once, where each starts at the next marker."""
+        found: dict[str, bytes] = {}
         plain = [c for c in chunks if self.simple.fullmatch(c)]
         if plain:
             ids = np.array(self.model.encode("".join(plain)[1:].replace(MARKER, " ")), np.int32)
             starts = np.flatnonzero(self.starts_chunk[ids])
             if len(starts) != len(plain):
                 raise ValueError("pieces cross the ends of chunks")
-            self._append(plain, ids, np.append(starts[1:], len(ids)))
+            data, ends = ids.tobytes(), [*(4 * starts[1:]).tolist(), 4 * len(ids)]
+            found = {c: data[a:b] for c, a, b in zip(plain, (4 * starts).tolist(), ends)}
         for chunk in chunks:
-            if not self.simple.fullmatch(chunk):
+            if chunk not in found:
                 ids = self.model.encode("x" + chunk.replace(MARKER, " "))[len(self.lead) :]
-                self._append([chunk], np.array(ids, np.int32), np.array([len(ids)]))
-
-    def _append(self, chunks: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        base = len(self.place)
-        self.place.update(zip(chunks, range(base, base + len(chunks))))
-        self.ends.frombytes((ends.astype(np.int64) + len(self.ids)).tobytes())
-        self.ids.frombytes(ids.tobytes())
+                found[chunk] = packed(ids)
+        return [found[c] for c in chunks]
 
     def decode(self, ids: np.ndarray) -> str:
         return self.model.decode(ids.tolist())

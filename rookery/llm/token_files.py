@@ -11,11 +11,10 @@ n_tokens can be read without touching an id.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rookery.llm.distinct import DistinctTable, packed
 from rookery.llm.tables import map_batches, utf8
 
 #: Row groups of 32 MB, pages of 64 KB and at most 2,000 documents, delta encoding where no dictionary is used.
@@ -38,81 +38,88 @@ WRITE_OPTIONS = {
     "parquet.dictionary.page.size": str(1 << 20),
 }
 SCHEMA = "doc_id long, part int, row long, n_tokens long, ids array<int>"
-#: Distinct words a worker remembers before it starts anew.
+#: Distinct words a worker remembers.
 TABLE_WORDS = 800_000
 ROWS = 500
 
 
+def _byte_symbols() -> dict[int, str]:
+    """The printable character that byte-level vocabularies write for each byte: itself if visible, else from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
+# Letters whose lower case is one letter and which no normalization changes, then marks that split off as one run.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131\u0134-\u0148\u014a-\u017e"
+_PLAIN = re.compile(rf"[{_LETTERS}]+[.,;:!?#$%&*|-]*")
+
+
 class WordCodec:
     """Encodes texts exactly as a tokenizer of the tokenizers library, each distinct word once.
 
     Only for tokenizers whose tokens never contain or depend on ASCII white
-    space (``splits_words`` tests it); others encode whole texts.
+    space (``splits_words`` tests it); others encode whole texts.  Words of
+    plain letters, with or without marks behind, go to the vocabulary's merges
+    at once if that gives the ids of the whole pipeline (``plain_words`` tests it).
     """
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(tokenizer_file)
-        added = self.model.get_added_tokens_decoder().values()
+        self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.merges = self.tokenizer.model
+        self.symbols = _byte_symbols()
+        added = self.tokenizer.get_added_tokens_decoder().values()
         self.by_word = not any(t.lstrip or t.rstrip or t.single_word for t in added) and self.splits_words()
-        # Tokens that end a word, if the vocabulary marks them: words of letters can then share a call.
-        suffix = getattr(self.model.model, "end_of_word_suffix", None)
-        tokens = [self.model.id_to_token(i) or "" for i in range(self.model.get_vocab_size())]
-        self.letters_end = bool(suffix)
-        self.ends_word = np.array([bool(suffix) and t.endswith(suffix) for t in tokens])
-        self._reset()
+        self.table = DistinctTable(self._encode_words, TABLE_WORDS)
+        self.plain = self.by_word and self.plain_words()
 
-    def _reset(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.ids = array("i")
-        self.ends = array("q", [0])
-
-    def _encode(self, text: str) -> list[int]:
-        return self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    def whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def splits_words(self) -> bool:
         """Whether white space parts texts without leaving a trace in the ids."""
-        words = ["The", "end's", "of", "3rd,", "á", "́b", "naïve", "“q”", "x", "…"]
-        apart = [i for w in words for i in self._encode(w)]
+        words = ["The", "end's", "of", "3rd,", "\u00e1", "\u0301b", "na\u00efve", "\u201cq\u201d", "x", "\u2026"]
+        apart = [i for w in words for i in self.whole(w)]
         joined = (" ", "\n", "\t \r\n", "  ", "\x0b", "\x0c")
-        return all(self._encode(g + g.join(words) + g) == apart for g in joined)
+        return all(self.whole(g + g.join(words) + g) == apart for g in joined)
+
+    def plain_words(self) -> bool:
+        """Whether plain words can go to the merges at once: tested on every letter and mark that they may hold."""
+        letters = re.findall(f"[{_LETTERS}]", "".join(map(chr, range(0x180))))
+        words = [f"{a}{b}{m}" for a, b, m in zip(letters, letters[7:] + letters[:7], ".,;:!?#$%&*|-" * 40)]
+        words += [w + m for w in ("The", "nation", "\u00c9t\u00e9", "stra\u00dfe") for m in ("", ".", "...", "?!", "###", "-|")]
+        return all(self._plain_ids(w) == self.whole(w) for w in words)
+
+    def _plain_ids(self, word: str) -> list[int]:
+        ids: list[int] = []
+        lowered = word.lower()
+        letters = lowered.rstrip(".,;:!?#$%&*|-")
+        for part in (letters, lowered[len(letters) :]):
+            if part:
+                written = part if part.isascii() else "".join(map(self.symbols.__getitem__, part.encode()))
+                ids += [token.id for token in self.merges.tokenize(written)]
+        return ids
+
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
+        found: dict[bytes, bytes] = {}
+        if self.plain:
+            for word in words:
+                text = word.decode()
+                if _PLAIN.fullmatch(text):
+                    found[word] = packed(self._plain_ids(text))
+        others = [w for w in words if w not in found]
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
+        found.update((w, packed(e.ids)) for w, e in zip(others, encoded))
+        return [found[w] for w in words]
 
     def encode(self, data: bytes) -> np.ndarray:
         """Ids of a UTF-8 text."""
         if not self.by_word:
-            return np.array(self._encode(data.decode()), np.int32)
-        words = data.split()
-        if not words:
-            return np.zeros(0, np.int32)
-        places = list(map(self.place.get, words))
-        if None in places:
-            if len(self.place) > TABLE_WORDS:
-                self._reset()
-            self._add([w for w in dict.fromkeys(words) if w not in self.place])
-            places = list(map(self.place.__getitem__, words))
-        at = np.array(places, np.int64)
-        ids, ends = np.frombuffer(self.ids, np.int32), np.frombuffer(self.ends, np.int64)
-        first, counts = ends[at], ends[at + 1] - ends[at]
-        shift = np.repeat(first - np.append(0, np.cumsum(counts)[:-1]), counts)
-        return ids[np.arange(len(shift)) + shift]
-
-    def _add(self, words: list[bytes]) -> None:
-        found: dict[bytes, np.ndarray] = {}
-        letters = [w for w in words if w.isalpha() and w.isascii()] if self.letters_end else []
-        if letters:
-            ids = np.array(self._encode(b" ".join(letters).decode()), np.int32)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(letters):
-                found = dict(zip(letters, np.split(ids, ends[:-1])))
-        others = [w for w in words if w not in found]
-        encoded = self.model.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
-        found.update((w, np.array(e.ids, np.int32)) for w, e in zip(others, encoded))
-        new = [found[w] for w in words]
-        self.place.update(zip(words, count(len(self.place))))
-        self.ends.frombytes((len(self.ids) + np.cumsum([len(i) for i in new])).tobytes())
-        self.ids.frombytes(np.concatenate(new).tobytes())
+            return np.array(self.whole(data.decode()), np.int32)
+        return self.table.ids(data.split())
 
 
 @lru_cache(maxsize=2)

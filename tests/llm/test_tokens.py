@@ -53,11 +53,21 @@ def test_word_table_equals_the_library(monkeypatch):
     for most in (5, 10**6):
         monkeypatch.setattr(token_files, "TABLE_WORDS", most)
         codec = token_files.WordCodec(WORD_FILE)
-        assert codec.by_word and codec.letters_end
+        assert codec.by_word and codec.plain
         for text in mixed_texts():
             assert codec.encode((text or "").encode()).tolist() == model.encode(text or "", add_special_tokens=False).ids
 
 
+def test_plain_words_equal_the_library():
+    codec, rng = token_files.WordCodec(WORD_FILE), random.Random(8)
+    letters = "".join(c for c in map(chr, range(0x180)) if token_files._PLAIN.fullmatch(c))
+    for _ in range(3000):
+        word = "".join(rng.choice(letters) for _ in range(rng.randrange(1, 9))) + "".join(
+            rng.choice(".,;:!?#$%&*|-") for _ in range(rng.randrange(4))
+        )
+        assert token_files._PLAIN.fullmatch(word) and codec._plain_ids(word) == codec.whole(word), word
+
+
 @pytest.fixture(scope="module")
 def corpus():
     ids = [None, 5, 5, -3, *range(1000, 1000 + len(mixed_texts()) - 4)]
