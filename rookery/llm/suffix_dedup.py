@@ -38,7 +38,7 @@ SPAN = LENGTH - CORE + 1
 #: Bytes of text whose anchors are computed at once; longer texts are cut with an overlap.
 BLOCK = 1 << 16
 #: Entries a task gathers before it hands them to the ranges.
-FLUSH_ENTRIES = 400_000
+FLUSH_ENTRIES = 150_000
 #: Text bytes for which there is one range of anchor hashes (about 300,000 entries).
 RANGE_BYTES = 4_000_000
 #: Pieces of one suffix array task; anchors with more are spread over several.

@@ -17,7 +17,13 @@ WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Bytes of rows that go to a Python worker at once: buffers on both sides stay small beside an executor's heap.
+BATCH_BYTES = "8m"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -39,6 +45,7 @@ def staged(frame: DataFrame, label: str, options: dict[str, str] | None = None)
     read, not the work above it.
     """
     spark = frame.sparkSession
+    spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
     path = scratch_path(spark, label)
     with _shuffles_released(spark):
         frame.write.options(**(options or {})).parquet(path)
