@@ -19,8 +19,9 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
     edges = staged(links.select(low.alias("a"), high.alias("b")).filter("a < b").distinct(), "links")
-    before = None
     for _ in range(max_rounds):
+        if _all_stars(edges):
+            break
         # a is a smaller neighbour of b; both directions for the large star.
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
@@ -28,7 +29,6 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
             both.filter("b > a")
             .join(least.withColumnRenamed("a", "node"), F.col("a") == F.col("node"))
             .select(F.col("least").alias("a"), "b")
-            .distinct()
         )
         large = staged(large, "large-star")
         least = large.groupBy("b").agg(F.min("a").alias("least")).withColumnRenamed("b", "node")
@@ -41,15 +41,16 @@ def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
             .distinct()
         )
         edges = staged(edges, "small-star")
-        # Stars stay as they are.
-        state = edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        ).first()
-        if state == before or not state[0]:
-            break
-        before = state
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     leaves = edges.select(F.col("b").alias("node"), F.col("a").alias("component"))
     centres = edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct()
     return leaves.union(centres)
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or the leaf of one centre."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(0).alias("leaf")).union(edges.select("b", F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("leaf").alias("leaves"), F.min("leaf").alias("least"))
+    odd = nodes.filter((F.col("leaves") > 1) | ((F.col("leaves") == 1) & (F.col("least") == 0)))
+    return odd.agg(F.count(F.lit(1))).first()[0] == 0
