@@ -173,7 +173,8 @@ def _anchor_blobs(texts: DataFrame, ranges: int) -> DataFrame:
             held.clear()
             core = (columns[5] >> _U(16)).view(np.int64)
             piece = (columns[6] >> _U(16)).view(np.int64)
-            place = (core >> 16) * ranges >> 32
+            # Anchors are smallest hashes: dealt evenly only by a hash of their hash.
+            place = ((_mixed(columns[5]) >> _U(32)) * _U(ranges) >> _U(32)).astype(np.int64)
             # Copies of a piece within a document, or in a later one, add nothing here but their place: all stay.
             order = np.argsort(place, kind="stable")
             names = [name for name, _ in _FIELDS]
