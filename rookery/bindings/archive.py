@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from rookery import schemas
@@ -106,13 +108,23 @@ def required_contract(spark, sf_dir):
     return quality.violations(holes, schemas.required_paths(schemas.GAMES))
 
 
-def land(spark, sf_dir, location, kinds=("own", "opponent"), unknown_suffix=None):
-    """Land one response per document; endpoints with the suffix get an unknown URL."""
+def land(spark, sf_dir, location, kinds=("own", "opponent"), unknown_suffix=None, periods=None):
+    """Land one response per document, of some periods if given; return those with an unknown URL.
+
+    Endpoints with the suffix get an unknown URL.
+    """
     docs = documents(spark, sf_dir, kinds)
+    if periods:
+        docs = docs.where(reduce(Column.__or__, (F.col("endpoint").endswith(p) for p in periods)))
     url = paths.request_url(F.col("endpoint"), BASE_URL)
     if unknown_suffix:
         url = F.when(F.col("endpoint").endswith(unknown_suffix), F.lit(BASE_URL + "leaderboards")).otherwise(url)
-    source.land_responses(docs.select(url.alias("url"), "body"), location)
+    return source.land_responses(docs.select(url.alias("url"), "body"), location)
+
+
+def unknown_responses(spark, sf_dir):
+    """Responses of one month come with an unknown URL: they are handed back, not landed."""
+    return land(spark, sf_dir, scratch_path(spark, "landing"), unknown_suffix="/11").groupBy("url").agg(F.count(F.lit(1)).alias("n"))
 
 
 def land_response_metadata(spark, sf_dir):
@@ -130,7 +142,7 @@ def append_table_roundtrip(spark, sf_dir):
     rows = tables.stage(rows.select(*schemas.GAMES.fieldNames()), "games")
     tables.append(rows.where("rated"), target.games, "game_date")
     tables.append(rows.where("NOT rated").select(*reversed(rows.columns)), target.games, "game_date")
-    return flat_games(spark.table(target.games))
+    return flat_games(_kept(spark, target))
 
 
 def _target(spark, label):
@@ -138,6 +150,19 @@ def _target(spark, label):
     return GameTables.create(spark, database, scratch_path(spark, label))
 
 
+def _location(spark, name):
+    rows = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def _kept(spark, target):
+    """The games table by its files; the database goes, as its tables are external to the result."""
+    games = tables.current(spark, target.games)
+    copy = tables.stage(games, "result")
+    spark.sql(f"DROP DATABASE {target.games.split('.')[0]} CASCADE")
+    return copy
+
+
 def incremental_load(spark, sf_dir):
     """Own documents first, then the others as well, then all again; the last run adds nothing."""
     target = _target(spark, "load")
@@ -147,7 +172,27 @@ def incremental_load(spark, sf_dir):
             land(spark, sf_dir, location, kinds)
         landed = source.read_landing(spark, location).select("endpoint", "body")
         load_documents(landed, target, RUN_TIME + dt.timedelta(hours=hours))
-    return flat_games(spark.table(target.games))
+    return flat_games(_kept(spark, target))
+
+
+def load_rejects(spark, sf_dir):
+    """Rejects of a lenient load of own documents, run twice: one month's are cut off, another's lack an end time."""
+    target = _target(spark, "rejects")
+    docs = documents(spark, sf_dir, ("own",))
+    ends = F.col("endpoint").endswith
+    body = (
+        F.when(ends("/11"), F.expr("left(body, length(body) - 2)"))
+        .when(ends("/12"), F.replace("body", F.lit('"end_time"'), F.lit('"ended"')))
+        .otherwise(F.col("body"))
+    )
+    bad = docs.withColumn("body", body)
+    for hours in range(2):
+        load_documents(bad, target, RUN_TIME + dt.timedelta(hours=hours), strict=False)
+    rejects = tables.stage(tables.current(spark, target.rejects), "result")
+    spark.sql(f"DROP DATABASE {target.games.split('.')[0]} CASCADE")
+    return rejects.groupBy("reason").agg(
+        F.count_distinct("endpoint").alias("endpoints"), F.count_if(F.col("text").isNull()).alias("without_text")
+    )
 
 
 QUERIES = {
@@ -165,6 +210,8 @@ QUERIES = {
     "land_response_metadata": land_response_metadata,
     "append_table_roundtrip": append_table_roundtrip,
     "incremental_load": incremental_load,
+    "load_rejects": load_rejects,
+    "unknown_responses": unknown_responses,
 }
 
 _COPY = "endpoint, part, CAST(pos AS INTEGER) AS pos"
@@ -212,4 +259,10 @@ QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY endpoint, part, pos) =
 WHERE period NOT LIKE '%/11'""",
     "append_table_roundtrip": _ARCHIVE + f"SELECT {GAME_COLUMNS_SQL} FROM v_games",
     "incremental_load": _ARCHIVE + f"SELECT {GAME_COLUMNS_SQL} FROM v_games",
+    "load_rejects": _ARCHIVE
+    + """SELECT CASE WHEN period LIKE '%/11' THEN 'malformed document' ELSE 'missing required value' END AS reason,
+  count(DISTINCT white_username || period) AS endpoints, 0 AS without_text
+FROM v_games WHERE period LIKE '%/11' OR period LIKE '%/12' GROUP BY ALL""",
+    "unknown_responses": _ARCHIVE
+    + """SELECT 'https://x/pub/leaderboards' AS url, 2 * count(*) AS n FROM v_games WHERE period LIKE '%/11'""",
 }

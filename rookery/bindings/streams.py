@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rookery import schemas
-from rookery.bindings.archive import _target, land
+from rookery.bindings.archive import _kept, _location, _target, land
 from rookery.bindings.messages import LOG_NAME, MESSAGE_PARTS, RESOURCE_TYPE, VALID_EVENTS_SQL
 from rookery.bindings.usage import _facts
 from rookery.bindings.views import (
@@ -19,10 +19,9 @@ from rookery.bindings.views import (
     with_cte,
 )
 from rookery.session import scratch_path
-from rookery.sources import tables
 from rookery.streaming import counts, load
 from rookery.streaming import messages as message_stream
-from rookery.streaming.runs import file_stream, run_to_files, stream_session
+from rookery.streaming.runs import file_stream, run_to_files
 
 
 def _landed(spark, sf_dir):
@@ -59,34 +58,55 @@ def stream_load(spark, sf_dir):
         # The second start finds nothing new behind the checkpoint.
         stream = _landing_stream(spark, location).select("endpoint", "body")
         load.start_load(stream, target, f"{location}-checkpoint", RUN_TIME).awaitTermination()
-    return flat_games(tables.current(spark, target.games))
+    return flat_games(_kept(spark, target))
 
 
 def stream_dedup(spark, sf_dir):
-    own = stream_session(spark)
-    games = load.games_stream(_landing_stream(own, _landed(spark, sf_dir)).select("endpoint", "body"), RUN_TIME)
-    timed = games.withColumn("end_dt", F.timestamp_seconds("end_time"))
-    unique = load.unique_games(timed, "end_dt", "30 days").select("game_id", "url", "game_date", "opening")
-    return _result(spark, unique, "unique")
+    """Newest month first, a few files at a time: every game comes out once."""
+    target = _target(spark, "unique")
+    location = scratch_path(spark, "landing")
+    for suffixes in (("/12",), ("/11",), ("/10",)):
+        land(spark, sf_dir, location, periods=suffixes)
+        stream = _landing_stream(spark, location, max_files=4).select("endpoint", "body")
+        load.start_unique_games(stream, target, f"{location}-checkpoint", RUN_TIME).awaitTermination()
+    return _kept(spark, target).select("game_id", "url", "game_date", "opening")
+
+
+def _counted(spark, rows, count, keys):
+    location = scratch_path(spark, "counts")
+    counts.start_counts(rows, count, location, f"{location}-checkpoint").awaitTermination()
+    return counts.summed(spark, location, keys)
 
 
 def stream_daily_usage(spark, sf_dir):
     location = scratch_path(spark, "facts")
     facts = _facts(spark, sf_dir).select(
-        "job_creation_dt", "project_id", "user_email", "total_gigabytes_billed", "query_cost_usd"
+        "job_creation_dt",
+        "project_id",
+        "user_email",
+        "total_query_seconds",
+        "total_slot_seconds",
+        "total_gigabytes_processed",
+        "total_gigabytes_billed",
+        "query_cost_usd",
     )
     facts.write.parquet(location)
-    own = stream_session(spark)
-    daily = _result(spark, counts.daily_usage(file_stream(own, location, facts.schema)), "daily")
-    return daily.withColumns({c: F.round(c, 7) for c in ("total_gigabytes_billed", "total_query_cost_usd")})
+    stream = file_stream(spark, location, facts.schema, max_files=2)
+    daily = _counted(spark, stream, counts.daily_usage, counts.DAILY_KEYS)
+    return daily.withColumns({c: F.round(c, 7) for c in daily.columns if c.startswith("total_")})
 
 
 def stream_weekly_games(spark, sf_dir):
+    """Landed documents are loaded, and the games table, which grows by unseen games, is counted."""
+    target = _target(spark, "weekly")
     location = _landed(spark, sf_dir)
-    own = stream_session(spark)
-    games = load.games_stream(_landing_stream(own, location).select("endpoint", "body"), RUN_TIME)
-    timed = games.withColumn("end_dt", F.timestamp_seconds("end_time"))
-    return _result(spark, counts.weekly_games(timed), "weekly")
+    stream = _landing_stream(spark, location).select("endpoint", "body")
+    load.start_load(stream, target, f"{location}-checkpoint", RUN_TIME).awaitTermination()
+    own = file_stream(spark, _location(spark, target.games), spark.table(target.games).schema)
+    timed = own.withColumn("end_dt", F.timestamp_seconds("end_time"))
+    weekly = _counted(spark, timed, counts.weekly_games, counts.WEEKLY_KEYS)
+    _kept(spark, target)
+    return weekly
 
 
 QUERIES = {
@@ -101,18 +121,15 @@ ORACLE = {
     "stream_messages": with_cte(V_MSG) + VALID_EVENTS_SQL + " AND hostname <> '' AND zone IS NOT NULL",
     "stream_load": with_cte(V_ARCHIVE) + f"SELECT {GAME_COLUMNS_SQL} FROM v_games",
     "stream_dedup": with_cte(V_ARCHIVE) + "SELECT game_id, url, game_date, opening FROM v_games",
-    # A day is reported once the newest event is more than a day past its end.
     "stream_daily_usage": with_cte(V_FACTS)
     + """SELECT job_created_date, project_id, user_email, number_of_queries,
+  round(total_query_seconds, 7) AS total_query_seconds, round(total_slot_seconds, 7) AS total_slot_seconds,
+  round(total_gigabytes_processed, 7) AS total_gigabytes_processed,
   round(total_gigabytes_billed, 7) AS total_gigabytes_billed, round(total_query_cost_usd, 7) AS total_query_cost_usd
-FROM v_user_day
-WHERE job_created_date + INTERVAL 1 DAY <= (SELECT max(job_creation_dt) FROM v_facts) - INTERVAL 1 DAY""",
+FROM v_user_day""",
     "stream_weekly_games": with_cte(V_ARCHIVE)
     + """SELECT CAST(date_trunc('week', game_date) AS DATE) AS week_start, time_class, opening,
   count(*) AS total_games, count(*) FILTER (white_result = 'win') AS white_win_count,
   count(*) FILTER (black_result = 'win') AS black_win_count
-FROM v_copies
-WHERE date_trunc('week', game_date) + INTERVAL 7 DAY
-  <= (SELECT TIMESTAMP '1970-01-01' + to_seconds(max(end_time)) FROM v_games) - INTERVAL 1 DAY
-GROUP BY ALL""",
+FROM v_games GROUP BY ALL""",
 }

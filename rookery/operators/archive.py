@@ -47,10 +47,12 @@ def explode_games(documents: DataFrame, keep_empty: bool = False) -> DataFrame:
     return exploded if keep_empty else exploded.where(F.col("pos").isNotNull())
 
 
-def games_rows(exploded: DataFrame, run_time: Column | dt.datetime, strict: bool = True) -> DataFrame:
+def games_rows(
+    exploded: DataFrame, run_time: Column | dt.datetime, strict: bool = True, keep_empty: bool = False
+) -> DataFrame:
     """The 14 columns of the ``games`` table, in order.
 
-    Columns other than ``pos`` and ``game`` stay in front.
+    Columns other than ``pos`` and ``game`` stay in front.  ``keep_empty`` leaves the rows of documents without games.
     """
     if not isinstance(run_time, Column):
         run_time = F.lit(run_time)
@@ -64,7 +66,8 @@ def games_rows(exploded: DataFrame, run_time: Column | dt.datetime, strict: bool
     columns["opening"] = games.opening_name(columns["eco"])
     keep = [c for c in exploded.columns if c != "game"]
     names = schemas.GAMES.fieldNames()
-    return exploded.where(F.col("pos").isNotNull()).select(
+    rows = exploded if keep_empty else exploded.where(F.col("pos").isNotNull())
+    return rows.select(
         *keep, *[columns.get(name, game[name]).alias(name) for name in names]
     )
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rookery import schemas
@@ -21,63 +21,56 @@ from rookery.operators import archive, keys, quality
 from rookery.sources import archive as objects
 from rookery.sources import tables
 
-# Up to this many days are listed one by one in a partition filter, more as a range.
-MAX_LISTED_DAYS = 1000
-
-
 @dataclass(frozen=True)
 class GameTables:
-    """Names of the two target tables."""
+    """Names of the target tables."""
 
     games: str
     ledger: str
+    rejects: str
 
     @classmethod
     def create(cls, spark: SparkSession, database: str, location: str | None = None) -> GameTables:
-        """Create the database and both tables where absent."""
+        """Create the database and the tables where absent."""
         tables.ensure_database(spark, database, location)
-        names = cls(games=f"{database}.games", ledger=f"{database}.loading_completed")
+        names = cls(f"{database}.games", f"{database}.loading_completed", f"{database}.load_rejects")
         tables.ensure_table(spark, names.games, schemas.GAMES, "game_date")
         tables.ensure_table(spark, names.ledger, schemas.LOAD_LEDGER, "gcs_game_month")
+        tables.ensure_table(spark, names.rejects, schemas.LOAD_REJECTS, "rejected_date")
         return names
 
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a run found: new games, endpoint actions, objects to purge, bad rows."""
+    """What a run found: new games, endpoint actions, objects to purge, bad rows, counts.
+
+    ``counts`` has rows, filtered_away, duplicates_removed and kept (D9).
+    """
 
     games: DataFrame
     actions: DataFrame
     purge: DataFrame
     rejects: DataFrame
+    counts: Row
 
 
 def on_days(column: str, days: DataFrame) -> Column:
     """Filter of a partition column to the dates in the one column of ``days``.
 
-    At most ``MAX_LISTED_DAYS`` dates reach the driver; more become a range.
+    The dates are listed, so a stray one adds one partition.  They are partitions of the
+    table: at most one for each calendar day comes to the driver.
     """
-    day = days.columns[0]
-    listed = [r[0] for r in days.distinct().limit(MAX_LISTED_DAYS + 1).collect()]
-    if len(listed) <= MAX_LISTED_DAYS:
-        return F.col(column).isin(listed)
-    low, high = days.agg(F.min(day), F.max(day)).first()
-    return F.col(column).between(low, high)
+    return F.col(column).isin([r[0] for r in days.distinct().collect()])
 
 
 def pending_documents(documents: DataFrame, ledger: DataFrame) -> DataFrame:
     """Documents whose endpoint is not in the ledger yet.
 
-    Only the ledger's partitions of the documents' months are read.  The join is
-    planned only when some endpoint was handled before: it would shuffle whole
-    documents for nothing.
+    Only the ledger's partitions of the documents' months are read.
     """
     months = documents.select(paths.endpoint_month(F.col("endpoint")).alias("month"))
     done = ledger.where(on_days("gcs_game_month", months)).select(F.col("gcs_endpoint").alias("endpoint"))
-    handled = keys.keep_missing(done.distinct(), documents, "endpoint")
-    if handled.isEmpty():
-        return documents
-    return documents.join(handled, "endpoint", "left_anti")
+    return documents.join(done.distinct(), "endpoint", "left_anti")
 
 
 def load_documents(
@@ -94,8 +87,8 @@ def load_documents(
     Only ``PROD`` runs write to the tables; a ``DEV`` run reads its endpoint
     whether or not it was handled.  ``strict`` makes a malformed document, a bad
     game id or a missing required value fail the run before anything is written;
-    otherwise such rows are returned as rejects, and a malformed document stays
-    unhandled.  ``run_time`` marks the rows of the run.
+    otherwise such rows are returned and kept in the rejects table, each once,
+    and a malformed document stays unhandled.  ``run_time`` marks the rows of the run.
     """
     if mode != "DEV":
         documents = pending_documents(documents, tables.current(documents.sparkSession, target.ledger))
@@ -109,39 +102,51 @@ def load_documents(
 def _load(documents: DataFrame, target: GameTables, run_time: dt.datetime, write: bool, strict: bool) -> LoadResult:
     """Load documents known to be unhandled."""
     spark = documents.sparkSession
-    exploded = archive.explode_games(archive.parse_documents(documents, strict), keep_empty=True)
-    staged = tables.stage(exploded, "staged")
-    if strict:
-        rejects = staged.where(F.lit(False)).select("endpoint", F.lit("").alias("reason"))
-    else:
-        malformed = staged.where(F.col(archive.CORRUPT).isNotNull())
-        rejects = malformed.select("endpoint", F.lit("malformed document").alias("reason"))
-        staged = staged.where(F.col(archive.CORRUPT).isNull()).drop(archive.CORRUPT)
-
     required = list(schemas.required_paths(schemas.GAMES))
-    batch = archive.games_rows(staged, run_time, strict)
-    actions = archive.action_ledger(staged, run_time)
-    if staged.isEmpty():
-        return LoadResult(batch.select(*schemas.GAMES.fieldNames()), actions, archive.purge_list(actions), rejects)
+    exploded = archive.explode_games(archive.parse_documents(documents, strict), keep_empty=True)
+    if not strict:
+        exploded = exploded.withColumn("text", F.to_json("game"))
+    rows = archive.games_rows(exploded, run_time, strict, keep_empty=True)
+    has_game = F.col("pos").isNotNull()
+    broken = has_game & quality.breaks_contract(required)
+    if not strict:
+        corrupt = F.col(archive.CORRUPT).isNotNull()
+        reason = F.when(corrupt, "malformed document").when(broken, "missing required value")
+        text = F.when(corrupt, F.col(archive.CORRUPT)).when(broken, F.col("text"))
+        rows = rows.withColumns({"reason": reason, "text": text}).drop(archive.CORRUPT)
+    # Game columns only: the bodies and move texts end here.
+    staged = tables.stage(rows, "staged")
+    batch = staged.where(has_game)
     if strict:
         quality.check(batch, required)
+        rejects = spark.createDataFrame([], schemas.LOAD_REJECTS)
     else:
-        batch, broken = quality.split_rejects(batch, required)
-        rejects = rejects.unionByName(broken.select("endpoint", F.lit("missing required value").alias("reason")))
+        stamp = F.lit(run_time).cast("timestamp")
+        rejects = staged.where("reason IS NOT NULL").select(
+            "endpoint", "pos", "reason", "text", stamp.alias("rejected_dt"), F.to_date(stamp).alias("rejected_date")
+        )
+        staged = staged.where(F.coalesce(F.col("reason") != "malformed document", F.lit(True)))
+        batch = batch.where("reason IS NULL").drop("reason", "text")
+    actions = archive.action_ledger(staged, run_time)
 
     # A game's date follows from its own end time, so an earlier copy of a game
     # lies on the same day and the other partitions need not be read.
-    same_days = on_days("game_date", batch.select("game_date"))
-    fresh = new_games(batch, tables.current(spark, target.games).where(same_days))
+    known = tables.current(spark, target.games).where(on_days("game_date", batch.select("game_date")))
+    counts = keys.batch_counts(batch, known).first()
+    fresh = tables.stage(new_games(batch, known), "fresh")
     if write:
         same_months = on_days("gcs_game_month", actions.select("gcs_game_month"))
         seen = tables.current(spark, target.ledger).where(same_months).select("gcs_endpoint")
         actions = tables.stage(actions.join(seen, "gcs_endpoint", "left_anti"), "actions")
         tables.append(fresh, target.games, "game_date")
+        if not strict:
+            # A run that is repeated, or meets the same document again, adds no second row.
+            place = ["endpoint", "pos", "reason"]
+            had = tables.current(spark, target.rejects).select(*(F.col(c).alias(f"_{c}") for c in place)).distinct()
+            new = rejects.join(had, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in place], "left_anti")
+            tables.append(new, target.rejects, "rejected_date")
         tables.append(actions, target.ledger, "gcs_game_month")
-        of_this_run = F.col("ingested_dt") == F.lit(run_time).cast("timestamp")
-        fresh = tables.current(spark, target.games).where(same_days & of_this_run)
-    return LoadResult(fresh, actions, archive.purge_list(actions), rejects)
+    return LoadResult(fresh, actions, archive.purge_list(actions), rejects, counts)
 
 
 def new_games(batch: DataFrame, table: DataFrame) -> DataFrame:
@@ -168,25 +173,20 @@ def load_month(
 ) -> LoadResult:
     """Load the objects of one period (H2).
 
-    The manifest is compared with the ledger before any content is read.  When
-    few objects are left, only those are opened; otherwise the period is scanned
-    and handled objects are dropped before they are parsed.
+    The period is scanned, and handled objects are dropped by their path before
+    a body is parsed; at any number of objects in the same way.  A ``DEV`` run opens
+    ``dev_endpoint`` alone.
     """
-    limit = objects.MAX_EXPLICIT_OBJECTS
     if mode == "DEV":
-        return _load(objects.read_objects(spark, root, period, [dev_endpoint]), target, run_time, False, strict)
-    manifest = objects.list_objects(spark, root, period)
+        if not dev_endpoint:
+            raise ValueError("a DEV run needs dev_endpoint")
+        return _load(objects.read_objects(spark, root, period, dev_endpoint), target, run_time, False, strict)
+    documents = objects.read_objects(spark, root, period)
     month = F.to_date(F.lit(f"{period}/01"), "yyyy/MM/dd")
-    ledger = tables.current(spark, target.ledger).where(F.col("gcs_game_month") == month)
-    todo = keys.remaining_endpoints(
-        keys.list_endpoints(manifest, period), ledger.select(F.col("gcs_endpoint").alias("endpoint"))
-    )
-    todo = keys.select_endpoints(todo, mode, test_volume).select("endpoint")
-    few = [r["endpoint"] for r in todo.limit(limit + 1).collect()]
-    if not few:
-        documents = spark.createDataFrame([], "endpoint string, body string")
-    elif len(few) <= limit:
-        documents = objects.read_objects(spark, root, period, few)
-    else:
-        documents = objects.read_objects(spark, root, period).join(todo, "endpoint", "left_semi")
+    done = tables.current(spark, target.ledger).where(F.col("gcs_game_month") == month)
+    documents = documents.join(done.select(F.col("gcs_endpoint").alias("endpoint")).distinct(), "endpoint", "left_anti")
+    if mode != "PROD":
+        handled = done.select(F.col("gcs_endpoint").alias("endpoint"))
+        todo = keys.remaining_endpoints(keys.list_endpoints(objects.list_objects(spark, root, period), period), handled)
+        documents = documents.join(keys.select_endpoints(todo, mode, test_volume).select("endpoint"), "endpoint", "left_semi")
     return _load(documents, target, run_time, mode == "PROD", strict)

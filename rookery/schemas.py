@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     BooleanType,
     DataType,
     DateType,
+    IntegerType,
     DoubleType,
     LongType,
     StringType,
@@ -69,6 +70,18 @@ LOAD_LEDGER = StructType(
     ]
 )
 
+# What a lenient load could not take: a document (no position) or one of its games.
+LOAD_REJECTS = StructType(
+    [
+        _required("endpoint", StringType()),
+        _optional("pos", IntegerType()),
+        _required("reason", StringType()),
+        _optional("text", StringType()),
+        _required("rejected_dt", TimestampType()),
+        _required("rejected_date", DateType()),
+    ]
+)
+
 # One game inside an archive document.
 RAW_GAME = StructType(
     [

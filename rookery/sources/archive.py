@@ -8,7 +8,7 @@ partitioned by period, in files of a size that suits a large cluster.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,10 +17,6 @@ from pyspark.sql import functions as F
 from rookery import schemas
 from rookery.functions import paths
 
-# Explicit paths are handed to a scan only below this many objects.
-MAX_EXPLICIT_OBJECTS = 10_000
-
-
 def _endpoint_of(file_path: Column) -> Column:
     return F.regexp_extract(file_path, r"/(player/[^/]+/games/.*)$", 1)
 
@@ -45,26 +41,26 @@ def list_objects(spark: SparkSession, root: str, period: str) -> DataFrame:
     return files.select(_endpoint_of(F.col("path")).alias("path"))
 
 
-def read_objects(
-    spark: SparkSession,
-    root: str,
-    period: str,
-    endpoints: Sequence[str] | None = None,
-) -> DataFrame:
-    """Documents of a period as ``endpoint, body``, in one scan over all objects (A1).
+def read_objects(spark: SparkSession, root: str, period: str, endpoint: str | None = None) -> DataFrame:
+    """Documents of a period as ``endpoint, body``, in one scan over all objects (A1); or the one object named.
 
-    ``endpoints`` narrows the scan to the named objects.
+    A filter on ``endpoint`` above the scan is decided by file path, before a body is parsed.
     """
-    if endpoints is None:
-        files = [f"{root}/player/*/games/{period}"]
-    elif len(endpoints) > MAX_EXPLICIT_OBJECTS:
-        raise ValueError(f"more than {MAX_EXPLICIT_OBJECTS} objects; read the period instead")
-    else:
-        files = [f"{root}/{e}" for e in endpoints]
-    text = spark.read.text(files, wholetext=True)
+    name = f"player/*/games/{period}" if endpoint is None else _literal(endpoint)
+    try:
+        text = spark.read.text(f"{root}/{name}", wholetext=True)
+    except AnalysisException as error:
+        if _path_missing(error):
+            return spark.createDataFrame([], "endpoint string, body string")
+        raise
     return text.select(_endpoint_of(_decoded(F.col("_metadata.file_path"))).alias("endpoint"), F.col("value").alias("body"))
 
 
+def _literal(path: str) -> str:
+    """A path in which no character is a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def landing_rows(responses: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Responses ``url, body`` as landing rows, and those with an unknown URL (A5)."""
     keyed = responses.withColumns({"player": paths.player_of(F.col("url")), "period": paths.period_of(F.col("url"))})

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rookery.operators import archive
@@ -42,23 +41,13 @@ def games_stream(documents: DataFrame, run_time: dt.datetime) -> DataFrame:
     return archive.games_rows(archive.explode_games(archive.parse_documents(documents)), run_time)
 
 
-def unique_games(
-    games: DataFrame, event_time: str, delay: str, spread_by: str = "endpoint", spread: int = 32
-) -> DataFrame:
-    """One copy of each game within the watermark (S3).
-
-    Copies are first reduced per game and bucket of ``spread_by``, so that a game
-    with very many copies keeps ``spread`` tasks busy rather than one.
+def start_unique_games(
+    documents: DataFrame, target: GameTables, checkpoint: str, run_time: dt.datetime | None = None
+) -> StreamingQuery:
+    """One row of each game of a stream, whenever its copies arrive (S3).
 
-    Copies that arrive more than ``delay`` after the newest event are dropped
-    by the watermark, so choose a delay longer than the disorder of the source;
-    :func:`start_load` has no such limit, as it compares with the table.
+    Uniqueness is decided against the table, not within a watermark: however
+    late or out of order a game comes, it is added if the table lacks its id.
+    Malformed documents and games are kept as rejects and stop nothing.
     """
-    bucket = F.pmod(F.xxhash64(spread_by), F.lit(spread))
-    return (
-        games.withColumn("bucket", bucket)
-        .withWatermark(event_time, delay)
-        .dropDuplicatesWithinWatermark(["game_id", "bucket"])
-        .dropDuplicatesWithinWatermark(["game_id"])
-        .drop("bucket")
-    )
+    return start_load(documents, target, checkpoint, run_time, strict=False)

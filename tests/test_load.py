@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from rookery import schemas, session
 from rookery.operators import archive, quality
-from rookery.plans import load as plan
 from rookery.plans.load import load_documents, load_month, new_games, on_days
 from rookery.sources import archive as source
 from rookery.sources import tables
@@ -102,19 +101,31 @@ def test_load_month(spark, root, database):
     assert spark.table(database.games).count() == 4
 
 
-def test_many_objects_are_scanned_by_period(spark, root, database, monkeypatch):
-    monkeypatch.setattr(plan.objects, "MAX_EXPLICIT_OBJECTS", 1)
+def test_handled_objects_are_dropped_by_path(spark, root, database):
     load_documents(documents(spark, {"player/a/games/2024/10": FILES["player/a/games/2024/10"]}), database, T1)
-    load_month(spark, str(root), "2024/10", database, T2)
+    result = load_month(spark, str(root), "2024/10", database, T2)
     assert sorted(games_of(spark, database)) == [101, 102, 103] and len(ledger_of(spark, database)) == 4
+    assert result.counts.asDict() == {"rows": 2, "filtered_away": 1, "duplicates_removed": 0, "kept": 1}
+
+
+ODD = ["b[1]", "c{2}", "d e", "f%20", "g+h", "q'r"]
+
 
+def test_odd_names(spark, tmp_path, database):
+    write(tmp_path, {f"player/{name}/games/2024/10": {"games": [game(i)]} for i, name in enumerate(ODD)})
+    dev = load_month(spark, str(tmp_path), "2024/10", database, T1, mode="DEV", dev_endpoint="player/b[1]/games/2024/10")
+    assert [r.game_id for r in dev.games.collect()] == [0]
+    load_month(spark, str(tmp_path), "2024/10", database, T1)
+    assert sorted(games_of(spark, database)) == list(range(len(ODD)))
+    assert load_month(spark, str(tmp_path), "2024/10", database, T2).games.count() == 0
+    with pytest.raises(ValueError, match="dev_endpoint"):
+        load_month(spark, str(tmp_path), "2024/10", database, T1, mode="DEV")
 
-def test_many_days_become_a_range(spark, monkeypatch):
-    monkeypatch.setattr(plan, "MAX_LISTED_DAYS", 2)
+
+def test_days_are_listed(spark):
     days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-01-09', INTERVAL 2 DAYS)) AS d")
     table = spark.sql("SELECT explode(sequence(DATE '2023-12-30', DATE '2024-01-20')) AS game_date")
-    assert table.where(on_days("game_date", days)).count() == 9
-    assert table.where(on_days("game_date", days.limit(2))).count() == 2
+    assert table.where(on_days("game_date", days)).count() == 5
 
 
 def test_no_objects(spark, root, database):
@@ -169,14 +180,46 @@ def test_strict_load_fails_before_writing(spark, database, name):
 def test_lenient_load_reports_rejects(spark, database):
     result = load_documents(documents(spark, BAD), database, T1, strict=False)
     assert sorted(games_of(spark, database)) == [1]
-    assert sorted(tuple(r) for r in result.rejects.collect()) == [
-        ("player/a/games/2024/10", "missing required value"),
-        ("player/b/games/2024/10", "missing required value"),
-        ("player/c/games/2024/10", "malformed document"),
+    want = [
+        ("player/a/games/2024/10", 0, "missing required value"),
+        ("player/b/games/2024/10", 0, "missing required value"),
+        ("player/c/games/2024/10", None, "malformed document"),
     ]
+    rejects = sorted(tuple(r) for r in result.rejects.select("endpoint", "pos", "reason").collect())
+    assert rejects == want
+    stored = {r.endpoint[7]: r for r in tables.current(spark, database.rejects).collect()}
+    assert json.loads(stored["a"].text)["url"].endswith("/abc") and stored["c"].text == BAD["player/c/games/2024/10"]
     # The malformed document is neither handled nor purged.
     assert sorted(ledger_of(spark, database)) == ["player/a/games/2024/10", "player/b/games/2024/10"]
     assert result.purge.count() == 0
+    # The second run tries the malformed document again; each reject is kept once.
+    load_documents(documents(spark, BAD), database, T2, strict=False)
+    assert tables.current(spark, database.rejects).count() == 3
+
+
+def test_lenient_stream_keeps_every_reject(spark, database, tmp_path):
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    good = {"player/z/games/2024/10": {"games": [game(9)]}}
+    for files in ({k: v for k, v in BAD.items() if k[7] != "a"} | good, {k: BAD[k] for k in BAD if k[7] == "a"}):
+        responses = documents(spark, files).select(F.concat(F.lit("https://x/pub/"), "endpoint").alias("url"), "body")
+        source.land_responses(responses, landing)
+        stream = file_stream(spark, landing, schemas.readable(schemas.LANDING), max_files=1)
+        start_load(stream.select("endpoint", "body"), database, checkpoint, strict=False).awaitTermination()
+    assert sorted(games_of(spark, database)) == [1, 9]
+    assert sorted(r.endpoint[7] for r in tables.current(spark, database.rejects).collect()) == ["a", "b", "c"]
+
+
+def test_staged_games_hold_no_bodies(spark, database, monkeypatch):
+    seen = {}
+    stage = tables.stage
+
+    def spy(rows, label):
+        seen[label] = rows.columns
+        return stage(rows, label)
+
+    monkeypatch.setattr(tables, "stage", spy)
+    load_documents(documents(spark, FILES).where("endpoint LIKE 'player/%'"), database, T1)
+    assert not {"body", "game", "games", "pgn"} & set(seen["staged"])
 
 
 def test_any_split_of_endpoints_gives_the_same_table(spark, database):

@@ -14,9 +14,9 @@ from rookery import schemas, scratch_path
 from rookery.operators import messages as ops
 from rookery.operators import monitor, quality
 from rookery.plans import monitoring
-from rookery.streaming import counts, load
+from rookery.streaming import counts
 from rookery.streaming import messages as message_stream
-from rookery.streaming.runs import file_stream, run_to_files, stream_session
+from rookery.streaming.runs import file_stream, run_to_files
 
 PARTS = ("container die", "image=registry/worker")
 
@@ -115,23 +115,19 @@ def test_monitor(spark):
         monitoring.record_failed(failures.withColumn("stack_trace", F.lit(None).cast("string")), target)
 
 
-def test_stream_dedup_and_windows(spark, tmp_path):
+def test_stream_counts_deliver_every_window(spark, tmp_path):
     start = dt.datetime(2025, 1, 6)  # a Monday
-    rows = [(i % 10, f"e{i}", start + dt.timedelta(days=i % 10), "blitz", "A", ("win",), ("x",)) for i in range(60)]
+    rows = [(i, start + dt.timedelta(days=i % 10), "blitz", "A", ("win",), ("x",)) for i in range(60)]
     schema = (
-        "game_id int, endpoint string, end_dt timestamp, time_class string, opening string, "
+        "game_id int, end_dt timestamp, time_class string, opening string, "
         "white struct<result string>, black struct<result string>"
     )
-    games = spark.createDataFrame(rows, schema)
-    games.write.parquet(str(tmp_path / "in"))
-    own = stream_session(spark)
-    unique = load.unique_games(file_stream(own, str(tmp_path / "in"), games.schema), "end_dt", "30 days")
-    run_to_files(unique, str(tmp_path / "unique"), str(tmp_path / "c1"))
-    got = [r.game_id for r in spark.read.parquet(str(tmp_path / "unique")).collect()]
-    assert sorted(got) == list(range(10))
-
-    weekly = counts.weekly_games(file_stream(own, str(tmp_path / "in"), games.schema), delay="1 day")
-    run_to_files(weekly, str(tmp_path / "weekly"), str(tmp_path / "c2"))
-    # The second week is still open.
-    (row,) = spark.read.parquet(str(tmp_path / "weekly")).collect()
-    assert tuple(row) == (start.date(), "blitz", "A", 42, 42, 0)
+    source, location = str(tmp_path / "in"), str(tmp_path / "counts")
+    # The latest week lands first; a watermark would drop what follows.
+    for part in (rows[::-1][:30], rows[::-1][30:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = file_stream(spark, source, spark.read.parquet(source).schema, max_files=1)
+        counts.start_counts(stream, counts.weekly_games, location, str(tmp_path / "c")).awaitTermination()
+    got = sorted(tuple(r) for r in counts.summed(spark, location, counts.WEEKLY_KEYS).collect())
+    second = (start + dt.timedelta(days=7)).date()
+    assert got == [(start.date(), "blitz", "A", 42, 42, 0), (second, "blitz", "A", 18, 18, 0)]
