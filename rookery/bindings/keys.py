@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from rookery.bindings.views import (
     BASE_URL,
     GRID_END,
     GRID_START,
+    RUN_TIME,
     V_ARCHIVE,
     V_GRID,
     boards,
@@ -21,13 +25,14 @@ from rookery.bindings.views import (
 from rookery.functions import games, paths
 from rookery.operators import archive
 from rookery.operators import keys as ops
+from rookery.plans.ingest import RequestTables, ingest_window, record_outcomes, store_requests
 from rookery.plans.ingest import plan_requests as plan
+from rookery.session import scratch_path
+from rookery.sources.archive import write_leaderboards
+from rookery.sources.tables import stage
 
 TEST_VOLUME = 25
-
-
-def _grid(spark, sf_dir):
-    return ops.request_grid(players(spark, sf_dir), GRID_START, GRID_END)
+CYCLE_AS_OF = dt.date(2001, 1, 20)
 
 
 def endpoint_listing(spark, sf_dir):
@@ -52,23 +57,47 @@ def endpoint_parts(spark, sf_dir):
 
 
 def request_grid(spark, sf_dir):
-    return _grid(spark, sf_dir)
+    return ops.request_grid(players(spark, sf_dir), GRID_START, GRID_END)
+
+
+def _remaining(spark, sf_dir, done):
+    return ops.remaining_requests(players(spark, sf_dir), GRID_START, GRID_END, done)
 
 
 def remaining_endpoints(spark, sf_dir):
-    return ops.remaining_endpoints(_grid(spark, sf_dir), landed(spark, sf_dir)).orderBy("endpoint")
+    return _remaining(spark, sf_dir, ops.landed_periods(landed(spark, sf_dir))).orderBy("endpoint")
 
 
 def remaining_by_ledger(spark, sf_dir):
-    return ops.remaining_by_ledger(_grid(spark, sf_dir), request_ledger(spark, sf_dir), skip_failed=True)
+    return _remaining(spark, sf_dir, ops.ledger_periods(request_ledger(spark, sf_dir), skip_failed=True))
 
 
 def remaining_by_ledger_retry(spark, sf_dir):
-    return ops.remaining_by_ledger(_grid(spark, sf_dir), request_ledger(spark, sf_dir), skip_failed=False)
+    return _remaining(spark, sf_dir, ops.ledger_periods(request_ledger(spark, sf_dir), skip_failed=False))
 
 
 def coverage_counts(spark, sf_dir):
-    return ops.coverage_counts(_grid(spark, sf_dir), landed(spark, sf_dir))
+    done = ops.landed_periods(landed(spark, sf_dir))
+    return ops.coverage_counts(players(spark, sf_dir), GRID_START, GRID_END, done)
+
+
+def ingest_cycle(spark, sf_dir):
+    """Plan from the stored leaderboards, record the outcome of every other request, plan again: the remainder.
+
+    Half of the outcomes are failures, which are tried again.
+    """
+    database = f"rookery_ingest_{uuid.uuid4().hex}"
+    target = RequestTables.create(spark, database, scratch_path(spark, "ingest"))
+    location = scratch_path(spark, "boards")
+    write_leaderboards(boards(spark, sf_dir), location, RUN_TIME)
+    window = ingest_window(spark, CYCLE_AS_OF, "PROD")
+    number = F.substring_index("player", "#", -1).cast("int")
+    outcome = F.when(number % 4 == 0, "failed").otherwise("fetched")
+    made = store_requests(spark, location, target, window, BASE_URL).where(number % 2 == 0)
+    record_outcomes(made.withColumn("outcome", outcome), target)
+    again = stage(store_requests(spark, location, target, window, BASE_URL, skip_failed=False), "result")
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    return again
 
 
 def request_urls(spark, sf_dir):
@@ -123,7 +152,7 @@ def missing_keys(spark, sf_dir):
 
 def semi_join_missing(spark, sf_dir):
     rows = _archive_ids(spark, sf_dir)
-    return ops.keep_missing(rows, ops.missing_keys(rows, _loaded_ids(spark, sf_dir), "game_id"), "game_id")
+    return ops.rows_missing(rows, _loaded_ids(spark, sf_dir), "game_id")
 
 
 def batch_counts(spark, sf_dir):
@@ -143,6 +172,7 @@ QUERIES = {
     "remaining_by_ledger": remaining_by_ledger,
     "remaining_by_ledger_retry": remaining_by_ledger_retry,
     "coverage_counts": coverage_counts,
+    "ingest_cycle": ingest_cycle,
     "request_urls": request_urls,
     "path_prefix_add": path_prefix_add,
     "path_prefix_rename": path_prefix_rename,
@@ -176,6 +206,10 @@ ORACLE = {
     "coverage_counts": with_cte(V_GRID)
     + """SELECT count(*) AS total, count(*) FILTER (endpoint IN (SELECT endpoint FROM v_landed)) AS already_done,
   count(*) FILTER (endpoint NOT IN (SELECT endpoint FROM v_landed)) AS remaining FROM v_grid""",
+    "ingest_cycle": """SELECT player, endpoint, 'https://x/pub/' || endpoint AS url, period FROM (
+  SELECT DISTINCT lower(c_name) AS player, '2000/12' AS period,
+    'player/' || lower(c_name) || '/games/2000/12' AS endpoint FROM customer
+  WHERE c_custkey % 2 = 1 OR c_custkey % 4 = 0)""",
     "request_urls": with_cte(V_GRID) + "SELECT DISTINCT endpoint, 'https://x/pub/' || endpoint AS url FROM v_landed",
     "path_prefix_add": with_cte(V_GRID)
     + """SELECT DISTINCT endpoint, CASE WHEN starts_with(endpoint, 'player/customer#000000001/')

@@ -63,7 +63,10 @@ def run_monitor_rows(spark, sf_dir):
 
 def run_monitor_failures(spark, sf_dir):
     rows = monitor.failed_runs(_runs(spark, sf_dir).where("kind = 'error'"))
-    return rows.select("run_id", "run_failed_date", *plain("run_failed_dt"), "failed_filename", "exception_type", "stack_trace")
+    # Doubles print differently in the two engines.
+    value = F.round(F.col("exception_value").cast("double"), 6).alias("exception_value")
+    names = ("failed_filename", "exception_type", "stack_trace")
+    return rows.select("run_id", "run_failed_date", *plain("run_failed_dt"), *names, value)
 
 
 QUERIES = {
@@ -98,6 +101,7 @@ ORACLE = {
   '3' AS python_version FROM events""",
     "run_monitor_failures": """SELECT CAST(event_id AS VARCHAR) AS run_id, CAST(ts AS DATE) AS run_failed_date,
   date_trunc('second', ts) AS run_failed_dt, event_type || '.py' AS failed_filename, 'ValueError' AS exception_type,
+  round(value, 6) AS exception_value,
   CASE WHEN length(repeat(props, 200)) > 1500 THEN '...(truncated)...' || chr(10) || right(repeat(props, 200), 1500)
     ELSE repeat(props, 200) END AS stack_trace FROM events WHERE event_type = 'error'""",
 }

@@ -111,8 +111,8 @@ def normal_fit_curve(spark, sf_dir):
 
 
 def winpct_pivot(spark, sf_dir):
-    pivot = ops.win_pct_pivot(ops.timeclass_opening(weekly(spark, sf_dir)), TIME_CLASSES)
-    return _rounded(pivot, *TIME_CLASSES)
+    pivot = ops.win_pct_pivot(ops.timeclass_opening(weekly(spark, sf_dir)))
+    return _rounded(pivot, *[c for c in pivot.columns if c != "opening_archetype"])
 
 
 def winrate_scatter(spark, sf_dir):

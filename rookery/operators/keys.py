@@ -36,19 +36,46 @@ def request_grid(players: DataFrame, start: Column | dt.date, end: Column | dt.d
     return grid.withColumn("endpoint", paths.endpoint(F.col("player"), F.col("period")))
 
 
-def remaining_endpoints(grid: DataFrame, landed: DataFrame) -> DataFrame:
-    """Grid rows whose endpoint is not landed yet."""
-    return grid.join(landed.select("endpoint").distinct(), "endpoint", "left_anti")
+def remaining_endpoints(endpoints: DataFrame, handled: DataFrame) -> DataFrame:
+    """Endpoints that are not among the handled ones."""
+    return endpoints.join(handled.select("endpoint").distinct(), "endpoint", "left_anti")
 
 
-def remaining_by_ledger(grid: DataFrame, ledger: DataFrame, skip_failed: bool = True) -> DataFrame:
-    """Grid rows without a ledger entry for their player and period (D3).
+def landed_periods(landed: DataFrame) -> DataFrame:
+    """player, period of landed endpoints."""
+    return landed.select(
+        paths.player_of(F.col("endpoint")).alias("player"), paths.period_of(F.col("endpoint")).alias("period")
+    )
+
 
-    A failed fetch counts as done when ``skip_failed``; otherwise it is tried
-    again.
+def ledger_periods(ledger: DataFrame, skip_failed: bool = True) -> DataFrame:
+    """player, period that need no further request (D3).
+
+    A failed fetch counts as done when ``skip_failed``; otherwise it is tried again.
     """
     done = ledger if skip_failed else ledger.where(F.col("outcome") != "failed")
-    return grid.join(done.select("player", "period").distinct(), ["player", "period"], "left_anti")
+    return done.select("player", "period")
+
+
+def player_months(players: DataFrame, start: Column | dt.date, end: Column | dt.date, done: DataFrame) -> DataFrame:
+    """player, months of the window, periods of it that are done: one row per player.
+
+    What is done is gathered per player, at most the months of the window, and
+    joined on the player: one row per player moves, not one per player and month.
+    """
+    start, end = (c if isinstance(c, Column) else F.lit(c) for c in (start, end))
+    months = month_list(start, end)
+    inside = done.where(F.array_contains(months, F.col("period")))
+    sets = inside.groupBy("player").agg(F.collect_set("period").alias("done"))
+    rows = players.select("player", months.alias("months"))
+    return rows.join(sets, "player", "left").select("player", "months", F.coalesce("done", F.array()).alias("done"))
+
+
+def remaining_requests(players: DataFrame, start: Column | dt.date, end: Column | dt.date, done: DataFrame) -> DataFrame:
+    """player, period, endpoint of the window that ``done`` (player, period) lacks."""
+    months = player_months(players, start, end, done)
+    rows = months.select("player", F.explode(F.array_except("months", "done")).alias("period"))
+    return rows.withColumn("endpoint", paths.endpoint(F.col("player"), F.col("period")))
 
 
 def set_difference(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -72,6 +99,11 @@ def keep_missing(rows: DataFrame, missing: DataFrame, key: str) -> DataFrame:
     return rows.join(missing.select(key).distinct(), key, "left_semi")
 
 
+def rows_missing(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Rows whose key the table does not hold, in one pass over the rows."""
+    return rows.join(table.select(key).distinct(), key, "left_anti")
+
+
 def keep_first(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """One row per key: the first in ``order``.
 
@@ -88,14 +120,11 @@ def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
 
 
-def coverage_counts(grid: DataFrame, landed: DataFrame) -> DataFrame:
-    """Total, already landed and remaining requests, in one pass."""
-    flags = landed.select("endpoint").distinct().withColumn("is_landed", F.lit(True))
-    return grid.join(flags, "endpoint", "left").agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("is_landed")).alias("already_done"),
-        F.count_if(F.col("is_landed").isNull()).alias("remaining"),
-    )
+def coverage_counts(players: DataFrame, start: Column | dt.date, end: Column | dt.date, done: DataFrame) -> DataFrame:
+    """Total, already done and remaining requests of the window, from the sizes of each player's sets."""
+    months = player_months(players, start, end, done)
+    total, had = (F.coalesce(F.sum(F.size(c).cast("long")), F.lit(0)) for c in ("months", "done"))
+    return months.agg(total.alias("total"), had.alias("already_done"), (total - had).alias("remaining"))
 
 
 def batch_counts(batch: DataFrame, table: DataFrame, key: str = "game_id") -> DataFrame:

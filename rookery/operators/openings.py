@@ -275,11 +275,14 @@ def normal_curve(counts: DataFrame, color: str | None = None, points: int = CURV
     )
 
 
-def win_pct_pivot(timeclass_counts: DataFrame, time_classes: Sequence[str]) -> DataFrame:
-    """White win rate: one row per opening, one column per time class."""
+def win_pct_pivot(timeclass_counts: DataFrame, time_classes: Sequence[str] | None = None) -> DataFrame:
+    """White win rate: one row per opening, one column per time class.
+
+    Without a list, the time classes are those that the counts hold.
+    """
     return (
         timeclass_counts.groupBy("opening_archetype")
-        .pivot("time_class", list(time_classes))
+        .pivot("time_class", list(time_classes) if time_classes is not None else None)
         .agg(F.first("white_win_pct"))
     )
 

@@ -48,6 +48,7 @@ def opening_report(
         base.unpersist()
 
 
+@contextmanager
 def usage_report(
     job_log: DataFrame,
     as_of: dt.date,
@@ -56,16 +57,26 @@ def usage_report(
     users: Sequence[str] | None = None,
     metric: str = "total_gigabytes_billed",
     minimum_gb: float | None = None,
-) -> dict[str, DataFrame]:
-    """All frames of the usage report (H6)."""
-    facts = usage.job_facts(usage.rolling_window(job_log, as_of))
-    user_days = usage.user_day(facts)
-    chosen_jobs = usage.jobs_over(usage.usage_filter(facts, start, end, users), minimum_gb)
-    return {
-        "user_days": user_days,
-        "series": usage.daily_series(usage.usage_filter(user_days, start, end, users), metric),
-        "jobs": usage.jobs_table(chosen_jobs),
-        "kpis": usage.usage_kpis(user_days, start, end, as_of, users),
-        "month_over_month": usage.month_over_month(user_days, as_of),
-    }
+) -> Iterator[dict[str, DataFrame]]:
+    """All frames of the usage report (H6), with its users, metrics and default window.
 
+    The job facts and user days are kept for the duration of the ``with`` block: the job log is read once.
+    """
+    facts = usage.job_facts(usage.rolling_window(job_log, as_of)).persist()
+    user_days = usage.user_day(facts).persist()
+    chosen_jobs = usage.jobs_over(usage.usage_filter(facts, start, end, users), minimum_gb)
+    metrics = usage.numeric_metrics(user_days)
+    try:
+        yield {
+            "user_days": user_days,
+            "series": usage.daily_series(usage.usage_filter(user_days, start, end, users), metric),
+            "jobs": usage.jobs_table(chosen_jobs),
+            "kpis": usage.usage_kpis(user_days, start, end, as_of, users),
+            "month_over_month": usage.month_over_month(user_days, as_of),
+            "users": user_days.select("user_email").distinct(),
+            "metrics": user_days.sparkSession.createDataFrame([(m,) for m in metrics], "metric string"),
+            "window": usage.default_window(user_days),
+        }
+    finally:
+        user_days.unpersist()
+        facts.unpersist()

@@ -120,6 +120,15 @@ REQUEST_LEDGER = StructType(
     ]
 )
 
+REQUESTS = StructType(
+    [
+        _required("player", StringType()),
+        _required("endpoint", StringType()),
+        _required("url", StringType()),
+        _required("period", StringType()),
+    ]
+)
+
 LEADERBOARD_USERS = ArrayType(StructType([_optional("username", StringType())]))
 
 WEEKLY_OPENINGS = StructType(

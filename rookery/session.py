@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -63,7 +64,7 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get(SCRATCH_SETTING, None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
             raise RuntimeError(f"set {SCRATCH_SETTING} to a folder all executors share")
         application = spark.conf.get("spark.app.id")
         root = _local_roots.get(application) or tempfile.mkdtemp(prefix="rookery-")

@@ -47,11 +47,30 @@ def test_plan_requests(spark):
 
 def test_coverage_adds_up(spark):
     players = spark.createDataFrame([("ann",), ("bob",)], "player string")
-    grid = keys.request_grid(players, JAN, FEB)
-    landed = spark.createDataFrame([("player/ann/games/2025/01",)] * 2 + [("player/eve/games/2025/01",)], "endpoint string")
-    counts = keys.coverage_counts(grid, landed).first()
-    assert tuple(counts) == (4, 1, 3)
-    assert keys.remaining_endpoints(grid, landed).count() == counts.remaining
+    landed = spark.createDataFrame(
+        [(f"player/{p}/games/2025/01",) for p in ("ann", "ann", "eve")] + [("player/bob/games/2020/01",)], "endpoint string"
+    )
+    done = keys.landed_periods(landed)
+    assert tuple(keys.coverage_counts(players, JAN, FEB, done).first()) == (4, 1, 3)
+    todo = keys.remaining_requests(players, JAN, FEB, done)
+    assert sorted(r.endpoint for r in todo.collect()) == [
+        "player/ann/games/2025/02",
+        "player/bob/games/2025/01",
+        "player/bob/games/2025/02",
+    ]
+    assert tuple(keys.coverage_counts(players.limit(0), JAN, FEB, done).first()) == (0, 0, 0)
+
+
+def test_requests_move_one_row_per_player(spark):
+    players = spark.range(100).select(F.format_string("p%d", "id").alias("player"))
+    done = spark.range(100).select(F.format_string("p%d", "id").alias("player"), F.lit("2025/01").alias("period"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = keys.remaining_requests(players, JAN, dt.date(2025, 12, 1), done)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan.split("Generate explode")[0]
+    assert "Exchange" in plan.split("Generate explode")[1]
 
 
 def test_list_endpoints(spark):
@@ -99,8 +118,9 @@ def test_dedup_and_missing_match_brute_force(spark, rows, known):
 
     missing = keys.missing_keys(frame, table, "game_id")
     assert {r[0] for r in missing.collect()} == set(first) - set(known)
-    kept = [tuple(r) for r in keys.keep_missing(frame, missing, "game_id").select(frame.columns).collect()]
-    assert sorted(kept) == sorted(r for r in rows if r[0] not in known)
+    for kept in (keys.keep_missing(frame, missing, "game_id"), keys.rows_missing(frame, table, "game_id")):
+        got = [tuple(r) for r in kept.select(frame.columns).collect()]
+        assert sorted(got) == sorted(r for r in rows if r[0] not in known)
 
     filtered = sum(r[0] in known for r in rows)
     fresh = len(set(first) - set(known))

@@ -112,12 +112,16 @@ def test_series_and_window(days):
 
 
 def test_report_and_csv(spark, log, tmp_path):
-    report = usage_report(log, AS_OF, dt.date(2025, 3, 1), dt.date(2025, 3, 31), minimum_gb=100)
-    assert [r.job_id for r in report["jobs"].collect()] == ["b", "a"]
-    assert len(report["jobs"].columns) == 11
-    assert report["series"].count() == 2
-    assert report["kpis"].first().total_number_of_queries == 3
-    assert report["month_over_month"].first().percentage_difference == 100.0
-    tables.export_csv(report["jobs"], str(tmp_path / "csv"))
-    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
-    assert back.columns == report["jobs"].columns and back.count() == 2
+    with usage_report(log, AS_OF, dt.date(2025, 3, 1), dt.date(2025, 3, 31), minimum_gb=100) as report:
+        assert [r.job_id for r in report["jobs"].collect()] == ["b", "a"]
+        assert len(report["jobs"].columns) == 11
+        assert report["series"].count() == 2
+        assert report["kpis"].first().total_number_of_queries == 3
+        assert report["month_over_month"].first().percentage_difference == 100.0
+        tables.export_csv(report["jobs"], str(tmp_path / "csv"))
+        back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+        assert back.columns == report["jobs"].columns and back.count() == 2
+        assert "number_of_queries" in {r.metric for r in report["metrics"].collect()}
+        assert report["window"].count() == 1 and report["users"].count() >= 1
+        plan = report["kpis"]._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" in plan
