@@ -24,6 +24,7 @@ from rookery.functions import games, paths
 from rookery.operators import archive as ops
 from rookery.operators import keys, quality
 from rookery.plans.load import GameTables, load_documents
+from rookery.plans.weekly import create_weekly_openings, refresh_weekly_openings
 from rookery.session import scratch_path
 from rookery.sources import archive as source
 from rookery.sources import tables
@@ -175,6 +176,22 @@ def incremental_load(spark, sf_dir):
     return flat_games(_kept(spark, target))
 
 
+def weekly_refresh(spark, sf_dir):
+    """The weekly table after two loads, of which each refreshed only the weeks it touched."""
+    target = _target(spark, "weekly_table")
+    name = f"{target.games.split('.')[0]}.weekly_openings"
+    create_weekly_openings(spark, name)
+    location = scratch_path(spark, "landing")
+    for hours, kinds in enumerate([("own",), ("opponent",)]):
+        land(spark, sf_dir, location, kinds)
+        landed = source.read_landing(spark, location).select("endpoint", "body")
+        loaded = load_documents(landed, target, RUN_TIME + dt.timedelta(hours=hours))
+        refresh_weekly_openings(tables.current(spark, target.games), loaded.games, name)
+    weekly = tables.stage(tables.current(spark, name), "result")
+    spark.sql(f"DROP DATABASE {name.split('.')[0]} CASCADE")
+    return weekly
+
+
 def load_rejects(spark, sf_dir):
     """Rejects of a lenient load of own documents, run twice: one month's are cut off, another's lack an end time."""
     target = _target(spark, "rejects")
@@ -211,6 +228,7 @@ QUERIES = {
     "append_table_roundtrip": append_table_roundtrip,
     "incremental_load": incremental_load,
     "load_rejects": load_rejects,
+    "weekly_refresh": weekly_refresh,
     "unknown_responses": unknown_responses,
 }
 
@@ -263,6 +281,10 @@ WHERE period NOT LIKE '%/11'""",
     + """SELECT CASE WHEN period LIKE '%/11' THEN 'malformed document' ELSE 'missing required value' END AS reason,
   count(DISTINCT white_username || period) AS endpoints, 0 AS without_text
 FROM v_games WHERE period LIKE '%/11' OR period LIKE '%/12' GROUP BY ALL""",
+    "weekly_refresh": _ARCHIVE
+    + """SELECT CAST(date_trunc('week', game_date) AS DATE) AS week_start, time_class, opening AS opening_archetype,
+  count(*) AS total_games, count(*) FILTER (white_result = 'win') AS white_win_count,
+  count(*) FILTER (black_result = 'win') AS black_win_count FROM v_games GROUP BY ALL""",
     "unknown_responses": _ARCHIVE
     + """SELECT 'https://x/pub/leaderboards' AS url, 2 * count(*) AS n FROM v_games WHERE period LIKE '%/11'""",
 }

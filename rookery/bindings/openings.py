@@ -26,7 +26,7 @@ def _opening(spark, sf_dir, minimum=None):
 
 
 def top10_openings(spark, sf_dir):
-    base = ops.dimension_filter(ops.week_range(weekly(spark, sf_dir), START, END), "all", None)
+    base = ops.dimension_filter(weekly(spark, sf_dir, START, END), "all", None)
     return _rounded(ops.top_openings(ops.by_opening(base, MIN_TOP)), "white_win_pct", "black_win_pct")
 
 
@@ -41,7 +41,7 @@ def weekly_openings_build(spark, sf_dir):
 
 
 def weekly_range(spark, sf_dir):
-    return ops.week_range(weekly(spark, sf_dir), START, END)
+    return weekly(spark, sf_dir, START, END)
 
 
 def dimension_filter(spark, sf_dir):

@@ -42,9 +42,16 @@ def plain(*columns: str) -> list[Column]:
 # --- weekly openings ------------------------------------------------------------
 
 
-def weekly_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One game per line item: date, time class, opening and both results."""
+def weekly_games(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """One game per line item: date, time class, opening and both results; of the weeks in a range if given.
+
+    The ship date is a timestamp, so the range of days is put on it, not on the date made from it.
+    """
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_shipdate")
+    if start and end:
+        after = dt.date.fromisoformat(end) + dt.timedelta(days=7)
+        first, last = (F.lit(d).cast("date").cast(lines.schema["l_shipdate"].dataType) for d in (start, after))
+        lines = lines.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < last))
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     status = F.col("o_orderstatus")
@@ -65,9 +72,9 @@ def weekly_games(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weekly openings of :func:`weekly_games`."""
-    return build_weekly_openings(weekly_games(spark, sf_dir))
+def weekly(spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Weekly openings of :func:`weekly_games`, of the weeks in a range if given."""
+    return build_weekly_openings(weekly_games(spark, sf_dir, start, end), start=start, end=end)
 
 
 V_WEEKLY = """v_weekly AS (

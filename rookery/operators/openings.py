@@ -25,20 +25,33 @@ CURVE_POINTS = 200
 # --- building and filtering -------------------------------------------------
 
 
+def week_of(day: Column, week_offset_days: int = 0) -> Column:
+    """First day of a day's week: Monday, or ``week_offset_days`` later."""
+    shifted = F.date_sub(day, week_offset_days)
+    return F.date_add(F.to_date(F.date_trunc("week", shifted)), week_offset_days)
+
+
 def build_weekly_openings(
     games: DataFrame,
     archetypes: DataFrame | None = None,
     week_offset_days: int = 0,
+    start: dt.date | str | None = None,
+    end: dt.date | str | None = None,
 ) -> DataFrame:
     """Games to weekly counts per time class and opening archetype.
 
+    With ``start`` and ``end`` only weeks that begin in that range are counted
+    (C1), and only their days are read: the range is also put on the game date, where it reaches the scan.
+
     ``archetypes`` maps ``opening`` to ``opening_archetype``; an opening it lacks
     gets NULL, and without a mapping the opening is its own archetype.  Weeks
     start on Monday, ``week_offset_days`` later if given (-1: Sunday).  Games are
     counted per opening first, so the mapping is joined to counts, not to games.
     """
-    shifted = F.date_sub("game_date", week_offset_days)
-    week_start = F.date_add(F.to_date(F.date_trunc("week", shifted)), week_offset_days)
+    week_start = week_of(F.col("game_date"), week_offset_days)
+    if start is not None and end is not None:
+        first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+        games = games.where(F.col("game_date").between(first, F.date_add(last, 6)) & week_start.between(first, last))
     counts = games.groupBy(week_start.alias("week_start"), "time_class", "opening").agg(
         F.count(F.lit(1)).alias("total_games"),
         F.count_if(F.col("white.result") == "win").alias("white_win_count"),

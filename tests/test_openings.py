@@ -181,3 +181,13 @@ def test_report(weekly):
         assert report["weekly_opening"].count() == 3
         assert report["timeclass_opening"].count() == 3
         assert report["stats"].first().n_openings == 3
+
+
+def test_week_range_reaches_the_scan(spark):
+    from rookery.bindings.views import weekly
+
+    ranged = weekly(spark, "/root/testdata/sf0.001", "1996-01-01", "1996-03-31")
+    plan = ranged._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate,1996-01-01" in plan and "LessThan(l_shipdate,1996" in plan
+    whole = ops.week_range(weekly(spark, "/root/testdata/sf0.001"), "1996-01-01", "1996-03-31")
+    assert sorted(map(str, ranged.collect())) == sorted(map(str, whole.collect()))
