@@ -5,9 +5,8 @@ Every stage takes all that the stage before kept, is written as Parquet and read
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,17 +36,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A cut may part a character's bytes; what is left of it goes too.  A null text becomes empty.
     """
     found = remove_repeats(docs, with_text=True)
-    names = [c for c in docs.columns if c not in ("text", "n_chars")]
-    carried = found.select(F.struct(*(F.col(f"row.`{c}`") for c in names)).alias("row"), "kept")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [kept.decode("utf-8", "ignore") for kept in batch.column("kept").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
-
-    row = carried.schema["row"].dataType.simpleString()
-    decoded = carried.mapInArrow(run, f"row {row}, text string")
-    return decoded.select("row.*", "text", F.char_length("text").cast("long").alias("n_chars")).select(*docs.columns)
+    changed = {"text": F.col("kept_text"), "n_chars": F.char_length("kept_text").cast("long")}
+    return found.select(*(changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

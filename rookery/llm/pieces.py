@@ -17,7 +17,7 @@ from rookery.llm.tables import utf8
 # Fixed value: SentencePiece writes a space as this marker.
 MARKER = "▁"
 #: Distinct chunks a worker remembers.
-TABLE_CHUNKS = 800_000
+TABLE_CHUNKS = 400_000
 #: Rows handed on at once.
 ROWS = 500
 

@@ -7,7 +7,7 @@ language of the corpus, by Jensen-Shannon divergence; far from all of them it is
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -99,13 +99,13 @@ def common_words(docs: DataFrame, share: float, text_column: str = "text", lang_
     )
 
 
-def text_statistics(
-    docs: DataFrame, words: list[bytes], rules: Rules, keep: tuple[str, ...], text_column: str = "text"
-) -> DataFrame:
-    """row (the columns of ``keep``) and the counts of each text, one pass."""
+Batches = Iterator[pa.RecordBatch]
+
+
+def _counted(words: list[bytes], rules: Rules) -> Callable[[Batches], Batches]:
+    """From batches of (row, text) to batches of row and the counts of each text."""
     index = {word: place for place, word in enumerate(words)}
     symbol_bytes = list(ts.SYMBOLS)
-    carried = docs.select(F.struct(*keep).alias("row"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,8 +141,20 @@ def text_statistics(
                 [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names
             )
 
-    row = carried.schema["row"].dataType.simpleString()
-    return carried.mapInArrow(run, f"row {row}, {STATS}")
+    return run
+
+
+def _carried(docs: DataFrame, keep: tuple[str, ...], text_column: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.struct(*keep).alias("row"), F.col(text_column).alias("text"))
+    return rows, rows.schema["row"].dataType.simpleString()
+
+
+def text_statistics(
+    docs: DataFrame, words: list[bytes], rules: Rules, keep: tuple[str, ...], text_column: str = "text"
+) -> DataFrame:
+    """row (the columns of ``keep``) and the counts of each text, one pass."""
+    rows, kind = _carried(docs, keep, text_column)
+    return rows.mapInArrow(_counted(words, rules), f"row {kind}, {STATS}")
 
 
 @dataclass(frozen=True)
@@ -191,12 +203,14 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.clip(_entropy((p + q) / 2) - (_entropy(p) + _entropy(q)) / 2, 0, 1)
 
 
-def judged(stats: DataFrame, refs: list[Reference], rules: Rules, n_common: int) -> DataFrame:
-    """``stats`` with nearest_lang, char_divergence, word_divergence (null where not judged) and kept."""
-    columns = ("n_words", "base_failed", "classes", "n_tokens", "common_ids", "common_counts")
-    carried = stats.select(
-        F.struct("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").alias("out"), *columns
-    )
+VERDICT = (
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
+    "nearest_lang string, char_divergence double, word_divergence double, kept boolean"
+)
+
+
+def _judged(refs: list[Reference], rules: Rules, n_common: int) -> Callable[[Batches], Batches]:
+    """From batches of counts to batches of verdicts; divergences are null where a text is too short for them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -225,27 +239,18 @@ def judged(stats: DataFrame, refs: list[Reference], rules: Rules, n_common: int)
                 most_char = rules.max_char_divergence + rules.char_allowance / np.maximum(n_words, 1)
                 most_word = rules.max_word_divergence + rules.word_allowance / np.maximum(tokens, 1)
                 strange = by_char & (char_div > most_char) | by_word & (word_div > most_word)
-                kept = ~failed.astype(bool) & ~strange
-                names = [refs[k].lang if k >= 0 else None for k in nearest]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("out"),
-                        batch.column("base_failed"),
-                        pa.array(names, pa.string()),
-                        pa.array(char_div, mask=~by_char),
-                        pa.array(word_div, mask=~by_word),
-                        pa.array(kept),
-                    ],
-                    ["out", "base_failed", "nearest_lang", "char_divergence", "word_divergence", "kept"],
-                )
+                counted = ("row", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+                columns = [
+                    *(batch.column(c) for c in counted),
+                    pa.array([refs[k].lang if k >= 0 else None for k in nearest], pa.string()),
+                    pa.array(char_div, mask=~by_char),
+                    pa.array(word_div, mask=~by_word),
+                    pa.array(~failed.astype(bool) & ~strange),
+                ]
+                names = [*counted, "nearest_lang", "char_divergence", "word_divergence", "kept"]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    out = carried.schema["out"].dataType.simpleString()
-    verdicts = carried.mapInArrow(
-        run,
-        f"out {out}, base_failed boolean, nearest_lang string, char_divergence double, word_divergence double, "
-        "kept boolean",
-    )
-    return verdicts.select("out.*", "base_failed", "nearest_lang", "char_divergence", "word_divergence", "kept")
+    return run
 
 
 def quality_rules(
@@ -271,7 +276,10 @@ def quality_rules(
     narrow = tuple(c for c in carried if c != text_column)
     stats = staged(text_statistics(docs, vocabulary, rules, narrow, text_column), "quality-stats")
     refs = references(stats, len(vocabulary), rules, f"row.`{lang_column}`")
-    if text_column in kept_columns:
-        # Counting again costs less than a second copy of all texts.
-        stats = text_statistics(docs, vocabulary, rules, carried, text_column)
-    return judged(stats, refs, rules, len(vocabulary))
+    judge = _judged(refs, rules, len(vocabulary))
+    if text_column not in kept_columns:
+        return stats.mapInArrow(judge, f"row {stats.schema['row'].dataType.simpleString()}, {VERDICT}")
+    # Counting again costs less than a second copy of all texts; both steps share a worker.
+    count = _counted(vocabulary, rules)
+    rows, kind = _carried(docs, carried, text_column)
+    return rows.mapInArrow(lambda batches: judge(count(batches)), f"row {kind}, {VERDICT}")

@@ -447,10 +447,11 @@ def remove_repeats(
     range_bytes: int = RANGE_BYTES,
     task_pieces: int = TASK_PIECES,
 ) -> DataFrame:
-    """Every document without what a smaller one holds: row, n_bytes, n_removed, n_spans, kept_sha256, kept.
+    """Every document without what a smaller one holds: row, n_bytes, n_removed, n_spans, kept_sha256, kept, kept_text.
 
     ``row`` holds the columns of ``keep`` (all, if None) but the text; ``kept``
-    the remaining bytes if ``with_text`` (null without).  Strings are judged on
+    the remaining bytes and ``kept_text`` their text, without the rest of characters
+    that a cut parts, if ``with_text`` (null without).  Strings are judged on
     the input.  Null text counts as empty.  A row without id takes no part:
     nothing is removed from it or because of it.  Rows with equal ids remove nothing from each
     other.  Of equal texts the smallest id is kept whole and no other is compared.
@@ -511,15 +512,16 @@ def remove_repeats(
                     spans = int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum())
                     kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                 digest = hashlib.sha256(kept).hexdigest()
-                rows.append((len(data), removed, spans, digest, kept if with_text else None))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            columns = list(zip(*rows)) or [[]] * 5
-            names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+                texts = (kept, kept.decode("utf-8", "ignore")) if with_text else (None, None)
+                rows.append((len(data), removed, spans, digest, *texts))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string())
+            columns = list(zip(*rows)) or [[]] * 6
+            names = ["row", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "kept_text"]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), *(pa.array(c, k) for c, k in zip(columns, kinds))], names
             )
 
     row = base.schema["row"].dataType.simpleString()
     return judged.mapInArrow(
-        run, f"row {row}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+        run, f"row {row}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
     )
