@@ -241,7 +241,9 @@ def top_inner_products(
     wanted = seeded.filter("needed > 1").select(
         "q_n", "q_data", "beat", F.explode(F.sequence(F.lit(1), F.col("needed") - 1)).alias("_block")
     )
-    met = wanted.join(candidates, F.col("_block") == F.col("block")).select("q_n", "q_data", "beat", "n", "data")
+    # Both sides grow with the vectors: never broadcast.
+    met = wanted.hint("merge").join(candidates, F.col("_block") == F.col("block"))
+    met = met.select("q_n", "q_data", "beat", "n", "data")
     found = map_batches(met, later, RESULT)
     start = seeded.select(F.explode(F.arrays_zip("uids", "ids", "found", "scores")).alias("z")).select(
         F.col("z.uids").alias("query_uid"),
