@@ -20,13 +20,14 @@ def start_load(
 ) -> StreamingQuery:
     """Load newly landed documents batch by batch.
 
-    The checkpoint remembers the files already seen.  A batch that is replayed
-    after a failure adds nothing twice, as games are compared by id and
-    endpoints with the ledger.
+    The checkpoint remembers the files already seen.  The documents of one endpoint
+    may lie in several files and come in several batches, so the ledger drops none
+    of them: games are compared by id, which also lets a batch that is replayed
+    after a failure add nothing twice.
     """
 
     def load_batch(batch: DataFrame, _: int) -> None:
-        load_documents(batch, target, run_time or dt.datetime.now(dt.UTC), strict=strict)
+        load_documents(batch, target, run_time or dt.datetime.now(dt.UTC), strict=strict, by_endpoint=False)
 
     return (
         documents.writeStream.foreachBatch(load_batch)

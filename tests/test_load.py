@@ -14,7 +14,7 @@ from rookery.operators import archive, quality
 from rookery.plans.load import load_documents, load_month, new_games, on_days
 from rookery.sources import archive as source
 from rookery.sources import tables
-from rookery.streaming.load import start_load
+from rookery.streaming.load import start_load, start_unique_games
 from rookery.streaming.runs import file_stream
 
 T1 = dt.datetime(2025, 1, 20, 12)
@@ -256,6 +256,26 @@ def test_stream_load(spark, database, tmp_path):
     assert source.read_landing(spark, landing, "2024/11").count() == 1
 
 
+PARTS = [{"games": []}, {"games": [game(1)]}, {"games": [game(1), game(2)]}, {"games": [game("x"), game(3)]}]
+
+
+def test_stream_loads_every_part_of_an_endpoint(spark, database, tmp_path):
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    name = "player/a/games/2024/10"
+    for document in PARTS:
+        responses = documents(spark, {name: document}).select(F.lit(f"https://x/pub/{name}").alias("url"), "body")
+        source.land_responses(responses, landing)
+    for _ in range(2):
+        stream = file_stream(spark, landing, schemas.readable(schemas.LANDING), max_files=1).select("endpoint", "body")
+        start_unique_games(stream, database, checkpoint, T1).awaitTermination()
+    ids = [r.game_id for r in tables.current(spark, database.games).collect()]
+    assert sorted(ids) == [1, 2, 3]
+    assert tables.current(spark, database.rejects).count() == 1
+    # Loaded once; if the part without games came first, after a row that says so.
+    actions = [r.action_taken for r in tables.current(spark, database.ledger).collect()]
+    assert actions.count("Loaded") == 1 and actions.count("Deleted") <= 1
+
+
 def test_contract(spark):
     exploded = archive.explode_games(archive.parse_documents(documents(spark, FILES)))
     rows = archive.games_rows(exploded, T1)
