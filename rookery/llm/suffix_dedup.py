@@ -11,6 +11,8 @@ piece of at most 2 * LENGTH - CORE bytes.  Pieces meet by the hash of their anch
    Columns of these travel as packed bytes, cut by ranges of the anchor's hash.
 3. A range knows which anchors occur in several documents.  Where all their
    pieces are equal, their strings start first in the smallest of these documents.
+   A range that one frequent anchor makes too large for a worker is not gathered:
+   its verdicts are aggregates, joined back to its pieces (`_spread_entries`).
 4. Of the other shared anchors one piece per distinct content is fetched.  A suffix
    array over them (`rookery.llm.suffix_array`) puts equal strings side by
    side; each class belongs to its smallest document.
@@ -41,6 +43,10 @@ BLOCK = 1 << 16
 FLUSH_ENTRIES = 150_000
 #: Text bytes for which there is one range of anchor hashes (about 300,000 entries).
 RANGE_BYTES = 4_000_000
+#: Entries of a range that one worker takes; a range with more is not gathered.
+RANGE_ENTRIES = 600_000
+#: Bytes of a row group of packed entries, which a task reads at once.
+GROUP_BYTES = 16 << 20
 #: Pieces of one suffix array task; anchors with more are spread over several.
 TASK_PIECES = 20_000
 #: Symbols of one suffix array.
@@ -162,8 +168,11 @@ def _unpack(blob: bytes) -> dict[str, np.ndarray]:
     return found
 
 
-def _anchor_blobs(texts: DataFrame, ranges: int) -> DataFrame:
-    """range, blob: the pieces of all texts (doc, ord, text), packed, by range of the anchor's hash."""
+def _anchor_blobs(texts: DataFrame, ranges: int, packed: bool = True) -> DataFrame:
+    """range, entries, blob: the pieces of all texts (doc, ord, text), by range of the anchor's hash.
+
+    The pieces are counted only, if not ``packed``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
@@ -175,16 +184,18 @@ def _anchor_blobs(texts: DataFrame, ranges: int) -> DataFrame:
             piece = (columns[6] >> _U(16)).view(np.int64)
             # Anchors are smallest hashes: dealt evenly only by a hash of their hash.
             place = ((_mixed(columns[5]) >> _U(32)) * _U(ranges) >> _U(32)).astype(np.int64)
-            # Copies of a piece within a document, or in a later one, add nothing here but their place: all stay.
+            # Copies of a piece within a document, or in a later one, add nothing but their place, which is needed: all stay.
             order = np.argsort(place, kind="stable")
             names = [name for name, _ in _FIELDS]
             values = [c[order] for c in (*columns[:5], core, piece)]
             cuts = np.flatnonzero(np.diff(place[order], prepend=-1))
+            after = np.append(cuts[1:], len(order))
             blobs = [
-                _pack(dict(zip(names, (v[a:b] for v in values)))) for a, b in zip(cuts, [*cuts[1:], len(order)])
+                _pack(dict(zip(names, (v[a:b] for v in values)))) if packed else None for a, b in zip(cuts, after)
             ]
+            columns = (place[order][cuts], after - cuts)
             return pa.RecordBatch.from_arrays(
-                [pa.array(place[order][cuts], pa.int64()), pa.array(blobs, pa.binary())], ["range", "blob"]
+                [*(pa.array(c, pa.int64()) for c in columns), pa.array(blobs, pa.binary())], ["range", "entries", "blob"]
             )
 
         count = 0
@@ -202,7 +213,7 @@ def _anchor_blobs(texts: DataFrame, ranges: int) -> DataFrame:
         if count:
             yield flush()
 
-    return texts.mapInArrow(run, "range long, blob binary")
+    return texts.mapInArrow(run, "range long, entries long, blob binary")
 
 
 ENTRY = "doc long, ord int, start int, n int, offset int, core long, piece long, variants int, first boolean"
@@ -233,7 +244,52 @@ def _shared_entries(blobs: DataFrame) -> DataFrame:
         values = [*columns, variants[wanted], (new_piece & (variants > 1))[wanted]]
         return pa.table([pa.array(v, k) for v, k in zip(values, kinds)], [c.split()[0] for c in ENTRY.split(", ")])
 
-    return blobs.groupBy("range").applyInArrow(run, ENTRY)
+    return blobs.select("range", "blob").groupBy("range").applyInArrow(run, ENTRY)
+
+
+PLACE = ("doc", "ord", "start", "n", "offset")
+
+
+def _spread_entries(blobs: DataFrame) -> DataFrame:
+    """The same as `_shared_entries`, where a range may hold any number of pieces of one anchor.
+
+    No task gathers an anchor: copies of a piece, then pieces of an anchor, collapse in the map tasks, and
+    the joins of the verdict with the pieces are split at run time where an anchor is frequent.
+    """
+    kinds = [pa.int64(), *[pa.int32()] * 4, pa.int64(), pa.int64()]
+    names = (*PLACE, "core", "piece")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                e = _unpack(blob)
+                yield pa.RecordBatch.from_arrays([pa.array(e[name], k) for name, k in zip(names, kinds)], list(names))
+
+    entries = blobs.select("blob").mapInArrow(run, ENTRY.split(", variants")[0])
+    pieces = entries.groupBy("core", "piece").agg(F.min(F.struct(*PLACE)).alias("head"), F.max("doc").alias("most"))
+    pieces = staged(pieces, "distinct-pieces")
+    anchors = pieces.groupBy("core").agg(
+        F.count(F.lit(1)).cast("int").alias("variants"), F.min("head.doc").alias("least"), F.max("most").alias("most")
+    )
+    # Staged, so that each join exchanges both sides and can be split.
+    anchors = staged(anchors.filter("least != most").drop("most"), "shared-anchors")
+    anchors = anchors.withColumnRenamed("core", "_core")
+    same = F.col("core") == F.col("_core")
+    heads = pieces.join(anchors.filter("variants > 1"), same).select(*(f"head.{c}" for c in PLACE), "core", "piece", "variants")
+    heads = staged(heads, "first-pieces")
+    taken = heads.select(*(F.col(c).alias(f"_{c}") for c in PLACE[:3]))
+    others = (
+        entries.join(anchors, same)
+        .filter("variants > 1 OR doc > least")
+        .select(*names, "variants")
+        .join(taken, [F.col(c) == F.col(f"_{c}") for c in PLACE[:3]], "left_anti")
+    )
+    return heads.withColumn("first", F.lit(True)).union(others.withColumn("first", F.lit(False)))
+
+
+def _big_ranges(blobs: DataFrame, range_entries: int) -> DataFrame:
+    """Ranges with more entries than one worker takes."""
+    return blobs.groupBy("range").agg(F.sum("entries").alias("held")).filter(F.col("held") > range_entries).select("range")
 
 
 def _extents(contexts: list[bytes]) -> list[int]:
@@ -398,13 +454,22 @@ def _met_owners(local: DataFrame) -> DataFrame:
     return rows.select("core", "piece", F.col("by_place.least").alias("owners"))
 
 
-def _marks(texts: DataFrame, total_bytes: int, range_bytes: int, task_pieces: int) -> DataFrame:
+def _marks(texts: DataFrame, total_bytes: int, range_bytes: int, task_pieces: int, range_entries: int) -> DataFrame:
     """doc, ord, marks: the strings of each text that start in a smaller document, as (start, mask) pairs.
 
     Bit i of a mask stands for the string that starts at start + i.
     """
     ranges = max(1, -(-total_bytes // range_bytes))
-    entries = staged(_shared_entries(_anchor_blobs(texts, ranges)), "shared-pieces")
+    # Counted apart: to keep all packed pieces for a second reading would cost about the input's size in disk.
+    big = staged(_big_ranges(_anchor_blobs(texts, ranges, packed=False), range_entries), "big-ranges")
+    blobs = _anchor_blobs(texts, ranges)
+    if big.isEmpty():
+        entries = _shared_entries(blobs)
+    else:
+        frequent = blobs.join(big, "range", "left_semi")
+        frequent = staged(frequent, "packed-pieces", {"parquet.block.size": str(GROUP_BYTES)})
+        entries = _shared_entries(blobs.join(big, "range", "left_anti")).union(_spread_entries(frequent))
+    entries = staged(entries, "shared-pieces")
     many = F.col("variants") > task_pieces
     n_first, n_many = entries.filter("first").agg(F.count(F.lit(1)), F.count_if(many)).first()
     groups = max(1, -(-n_first // task_pieces))
@@ -446,6 +511,7 @@ def remove_repeats(
     with_text: bool = False,
     range_bytes: int = RANGE_BYTES,
     task_pieces: int = TASK_PIECES,
+    range_entries: int = RANGE_ENTRIES,
 ) -> DataFrame:
     """Every document without what a smaller one holds: row, n_bytes, n_removed, n_spans, kept_sha256, kept, kept_text.
 
@@ -480,7 +546,7 @@ def remove_repeats(
     renamed = firsts.select(*(F.col(k).alias(f"_{k}") for k in keys), "ord")
     matched = [F.col(k) == F.col(f"_{k}") for k in keys]
     texts = base.join(renamed, matched).select(*keys, "ord", "text").dropDuplicates(list(keys))
-    marks = _marks(texts.select("doc", "ord", "text"), total, range_bytes, task_pieces)
+    marks = _marks(texts.select("doc", "ord", "text"), total, range_bytes, task_pieces, range_entries)
     marks = marks.withColumnsRenamed({"doc": "_doc", "ord": "_ord"})
     verdicts = firsts.join(marks, (F.col("doc") == F.col("_doc")) & (F.col("ord") == F.col("_ord")), "left").select(
         *(F.col(k).alias(f"_{k}") for k in keys), F.coalesce("marks", F.array()).alias("marks")

@@ -66,6 +66,32 @@ def test_equals_brute_force(spark, make_docs, seed, range_bytes, task_pieces):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
 
 
+def frequent(seed):
+    """A passage a third of all texts hold, in ever other contexts, and a text that repeats it."""
+    rng = random.Random(seed)
+    passage = words(rng, 25)
+    rows = [(i, words(rng, 20) + passage + words(rng, 20) if i % 3 == 0 else words(rng, 30)) for i in range(1, 91)]
+    return [*rows, (200, passage * 40), (0, words(rng, 5) + passage[:70])]
+
+
+def test_frequent_anchors_are_not_gathered(spark, make_docs):
+    rows = frequent(11)
+    docs = make_docs([(i, t, "en", "s") for i, t in rows])
+    texts = docs.selectExpr("doc_id as doc", "0 as ord", "text")
+    blobs = sd._anchor_blobs(texts, 40)
+    counted = sd._anchor_blobs(texts, 40, packed=False)
+    assert sorted(sd._big_ranges(blobs, 60).collect()) == sorted(sd._big_ranges(counted, 60).collect()) != []
+    assert sd._big_ranges(blobs, 10**6).count() == 0
+    kinds = sd._spread_entries(blobs).columns
+    assert sorted(map(tuple, sd._spread_entries(blobs).drop("ord", "start", "n", "offset").distinct().collect())) == sorted(
+        map(tuple, sd._shared_entries(blobs).select(kinds).drop("ord", "start", "n", "offset").distinct().collect())
+    )
+    for limit in (0, 60):
+        found = sd.remove_repeats(docs, range_bytes=300, range_entries=limit).collect()
+        got = sorted((r.row.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
+        assert got == sorted((i, *p) for (i, _), p in zip(rows, plain(rows)))
+
+
 def test_long_text_crosses_blocks(spark, make_docs):
     rng = random.Random(7)
     long = words(rng, 60000, 10**6)
