@@ -37,6 +37,9 @@ class GameTables:
         tables.ensure_table(spark, names.games, schemas.GAMES, "game_date")
         tables.ensure_table(spark, names.ledger, schemas.LOAD_LEDGER, "gcs_game_month")
         tables.ensure_table(spark, names.rejects, schemas.LOAD_REJECTS, "rejected_date")
+        if "part" not in spark.table(names.rejects).columns:
+            # A table made before parts were kept.
+            spark.sql(f"ALTER TABLE {names.rejects} ADD COLUMNS (part STRING)")
         return names
 
 
@@ -88,8 +91,8 @@ def load_documents(
     Only ``PROD`` runs write to the tables; a ``DEV`` run reads its endpoint
     whether or not it was handled.  ``strict`` makes a malformed document, a bad
     game id or a missing required value fail the run before anything is written;
-    otherwise such rows are returned and kept in the rejects table, each once,
-    and a malformed document stays unhandled.  ``run_time`` marks the rows of the run.
+    otherwise such rows are returned and kept in the rejects table, each text of a
+    place once, and a malformed document stays unhandled.  ``run_time`` marks the rows of the run.
     Without ``by_endpoint`` the ledger drops no document: where the documents of one endpoint
     come bit by bit, game ids alone decide.
     """
@@ -125,8 +128,10 @@ def _load(documents: DataFrame, target: GameTables, run_time: dt.datetime, write
         rejects = spark.createDataFrame([], schemas.LOAD_REJECTS)
     else:
         stamp = F.lit(run_time).cast("timestamp")
+        part = F.col("part") if "part" in staged.columns else F.lit(None)
+        times = [stamp.alias("rejected_dt"), F.to_date(stamp).alias("rejected_date")]
         rejects = staged.where("reason IS NOT NULL").select(
-            "endpoint", "pos", "reason", "text", stamp.alias("rejected_dt"), F.to_date(stamp).alias("rejected_date")
+            "endpoint", part.cast("string").alias("part"), "pos", "reason", "text", *times
         )
         staged = staged.where(F.coalesce(F.col("reason") != "malformed document", F.lit(True)))
         batch = batch.where("reason IS NULL").drop("reason", "text")
@@ -147,10 +152,10 @@ def _load(documents: DataFrame, target: GameTables, run_time: dt.datetime, write
         actions = tables.stage(new_actions, "actions")
         tables.append(fresh, target.games, "game_date")
         if not strict:
-            # A run that is repeated, or meets the same document again, adds no second row.
-            place = ["endpoint", "pos", "reason"]
-            had = tables.current(spark, target.rejects).select(*(F.col(c).alias(f"_{c}") for c in place)).distinct()
-            new = rejects.join(had, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in place], "left_anti")
+            # A run that is repeated, or meets the same text again in the same place, adds no second row.
+            same = {c: F.col(c) for c in ("endpoint", "part", "pos", "reason")} | {"text": F.sha2("text", 256)}
+            had = tables.current(spark, target.rejects).select(*(v.alias(f"_{c}") for c, v in same.items())).distinct()
+            new = rejects.join(had, [v.eqNullSafe(F.col(f"_{c}")) for c, v in same.items()], "left_anti")
             tables.append(new, target.rejects, "rejected_date")
         tables.append(actions, target.ledger, "gcs_game_month")
     return LoadResult(fresh, actions, archive.purge_list(actions), rejects, counts)

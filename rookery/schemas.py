@@ -70,10 +70,11 @@ LOAD_LEDGER = StructType(
     ]
 )
 
-# What a lenient load could not take: a document (no position) or one of its games.
+# What a lenient load could not take: a document (no position) or one of its games; the part, where documents have one.
 LOAD_REJECTS = StructType(
     [
         _required("endpoint", StringType()),
+        _optional("part", StringType()),
         _optional("pos", IntegerType()),
         _required("reason", StringType()),
         _optional("text", StringType()),

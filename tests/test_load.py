@@ -8,10 +8,11 @@ import uuid
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rookery import schemas, session
 from rookery.operators import archive, quality
-from rookery.plans.load import load_documents, load_month, new_games, on_days
+from rookery.plans.load import GameTables, load_documents, load_month, new_games, on_days
 from rookery.sources import archive as source
 from rookery.sources import tables
 from rookery.streaming.load import start_load, start_unique_games
@@ -197,6 +198,27 @@ def test_lenient_load_reports_rejects(spark, database):
     assert tables.current(spark, database.rejects).count() == 3
 
 
+def test_every_reject_of_an_endpoint_is_kept(spark, database):
+    name = "player/c/games/2024/10"
+    # A table made before parts were kept.
+    spark.sql(f"DROP TABLE {database.rejects}")
+    old = StructType([f for f in schemas.LOAD_REJECTS if f.name != "part"])
+    tables.ensure_table(spark, database.rejects, old, "rejected_date")
+    GameTables.create(spark, database.rejects.split(".")[0])
+    texts = ['{"games": [', '{"games": [{', '{"games": [']
+    for text, stored in zip(texts, (1, 2, 2)):
+        load_documents(documents(spark, {name: text}), database, T1, strict=False)
+        assert tables.current(spark, database.rejects).count() == stored
+    for part, stored in ((1, 3), (2, 4), (2, 4)):
+        load_documents(documents(spark, {name: texts[0]}).withColumn("part", F.lit(part)), database, T2, strict=False)
+        assert tables.current(spark, database.rejects).count() == stored
+    # Bad games in the same place of different documents.
+    for number, stored in (("x", 5), ("y", 6), ("x", 6)):
+        body = {name: {"games": [game(number)]}}
+        load_documents(documents(spark, body), database, T2, strict=False, by_endpoint=False)
+        assert tables.current(spark, database.rejects).count() == stored
+
+
 def test_lenient_stream_keeps_every_reject(spark, database, tmp_path):
     landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
     good = {"player/z/games/2024/10": {"games": [game(9)]}}
