@@ -14,6 +14,7 @@ from rookery.bindings.views import (
     V_ARCHIVE,
     V_FACTS,
     V_MSG,
+    documents,
     flat_games,
     messages,
     with_cte,
@@ -65,8 +66,9 @@ def stream_dedup(spark, sf_dir):
     """Newest month first, a few files at a time: every game comes out once."""
     target = _target(spark, "unique")
     location = scratch_path(spark, "landing")
-    for suffixes in (("/12",), ("/11",), ("/10",)):
-        land(spark, sf_dir, location, periods=suffixes)
+    months = documents(spark, sf_dir).select(F.substring("endpoint", -8, 8).alias("month")).distinct()
+    for row in sorted(months.collect(), reverse=True):
+        land(spark, sf_dir, location, periods=(row["month"],))
         stream = _landing_stream(spark, location, max_files=4).select("endpoint", "body")
         load.start_unique_games(stream, target, f"{location}-checkpoint", RUN_TIME).awaitTermination()
     return _kept(spark, target).select("game_id", "url", "game_date", "opening")

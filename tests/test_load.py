@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rookery import schemas, session
+from rookery.bindings import streams, views
 from rookery.operators import archive, quality
 from rookery.plans.load import GameTables, load_documents, load_month, new_games, on_days
 from rookery.sources import archive as source
@@ -298,6 +299,13 @@ def test_stream_loads_every_part_of_an_endpoint(spark, database, tmp_path):
     assert actions.count("Loaded") == 1 and actions.count("Deleted") <= 1
 
 
+def test_stream_of_unique_games_takes_its_months_from_the_data(spark, monkeypatch):
+    monkeypatch.setattr(views, "ARCHIVE_START", 1704067200)
+    found = streams.stream_dedup(spark, "/root/testdata/sf0.001")
+    orders = views.table(spark, "/root/testdata/sf0.001", "orders").count()
+    assert found.count() == found.select("game_id").distinct().count() == orders
+
+
 def test_contract(spark):
     exploded = archive.explode_games(archive.parse_documents(documents(spark, FILES)))
     rows = archive.games_rows(exploded, T1)
