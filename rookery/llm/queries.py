@@ -18,6 +18,7 @@ from rookery.llm.suffix_dedup import remove_repeats
 from rookery.llm.tables import held_out, staged, table
 from rookery.llm.token_files import read_documents, read_tokens, with_checksums, write_tokens
 from rookery.llm.topk import top_inner_products
+from rookery.llm.whitening import whiten
 from rookery.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -166,6 +167,11 @@ def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First four whitened coordinates of every vector."""
+    return whiten(table(spark, sf_dir, "embeddings"), k=4, scale=256.0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_token_files": op2_token_files,
@@ -177,5 +183,6 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_top_inner_products": op9_top_inner_products,
     "op10_quality_rules": op10_quality_rules,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLE: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op3_license_scan": license_sql(), "op9_top_inner_products": OP9_SQL}

@@ -52,6 +52,11 @@ def staged(frame: DataFrame, label: str, options: dict[str, str] | None = None)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def quoted(name: str) -> str:
+    """A column name that is read as one name, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
