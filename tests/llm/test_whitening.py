@@ -136,7 +136,7 @@ def test_without_variance(spark):
 
 
 def test_deviation_stays_exact(spark):
-    big = [(0, [1e7, 0.0]), (1, [-1e7, 1.0]), (2, [3.0, 2e6])]
+    big = [(0, [1e6, 0.0]), (1, [-1e6, 1.0]), (2, [3.0, 2e5])]
     same(run(spark, big, "double"), plain(big))
     wide = whitening.deviations(np.array([[2**40, 0], [1, 2]]), 2**20, (0, 2**62))
     assert wide == [None, None] and whitening.deviations(np.array([[3, 1]]), 2, (1, 1)) == [26]
