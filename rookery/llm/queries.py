@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rookery.llm.languages import identify_languages, train_languages
 from rookery.llm.licenses import license_sql, scan_licenses
 from rookery.llm.mixing import mix_copies
+from rookery.llm.neighbours import nearest_neighbours
 from rookery.llm.pieces import encode_pieces
 from rookery.llm.quality_model import score_quality, text_features, train_quality
 from rookery.llm.quality_rules import quality_rules
@@ -167,6 +168,11 @@ def op8_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest found by inner product for every twentieth vector."""
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First four whitened coordinates of every vector."""
     return whiten(table(spark, sf_dir, "embeddings"), k=4, scale=256.0)
@@ -183,6 +189,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_near_duplicates": op8_simhash_near_duplicates,
     "op9_top_inner_products": op9_top_inner_products,
     "op10_quality_rules": op10_quality_rules,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 ORACLE: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op3_license_scan": license_sql(), "op9_top_inner_products": OP9_SQL}

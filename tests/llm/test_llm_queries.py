@@ -30,6 +30,7 @@ CONTRACT = {
         "doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint",
         "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean",
     },
+    "op11": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
     "op13": {
         "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double",
         "explained": "double", "identity_error": "double",
@@ -38,7 +39,7 @@ CONTRACT = {
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == [*range(1, 11), 13]
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == [*range(1, 12), 13]
     assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
     assert "pipeline" in entry.queries()
 
