@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery.llm.languages import identify_languages, train_languages
+from rookery.llm.lexical import rank_documents
 from rookery.llm.licenses import license_sql, scan_licenses
 from rookery.llm.mixing import mix_copies
 from rookery.llm.neighbours import nearest_neighbours
@@ -173,6 +174,42 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fifty best documents for every benchmark item."""
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+OP12_SQL = r"""
+WITH doc_terms AS (
+  SELECT row_number() OVER () AS uid, doc_id,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+totals AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM doc_terms),
+tf AS (
+  SELECT uid, doc_id, len(terms)::BIGINT AS n, term, count(*)::BIGINT AS tf
+  FROM (SELECT uid, doc_id, terms, unnest(terms) AS term FROM doc_terms) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT row_number() OVER () AS item, item_id,
+    unnest(list_distinct(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term
+  FROM benchmark),
+weighed AS (
+  SELECT item, item_id, term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+  FROM asked JOIN df USING (term), totals),
+scored AS (
+  SELECT item, item_id, uid, doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM weighed JOIN tf USING (term), totals GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 50
+"""
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First four whitened coordinates of every vector."""
     return whiten(table(spark, sf_dir, "embeddings"), k=4, scale=256.0)
@@ -190,6 +227,12 @@ QUERIES: dict[str, Query] = {
     "op9_top_inner_products": op9_top_inner_products,
     "op10_quality_rules": op10_quality_rules,
     "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_lexical_search": op12_lexical_search,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1_SQL, "op3_license_scan": license_sql(), "op9_top_inner_products": OP9_SQL}
+ORACLE: dict[str, str] = {
+    "op1_mix_sources": OP1_SQL,
+    "op3_license_scan": license_sql(),
+    "op9_top_inner_products": OP9_SQL,
+    "op12_lexical_search": OP12_SQL,
+}

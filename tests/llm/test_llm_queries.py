@@ -31,6 +31,7 @@ CONTRACT = {
         "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean",
     },
     "op11": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "double"},
+    "op12": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
     "op13": {
         "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double",
         "explained": "double", "identity_error": "double",
@@ -39,7 +40,7 @@ CONTRACT = {
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == [*range(1, 12), 13]
+    assert sorted(int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES) == list(range(1, 14))
     assert QUERIES.items() <= entry.queries().items() and ORACLE.items() <= entry.oracle_sql().items()
     assert "pipeline" in entry.queries()
 
