@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -116,35 +117,46 @@ def comparable_vectors(vectors: DataFrame, query: Column, id_column: str, vector
     )
 
 
-def fit_index(rows: DataFrame, k: int) -> Index | None:
-    """Centres, rotation and number of probed lists from a sample of SAMPLE_ROWS distinct vectors at most.
+def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Most coordinates and largest length of a task's vectors."""
+    dims, longest = 0, 0.0
+    for batch in batches:
+        lists = batch.column(0)
+        if not len(lists):
+            continue
+        width = pc.max(pc.list_value_length(lists)).as_py() or 0
+        vectors = _matrix(lists, width).astype(float)
+        largest = np.abs(vectors).max(1, keepdims=True)
+        lengths = largest[:, 0] * np.sqrt(((vectors / largest) ** 2).sum(1))
+        dims, longest = max(dims, width), max(longest, float(lengths.max()))
+    if dims:
+        yield pa.RecordBatch.from_arrays([pa.array([dims], pa.int32()), pa.array([longest])], ["dims", "longest"])
+
+
+def fit_index(rows: DataFrame, distinct: int, k: int) -> Index | None:
+    """Centres, rotation and number of probed lists from a sample of SAMPLE_ROWS of the distinct vectors at most.
 
     The sample holds the vectors whose hash is below a bound, all of them in a small table.  Lists
     grow with the root of the distinct vectors, up to one for 16 sampled vectors.
     """
-    largest = F.array_max(F.transform("vec", lambda x: F.abs(x).cast("double")))
-    squares = F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x.cast("double") / largest) * (x.cast("double") / largest))
-    profile = rows.agg(
-        F.max(F.size("vec")).alias("dims"),
-        F.max(largest * F.sqrt(squares)).alias("longest"),
-        F.approx_count_distinct("k1", 0.02).alias("distinct"),
-    ).first()
-    if not profile.dims:
+    profile = rows.select("vec").mapInArrow(_lengths, "dims int, longest double").agg(F.max("dims"), F.max("longest"))
+    dims, longest = profile.first()
+    if not dims:
         return None
-    share = min(1.0, 0.8 * SAMPLE_ROWS / profile.distinct)
+    share = min(1.0, 0.8 * SAMPLE_ROWS / distinct)
     below = F.lit(int(-(2**63) + share * (2**64 - 1))) if share < 1 else F.lit(2**63 - 1)
     spread = F.xxhash64(F.lit(2), "vec")
     picked = rows.filter(spread <= below).groupBy("vec").agg(F.min(spread).alias("at")).limit(SAMPLE_ROWS).collect()
     kind = "float32" if rows.schema["vec"].dataType.elementType == FloatType() else "float64"
-    sample = np.zeros((len(picked), profile.dims))
+    sample = np.zeros((len(picked), dims))
     for place, row in enumerate(sorted(picked, key=lambda r: (r.at, r.vec))):
         sample[place, : len(row.vec)] = row.vec
     rng = np.random.default_rng(20)
-    rotation = np.linalg.qr(rng.normal(size=(profile.dims + 1, profile.dims + 1)))[0]
+    rotation = np.linalg.qr(rng.normal(size=(dims + 1, dims + 1)))[0]
     none = np.zeros(0, np.int64)
-    index = Index(profile.dims, kind, profile.longest, rotation, np.zeros((0, 0), np.float32), 1, none, 0, none, none)
+    index = Index(dims, kind, longest, rotation, np.zeros((0, 0), np.float32), 1, none, 0, none, none)
     points = index.rotated(sample)
-    n_lists = max(1, min(round(profile.distinct**0.5), SAMPLE_ROWS // 16, len(points)))
+    n_lists = max(1, min(round(distinct**0.5), SAMPLE_ROWS // 16, len(points)))
     centres = points[rng.choice(len(points), n_lists, replace=False)]
     for _ in range(10):
         near = Index(*_fields(index, centres=centres)).lists(points)
@@ -167,8 +179,8 @@ def fit_index(rows: DataFrame, k: int) -> Index | None:
     probes = int(np.searchsorted(reached, TARGET * reached[-1])) + 1
     # Lists in order share parts of about a chunk; a list of many chunks is dealt to several parts.
     sampled = np.bincount(near, minlength=n_lists)
-    expected = sampled / len(points) * profile.distinct
-    target = 0.8 * max(1, CHUNK_NUMBERS // (profile.dims + 1))
+    expected = sampled / len(points) * distinct
+    target = 0.8 * max(1, CHUNK_NUMBERS // (dims + 1))
     n_parts = np.maximum(np.ceil(expected / target).astype(np.int64), 1)
     first_part, part, filled = np.zeros(n_lists, np.int64), 0, 0.0
     for at in range(n_lists):
@@ -416,7 +428,8 @@ def nearest_neighbours(
     most = k + 1  # a query's own row is found too
     rows = comparable_vectors(vectors, query, id_column, vector_column)
     members = staged(rows.select(F.monotonically_increasing_id().alias("uid"), "id", "query", "k1", "k2"), "vector-ids")
-    index = fit_index(rows, k)
+    distinct = members.agg(F.approx_count_distinct("k1", 0.02)).first()[0]
+    index = fit_index(rows, distinct, k)
     if index is None:
         return members.filter("false").select(
             F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")
