@@ -83,12 +83,11 @@ def _plain_ledger(ledger):
 
 
 def action_ledger(spark, sf_dir):
-    return _plain_ledger(ops.action_ledger(_exploded(spark, sf_dir, keep_empty=True), RUN_TIME))
+    return _plain_ledger(ops.document_actions(documents(spark, sf_dir), RUN_TIME))
 
 
 def purge_list(spark, sf_dir):
-    ledger = ops.action_ledger(_exploded(spark, sf_dir, keep_empty=True), RUN_TIME)
-    return _plain_ledger(ops.purge_list(ledger))
+    return _plain_ledger(ops.purge_list(ops.document_actions(documents(spark, sf_dir), RUN_TIME)))
 
 
 def endpoint_month_ledger(spark, sf_dir):

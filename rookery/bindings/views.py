@@ -261,11 +261,12 @@ def documents(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...] = ("own",
         .alias("pgn"),
     )
     month = periods.period(F.timestamp_seconds(end_time))
+    # The game is written as text once, and the documents are made of that text.
+    orders = orders.select("*", F.explode(F.array(F.to_json(game))).alias("text"))
+    one, two = (F.concat(F.lit('{"games":['), F.array_join(F.array(*["text"] * n), ","), F.lit("]}")) for n in (1, 2))
     body = {
-        "own": F.when(status == "P", F.to_json(F.struct(F.array(game, game).alias("games")))).otherwise(
-            F.to_json(F.struct(F.array(game).alias("games")))
-        ),
-        "opponent": F.when(status == "O", F.to_json(F.struct(F.array(game).alias("games"))))
+        "own": F.when(status == "P", two).otherwise(one),
+        "opponent": F.when(status == "O", one)
         .when(status == "F", F.lit('{"games": []}'))
         .otherwise(F.lit("{}")),
     }

@@ -31,6 +31,14 @@ def period_of(url: Column) -> Column:
     return F.nullif(F.regexp_extract(url, PLAYER_PERIOD_PATTERN, 2), F.lit(""))
 
 
+def request_parts(url: Column) -> Column:
+    """Array of the part of a URL that names player and period; empty when the URL is not a request URL.
+
+    To be exploded: a generated column is computed once, however often the columns and filters above it use it.
+    """
+    return F.slice(F.regexp_extract_all(url, F.lit(PLAYER_PERIOD_PATTERN), F.lit(0)), 1, 1)
+
+
 def endpoint_month(path: Column) -> Column:
     """First day of the month an endpoint path stands for."""
     year = F.split_part(path, F.lit("/"), F.lit(4)).cast("int")

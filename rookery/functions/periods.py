@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,6 +35,12 @@ def month_list(start: Column, end: Column) -> Column:
     return F.when(first <= last, F.transform(months, period)).otherwise(F.array().cast("array<string>"))
 
 
+def month_names(start: dt.date, end: dt.date) -> list[str]:
+    """:func:`month_list` of two known dates, as a constant: no month is formatted per row."""
+    first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1 - (end.day > 1)
+    return [f"{m // 12:04d}/{m % 12 + 1:02d}" for m in range(first, last + 1)]
+
+
 def run_window(
     as_of: Column,
     environment: str,

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from rookery import schemas
 from rookery.functions import games, paths
@@ -74,12 +74,31 @@ def games_rows(
 
 def action_ledger(exploded: DataFrame, run_time: Column | dt.datetime) -> DataFrame:
     """What was done with each endpoint: loaded, or to be deleted when empty."""
+    return _actions(exploded, F.col("pos").isNotNull(), run_time)
+
+
+def document_actions(documents: DataFrame, run_time: Column | dt.datetime, strict: bool = True) -> DataFrame:
+    """:func:`action_ledger` of documents that are not parsed yet: no field of a game is kept.
+
+    A malformed document fails the job when ``strict``, else it has no action.
+    """
+    field = StructType([StructField("url", StringType())])
+    schema = StructType([StructField("games", ArrayType(field)), StructField(CORRUPT, StringType())])
+    if strict:
+        parsed = F.from_json("body", StructType(schema.fields[:1]), {"mode": "FAILFAST"})
+        rows = documents.select("endpoint", parsed.alias("doc"))
+    else:
+        parsed = F.from_json("body", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+        rows = documents.select("endpoint", F.explode(F.array(parsed)).alias("doc")).where(f"doc.{CORRUPT} IS NULL")
+    return _actions(rows, F.coalesce(F.size("doc.games") > 0, F.lit(False)), run_time)
+
+
+def _actions(rows: DataFrame, has_games: Column, run_time: Column | dt.datetime) -> DataFrame:
     if not isinstance(run_time, Column):
         run_time = F.lit(run_time)
-    has_games = F.max(F.col("pos").isNotNull())
     return (
-        exploded.groupBy(F.col("endpoint").alias("gcs_endpoint"))
-        .agg(has_games.alias("has_games"))
+        rows.groupBy(F.col("endpoint").alias("gcs_endpoint"))
+        .agg(F.max(has_games).alias("has_games"))
         .select(
             "gcs_endpoint",
             paths.endpoint_month(F.col("gcs_endpoint")).alias("gcs_game_month"),

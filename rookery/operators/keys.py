@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rookery.functions import paths
-from rookery.functions.periods import month_list
+from rookery.functions.periods import month_list, month_names
 
 
 def list_endpoints(objects: DataFrame, period: str | None = None, path: str = "path") -> DataFrame:
@@ -26,13 +26,19 @@ def list_endpoints(objects: DataFrame, period: str | None = None, path: str = "p
     return objects.where(keep).select(F.col(path).alias("endpoint")).orderBy("endpoint")
 
 
+def window_months(start: Column | dt.date, end: Column | dt.date) -> Column:
+    """Array of the months of a window; a constant when both dates are known."""
+    if isinstance(start, Column) or isinstance(end, Column):
+        return month_list(*(c if isinstance(c, Column) else F.lit(c) for c in (start, end)))
+    return F.lit(month_names(start, end)).cast("array<string>")
+
+
 def request_grid(players: DataFrame, start: Column | dt.date, end: Column | dt.date) -> DataFrame:
     """Every player in every month of the window: player, period, endpoint.
 
     The months are an array on each player's row, so no second input is joined.
     """
-    start, end = (c if isinstance(c, Column) else F.lit(c) for c in (start, end))
-    grid = players.select("player", F.explode(month_list(start, end)).alias("period"))
+    grid = players.select("player", F.explode(window_months(start, end)).alias("period"))
     return grid.withColumn("endpoint", paths.endpoint(F.col("player"), F.col("period")))
 
 
@@ -42,9 +48,10 @@ def remaining_endpoints(endpoints: DataFrame, handled: DataFrame) -> DataFrame:
 
 
 def landed_periods(landed: DataFrame) -> DataFrame:
-    """player, period of landed endpoints."""
-    return landed.select(
-        paths.player_of(F.col("endpoint")).alias("player"), paths.period_of(F.col("endpoint")).alias("period")
+    """player, period of landed endpoints; other paths have none."""
+    parts = landed.select(F.explode(paths.request_parts(F.col("endpoint"))).alias("named"))
+    return parts.select(
+        F.split_part("named", F.lit("/"), F.lit(2)).alias("player"), F.right("named", F.lit(7)).alias("period")
     )
 
 
@@ -62,13 +69,19 @@ def player_months(players: DataFrame, start: Column | dt.date, end: Column | dt.
 
     What is done is gathered per player, at most the months of the window, and
     joined on the player: one row per player moves, not one per player and month.
+    A row is kept by comparing its period with the first and the last month, as text; what
+    lies between them and is no month goes once per player.
     """
-    start, end = (c if isinstance(c, Column) else F.lit(c) for c in (start, end))
-    months = month_list(start, end)
-    inside = done.where(F.array_contains(months, F.col("period")))
+    months = window_months(start, end)
+    if isinstance(start, Column) or isinstance(end, Column):
+        inside = done.where(F.array_contains(months, F.col("period")))
+    else:
+        names = month_names(start, end)
+        inside = done.where(F.col("period").between(names[0], names[-1]) if names else F.lit(False))
     sets = inside.groupBy("player").agg(F.collect_set("period").alias("done"))
-    rows = players.select("player", months.alias("months"))
-    return rows.join(sets, "player", "left").select("player", "months", F.coalesce("done", F.array()).alias("done"))
+    rows = players.select("player", months.alias("months")).join(sets, "player", "left")
+    had = F.array_intersect("months", F.coalesce("done", F.array().cast("array<string>")))
+    return rows.select("player", "months", had.alias("done"))
 
 
 def remaining_requests(players: DataFrame, start: Column | dt.date, end: Column | dt.date, done: DataFrame) -> DataFrame:

@@ -80,6 +80,14 @@ def test_prefixes(one):
 )
 def test_month_list(one, start, end, months):
     assert one(periods.month_list(F.lit(start), F.lit(end))) == months
+    assert periods.month_names(start, end) == months
+
+
+def test_month_names_equal_the_column(spark):
+    days = [D(2023, 11, 1) + dt.timedelta(days=17 * i) for i in range(30)] + [D(2024, 2, 29), D(2024, 1, 1)]
+    pairs = spark.createDataFrame([(a, b) for a in days for b in days], "a date, b date")
+    for row in pairs.select("a", "b", periods.month_list(F.col("a"), F.col("b")).alias("months")).collect():
+        assert periods.month_names(row.a, row.b) == row.months
 
 
 def test_run_window(one):

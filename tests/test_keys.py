@@ -45,6 +45,33 @@ def test_plan_requests(spark):
     assert urls[0].url == "https://x/pub/player/ann/games/2025/01"
 
 
+def test_periods_that_are_no_months_are_not_done(spark):
+    players = spark.createDataFrame([("ann",)], "player string")
+    done = spark.createDataFrame(
+        [("ann", p) for p in ("2024/12", "2025/01", "2025/01", "2025/0x", "2025/00", "2025/013", "2025/02", "2025/03", None)],
+        "player string, period string",
+    )
+    for window in ((JAN, dt.date(2025, 3, 1)), (F.lit(JAN), F.lit(dt.date(2025, 3, 1)))):
+        assert tuple(keys.coverage_counts(players, *window, done).first()) == (3, 3, 0)
+    assert tuple(keys.coverage_counts(players, FEB, JAN, done).first()) == (0, 0, 0)
+    assert keys.remaining_requests(players, FEB, JAN, done).collect() == []
+
+
+def test_landed_periods(spark):
+    paths = ["player/ann/games/2025/01", "x/player/b/games/2025/02/player/c/games/2025/03", "player/d/games/25/01", None]
+    landed = spark.createDataFrame([(p,) for p in paths], "endpoint string")
+    assert sorted(map(tuple, keys.landed_periods(landed).collect())) == [("ann", "2025/01"), ("b", "2025/02")]
+
+
+def test_planning_reads_a_path_once_and_formats_no_month(spark):
+    players = spark.createDataFrame([("ann",)], "player string")
+    landed = spark.createDataFrame([("player/ann/games/2025/01",)], "endpoint string")
+    plan = keys.remaining_requests(players, JAN, FEB, keys.landed_periods(landed))._jdf.queryExecution()
+    text = plan.optimizedPlan().toString()
+    assert "date_format" not in text and "lambda" not in text
+    assert text.count("regexp_extract") == 1
+
+
 def test_coverage_adds_up(spark):
     players = spark.createDataFrame([("ann",), ("bob",)], "player string")
     landed = spark.createDataFrame(

@@ -376,3 +376,22 @@ def test_scratch_folder(spark):
         session.scratch_root(Conf({"spark.master": "yarn"}))
     local = Conf({"spark.master": "local[2]", "spark.app.id": "app"})
     assert session.scratch_root(local) == session.scratch_root(local)
+
+
+def test_actions_of_unparsed_documents(spark):
+    bodies = {
+        "a": '{"games": [{"url": "x/1", "rated": "not a boolean"}]}',
+        "b": '{"games": []}',
+        "c": "{}",
+        "d": '{"games": null}',
+        "e": '{"games": [{}], "more": {"games": []}}',
+    }
+    docs = [(f"player/{k}/games/2025/04", v) for k, v in bodies.items()] + [("player/b/games/2025/04", bodies["a"])]
+    frame = spark.createDataFrame(docs, "endpoint string, body string")
+    found = {r.gcs_endpoint[7]: r.action_taken for r in archive.document_actions(frame, T1).collect()}
+    assert found == {"a": "Loaded", "b": "Loaded", "c": "Deleted", "d": "Deleted", "e": "Loaded"}
+    cut = frame.union(spark.createDataFrame([("player/z/games/2025/04", '{"games": [')], frame.schema))
+    lenient = {r.gcs_endpoint[7] for r in archive.document_actions(cut, T1, strict=False).collect()}
+    assert lenient == set(bodies)
+    with pytest.raises(Exception):
+        archive.document_actions(cut, T1).collect()
