@@ -74,14 +74,8 @@ def stream_dedup(spark, sf_dir):
     return _kept(spark, target).select("game_id", "url", "game_date", "opening")
 
 
-def _counted(spark, rows, count, keys):
-    location = scratch_path(spark, "counts")
-    counts.start_counts(rows, count, location, f"{location}-checkpoint").awaitTermination()
-    return counts.summed(spark, location, keys)
-
-
-def stream_daily_usage(spark, sf_dir):
-    location = scratch_path(spark, "facts")
+def _usage_counts(spark, sf_dir):
+    """Facts land in three runs, the last days of a month first: most of what follows is late."""
     facts = _facts(spark, sf_dir).select(
         "job_creation_dt",
         "project_id",
@@ -92,12 +86,29 @@ def stream_daily_usage(spark, sf_dir):
         "total_gigabytes_billed",
         "query_cost_usd",
     )
-    facts.write.parquet(location)
-    stream = file_stream(spark, location, facts.schema, max_files=2)
-    daily = _counted(spark, stream, counts.daily_usage, counts.DAILY_KEYS)
+    store, location = counts.CountStore(scratch_path(spark, "usage-counts")), scratch_path(spark, "facts")
+    day = F.dayofmonth("job_creation_dt")
+    for landed in (day > 20, day <= 10, day.between(11, 20)):
+        facts.where(landed).write.mode("append").parquet(location)
+        stream = file_stream(spark, location, facts.schema, max_files=2)
+        counts.run_counts(stream, counts.DAILY_USAGE, store, "1 day")
+    return store
+
+
+def _rounded(daily):
     return daily.withColumns({c: F.round(c, 7) for c in daily.columns if c.startswith("total_")})
 
 
+def stream_daily_usage(spark, sf_dir):
+    """All windows: those delivered, what came late for them, and the open ones from the state."""
+    return _rounded(counts.so_far(spark, counts.DAILY_USAGE, _usage_counts(spark, sf_dir)))
+
+
+def stream_closed_usage(spark, sf_dir):
+    """Windows that the watermark has passed, with what came late for them."""
+    return _rounded(counts.delivered(spark, counts.DAILY_USAGE, _usage_counts(spark, sf_dir)))
+
+
 def stream_weekly_games(spark, sf_dir):
     """Landed documents are loaded, and the games table, which grows by unseen games, is counted."""
     target = _target(spark, "weekly")
@@ -106,9 +117,10 @@ def stream_weekly_games(spark, sf_dir):
     load.start_load(stream, target, f"{location}-checkpoint", RUN_TIME).awaitTermination()
     own = file_stream(spark, _location(spark, target.games), spark.table(target.games).schema)
     timed = own.withColumn("end_dt", F.timestamp_seconds("end_time"))
-    weekly = _counted(spark, timed, counts.weekly_games, counts.WEEKLY_KEYS)
+    store = counts.CountStore(scratch_path(spark, "weekly-counts"))
+    counts.run_counts(timed, counts.WEEKLY_GAMES, store, "7 days")
     _kept(spark, target)
-    return weekly
+    return counts.so_far(spark, counts.WEEKLY_GAMES, store)
 
 
 QUERIES = {
@@ -116,19 +128,24 @@ QUERIES = {
     "stream_load": stream_load,
     "stream_dedup": stream_dedup,
     "stream_daily_usage": stream_daily_usage,
+    "stream_closed_usage": stream_closed_usage,
     "stream_weekly_games": stream_weekly_games,
 }
 
+DAILY_USAGE_SQL = """SELECT job_created_date, project_id, user_email, number_of_queries,
+  round(total_query_seconds, 7) AS total_query_seconds, round(total_slot_seconds, 7) AS total_slot_seconds,
+  round(total_gigabytes_processed, 7) AS total_gigabytes_processed,
+  round(total_gigabytes_billed, 7) AS total_gigabytes_billed, round(total_query_cost_usd, 7) AS total_query_cost_usd
+FROM v_user_day"""
+
 ORACLE = {
     "stream_messages": with_cte(V_MSG) + VALID_EVENTS_SQL + " AND hostname <> '' AND zone IS NOT NULL",
     "stream_load": with_cte(V_ARCHIVE) + f"SELECT {GAME_COLUMNS_SQL} FROM v_games",
     "stream_dedup": with_cte(V_ARCHIVE) + "SELECT game_id, url, game_date, opening FROM v_games",
-    "stream_daily_usage": with_cte(V_FACTS)
-    + """SELECT job_created_date, project_id, user_email, number_of_queries,
-  round(total_query_seconds, 7) AS total_query_seconds, round(total_slot_seconds, 7) AS total_slot_seconds,
-  round(total_gigabytes_processed, 7) AS total_gigabytes_processed,
-  round(total_gigabytes_billed, 7) AS total_gigabytes_billed, round(total_query_cost_usd, 7) AS total_query_cost_usd
-FROM v_user_day""",
+    "stream_daily_usage": with_cte(V_FACTS) + DAILY_USAGE_SQL,
+    "stream_closed_usage": with_cte(V_FACTS)
+    + DAILY_USAGE_SQL
+    + "\nWHERE job_created_date + INTERVAL 1 DAY <= (SELECT max(job_creation_dt) - INTERVAL 1 DAY FROM v_facts)",
     "stream_weekly_games": with_cte(V_ARCHIVE)
     + """SELECT CAST(date_trunc('week', game_date) AS DATE) AS week_start, time_class, opening,
   count(*) AS total_games, count(*) FILTER (white_result = 'win') AS white_win_count,

@@ -113,21 +113,3 @@ def test_monitor(spark):
     assert spark.table(target.triggered).count() == spark.table(target.failed).count() == 1
     with pytest.raises(quality.ContractError, match="stack_trace: 1"):
         monitoring.record_failed(failures.withColumn("stack_trace", F.lit(None).cast("string")), target)
-
-
-def test_stream_counts_deliver_every_window(spark, tmp_path):
-    start = dt.datetime(2025, 1, 6)  # a Monday
-    rows = [(i, start + dt.timedelta(days=i % 10), "blitz", "A", ("win",), ("x",)) for i in range(60)]
-    schema = (
-        "game_id int, end_dt timestamp, time_class string, opening string, "
-        "white struct<result string>, black struct<result string>"
-    )
-    source, location = str(tmp_path / "in"), str(tmp_path / "counts")
-    # The latest week lands first; a watermark would drop what follows.
-    for part in (rows[::-1][:30], rows[::-1][30:]):
-        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
-        stream = file_stream(spark, source, spark.read.parquet(source).schema, max_files=1)
-        counts.start_counts(stream, counts.weekly_games, location, str(tmp_path / "c")).awaitTermination()
-    got = sorted(tuple(r) for r in counts.summed(spark, location, counts.WEEKLY_KEYS).collect())
-    second = (start + dt.timedelta(days=7)).date()
-    assert got == [(start.date(), "blitz", "A", 42, 42, 0), (second, "blitz", "A", 18, 18, 0)]
