@@ -22,7 +22,7 @@ from rookery.bindings.views import (
 from rookery.session import scratch_path
 from rookery.streaming import counts, load
 from rookery.streaming import messages as message_stream
-from rookery.streaming.runs import file_stream, run_to_files
+from rookery.streaming.runs import file_stream, run_to_files, stream_session
 
 
 def _landed(spark, sf_dir):
@@ -64,12 +64,12 @@ def stream_load(spark, sf_dir):
 
 def stream_dedup(spark, sf_dir):
     """Newest month first, a few files at a time: every game comes out once."""
-    target = _target(spark, "unique")
+    target, own = _target(spark, "unique"), stream_session(spark)
     location = scratch_path(spark, "landing")
     months = documents(spark, sf_dir).select(F.substring("endpoint", -8, 8).alias("month")).distinct()
     for row in sorted(months.collect(), reverse=True):
         land(spark, sf_dir, location, periods=(row["month"],))
-        stream = _landing_stream(spark, location, max_files=4).select("endpoint", "body")
+        stream = _landing_stream(own, location, max_files=4).select("endpoint", "body")
         load.start_unique_games(stream, target, f"{location}-checkpoint", RUN_TIME).awaitTermination()
     return _kept(spark, target).select("game_id", "url", "game_date", "opening")
 

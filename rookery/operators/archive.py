@@ -47,6 +47,22 @@ def explode_games(documents: DataFrame, keep_empty: bool = False) -> DataFrame:
     return exploded if keep_empty else exploded.where(F.col("pos").isNotNull())
 
 
+def explode_marked(documents: DataFrame) -> DataFrame:
+    """One row per document with NULL ``pos``, which says whether it ``has_games``, and one per game.
+
+    So a game can be dropped, and what its document is stays known.
+    """
+    kind = documents.schema["games"].dataType
+    marker = F.array(F.lit(None).cast(kind.elementType))
+    others = [c for c in documents.columns if c != "games"]
+    marked = documents.select(
+        *others,
+        F.coalesce(F.size("games") > 0, F.lit(False)).alias("has_games"),
+        F.posexplode(F.concat(marker, F.coalesce("games", F.array().cast(kind)))).alias("place", "game"),
+    )
+    return marked.select(*others, "has_games", F.when(F.col("place") > 0, F.col("place") - 1).alias("pos"), "game")
+
+
 def games_rows(
     exploded: DataFrame, run_time: Column | dt.datetime, strict: bool = True, keep_empty: bool = False
 ) -> DataFrame:
@@ -74,7 +90,8 @@ def games_rows(
 
 def action_ledger(exploded: DataFrame, run_time: Column | dt.datetime) -> DataFrame:
     """What was done with each endpoint: loaded, or to be deleted when empty."""
-    return _actions(exploded, F.col("pos").isNotNull(), run_time)
+    has_games = F.col("pos").isNotNull()
+    return _actions(exploded, has_games | F.col("has_games") if "has_games" in exploded.columns else has_games, run_time)
 
 
 def document_actions(documents: DataFrame, run_time: Column | dt.datetime, strict: bool = True) -> DataFrame:

@@ -128,6 +128,24 @@ def keep_first(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     return rows.groupBy(key).agg(first).select(key, "first.*").select(*rows.columns)
 
 
+def first_and_copies(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """:func:`keep_first`, with the number of ``copies`` each key had."""
+    others = [c for c in rows.columns if c != key]
+    first = F.min_by(F.struct(*others), F.struct(*order)).alias("first")
+    return rows.groupBy(key).agg(first, F.count(F.lit(1)).alias("copies")).select(key, "first.*", "copies")
+
+
+def copy_counts(known: Column) -> dict[str, Column]:
+    """Rows filtered away, removed as duplicates, and kept, over one row per key with its ``copies``."""
+    copies = F.col("copies")
+    return {
+        "rows": F.coalesce(F.sum("copies"), F.lit(0)),
+        "filtered_away": F.coalesce(F.sum(F.when(known, copies)), F.lit(0)),
+        "duplicates_removed": F.coalesce(F.sum(F.when(~known, copies - 1)), F.lit(0)),
+        "kept": F.count_if(~known),
+    }
+
+
 def union_batches(batches: Sequence[DataFrame]) -> DataFrame:
     """All batches by column name; columns a batch lacks are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), batches)
@@ -144,13 +162,8 @@ def batch_counts(batch: DataFrame, table: DataFrame, key: str = "game_id") -> Da
     """Rows of a batch filtered away, removed as duplicates, and kept."""
     copies = batch.groupBy(key).agg(F.count(F.lit(1)).alias("copies"))
     known = table.select(key).distinct().withColumn("is_known", F.lit(True))
-    fresh = F.col("is_known").isNull()
-    return copies.join(known, key, "left").agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.when(~fresh, F.col("copies"))), F.lit(0)).alias("filtered_away"),
-        F.coalesce(F.sum(F.when(fresh, F.col("copies") - 1)), F.lit(0)).alias("duplicates_removed"),
-        F.count_if(fresh).alias("kept"),
-    )
+    counts = copy_counts(F.col("is_known").isNotNull())
+    return copies.join(known, key, "left").agg(*[column.alias(name) for name, column in counts.items()])
 
 
 def select_endpoints(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,18 @@ def violations(rows: DataFrame, paths: Iterable[str]) -> DataFrame:
     return counts.select(F.inline(F.array(*pairs)))
 
 
+def null_counts(paths: Iterable[str], among: Column) -> dict[str, Column]:
+    """NULLs per required path among some rows, as aggregates that can be observed while the rows are written."""
+    return {path: F.count_if(among & F.col(path).isNull()) for path in paths}
+
+
+def refuse(found: Mapping[str, int]) -> None:
+    """Raise :class:`ContractError` when any path has NULLs."""
+    broken = [f"{path}: {n}" for path, n in found.items() if n]
+    if broken:
+        raise ContractError(", ".join(broken))
+
+
 def breaks_contract(paths: Iterable[str]) -> Column:
     """Whether any required path of a row is NULL."""
     broken = F.lit(False)
@@ -39,7 +51,5 @@ def split_rejects(rows: DataFrame, paths: Iterable[str]) -> tuple[DataFrame, Dat
 
 def check(rows: DataFrame, paths: Iterable[str]) -> DataFrame:
     """Rows unchanged; raise :class:`ContractError` when any breaks the contract."""
-    found = violations(rows, paths).where("violations > 0").collect()
-    if found:
-        raise ContractError(", ".join(f"{r['path']}: {r['violations']}" for r in found))
+    refuse({r["path"]: r["violations"] for r in violations(rows, paths).collect()})
     return rows

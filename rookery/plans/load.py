@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rookery import schemas
@@ -21,6 +21,9 @@ from rookery.operators import archive, keys, quality
 from rookery.sources import archive as objects
 from rookery.sources import tables
 
+MALFORMED = "malformed document"
+
+
 @dataclass(frozen=True)
 class GameTables:
     """Names of the target tables."""
@@ -37,9 +40,11 @@ class GameTables:
         tables.ensure_table(spark, names.games, schemas.GAMES, "game_date")
         tables.ensure_table(spark, names.ledger, schemas.LOAD_LEDGER, "gcs_game_month")
         tables.ensure_table(spark, names.rejects, schemas.LOAD_REJECTS, "rejected_date")
-        if "part" not in spark.table(names.rejects).columns:
-            # A table made before parts were kept.
-            spark.sql(f"ALTER TABLE {names.rejects} ADD COLUMNS (part STRING)")
+        # A table made before these were kept.
+        held = spark.table(names.rejects).columns
+        for name, kind in (("part", "STRING"), ("text_hash", "STRING"), ("game_month", "DATE")):
+            if name not in held:
+                spark.sql(f"ALTER TABLE {names.rejects} ADD COLUMNS ({name} {kind})")
         return names
 
 
@@ -47,7 +52,8 @@ class GameTables:
 class LoadResult:
     """What a run found: new games, endpoint actions, objects to purge, bad rows, counts.
 
-    ``counts`` has rows, filtered_away, duplicates_removed and kept (D9).
+    ``counts`` has rows, filtered_away, duplicates_removed and kept (D9); ``days`` are the days of the games
+    table that were read.
     """
 
     games: DataFrame
@@ -55,6 +61,7 @@ class LoadResult:
     purge: DataFrame
     rejects: DataFrame
     counts: Row
+    days: list[dt.date]
 
 
 def on_days(column: str, days: DataFrame) -> Column:
@@ -107,58 +114,121 @@ def load_documents(
 
 def _load(documents: DataFrame, target: GameTables, run_time: dt.datetime, write: bool, strict: bool) -> LoadResult:
     """Load documents known to be unhandled."""
-    spark = documents.sparkSession
-    required = list(schemas.required_paths(schemas.GAMES))
     exploded = archive.explode_games(archive.parse_documents(documents, strict), keep_empty=True)
-    if not strict:
-        exploded = exploded.withColumn("text", F.to_json("game"))
+    return store_rows(game_rows(exploded, run_time, strict), target, run_time, write, strict)
+
+
+def game_rows(exploded: DataFrame, run_time: dt.datetime, strict: bool) -> DataFrame:
+    """Rows of the games table with their place; documents without games keep a row without position.
+
+    If not ``strict``, bad rows have a ``reason`` and their ``text``.
+    """
+    if strict:
+        return archive.games_rows(exploded, run_time, strict, keep_empty=True)
+    exploded = exploded.withColumn("text", F.to_json("game"))
     rows = archive.games_rows(exploded, run_time, strict, keep_empty=True)
+    broken = F.col("pos").isNotNull() & quality.breaks_contract(list(schemas.required_paths(schemas.GAMES)))
+    corrupt = F.col(archive.CORRUPT).isNotNull() & F.col("pos").isNull()
+    reason = F.when(corrupt, MALFORMED).when(broken, "missing required value")
+    text = F.when(corrupt, F.col(archive.CORRUPT)).when(broken, F.col("text"))
+    return rows.withColumns({"reason": reason, "text": text}).drop(archive.CORRUPT)
+
+
+def store_rows(rows: DataFrame, target: GameTables, run_time: dt.datetime, write: bool, strict: bool) -> LoadResult:
+    """Stage rows, and load the games among them that the table lacks.
+
+    The contract, the days and months of the batch and the number of bad rows are measured while
+    the rows are staged, the counts of copies while the new games are: none is a job of its own.
+    """
+    spark = rows.sparkSession
     has_game = F.col("pos").isNotNull()
-    broken = has_game & quality.breaks_contract(required)
-    if not strict:
-        corrupt = F.col(archive.CORRUPT).isNotNull()
-        reason = F.when(corrupt, "malformed document").when(broken, "missing required value")
-        text = F.when(corrupt, F.col(archive.CORRUPT)).when(broken, F.col("text"))
-        rows = rows.withColumns({"reason": reason, "text": text}).drop(archive.CORRUPT)
+    good = has_game if strict else has_game & F.col("reason").isNull()
+    metrics = {
+        "days": F.collect_set(F.when(good, F.col("game_date"))),
+        "months": F.collect_set(paths.endpoint_month(F.col("endpoint"))),
+        "rejects": F.lit(0) if strict else F.count("reason"),
+    }
+    required = list(schemas.required_paths(schemas.GAMES)) if strict else []
     # Game columns only: the bodies and move texts end here.
-    staged = tables.stage(rows, "staged")
-    batch = staged.where(has_game)
+    nulls = quality.null_counts(required, has_game)
+    staged, found = tables.stage_measured(rows, "staged", metrics | nulls)
+    quality.refuse({path: found[path] for path in required})
     if strict:
-        quality.check(batch, required)
         rejects = spark.createDataFrame([], schemas.LOAD_REJECTS)
     else:
-        stamp = F.lit(run_time).cast("timestamp")
-        part = F.col("part") if "part" in staged.columns else F.lit(None)
-        times = [stamp.alias("rejected_dt"), F.to_date(stamp).alias("rejected_date")]
-        rejects = staged.where("reason IS NOT NULL").select(
-            "endpoint", part.cast("string").alias("part"), "pos", "reason", "text", *times
-        )
-        staged = staged.where(F.coalesce(F.col("reason") != "malformed document", F.lit(True)))
-        batch = batch.where("reason IS NULL").drop("reason", "text")
+        rejects = _rejected(staged, run_time)
+        staged = staged.where(F.coalesce(F.col("reason") != MALFORMED, F.lit(True)))
     actions = archive.action_ledger(staged, run_time)
+    batch = staged.where(good).drop("reason", "text", "has_games")
 
     # A game's date follows from its own end time, so an earlier copy of a game
     # lies on the same day and the other partitions need not be read.
-    known = tables.current(spark, target.games).where(on_days("game_date", batch.select("game_date")))
-    counts = keys.batch_counts(batch, known).first()
-    fresh = tables.stage(new_games(batch, known), "fresh")
+    days = sorted(found["days"])
+    known = tables.current(spark, target.games).where(F.col("game_date").isin(days)).select("game_id")
+    marked = first_copies(batch).join(known.distinct().withColumn("is_known", F.lit(True)), "game_id", "left")
+    is_known = F.col("is_known").isNotNull()
+    fresh, counts = _staged_fresh(marked, is_known)
     if write:
-        same_months = on_days("gcs_game_month", actions.select("gcs_game_month"))
+        same_months = F.col("gcs_game_month").isin(found["months"])
         seen = tables.current(spark, target.ledger).where(same_months)
         seen = seen.select(F.col("gcs_endpoint").alias("_endpoint"), F.col("action_taken").alias("_action"))
         # An endpoint whose earlier documents were empty gets a second row when games come; a loaded one none.
         settled = (F.col("_action") == archive.LOADED) | (F.col("_action") == F.col("action_taken"))
         new_actions = actions.join(seen, (F.col("gcs_endpoint") == F.col("_endpoint")) & settled, "left_anti")
         actions = tables.stage(new_actions, "actions")
-        tables.append(fresh, target.games, "game_date")
-        if not strict:
-            # A run that is repeated, or meets the same text again in the same place, adds no second row.
-            same = {c: F.col(c) for c in ("endpoint", "part", "pos", "reason")} | {"text": F.sha2("text", 256)}
-            had = tables.current(spark, target.rejects).select(*(v.alias(f"_{c}") for c, v in same.items())).distinct()
-            new = rejects.join(had, [v.eqNullSafe(F.col(f"_{c}")) for c, v in same.items()], "left_anti")
-            tables.append(new, target.rejects, "rejected_date")
+        if counts["kept"]:
+            tables.append(fresh, target.games, "game_date")
+        if found["rejects"]:
+            tables.append(_unstored(rejects, target, found["months"]), target.rejects, "rejected_date")
         tables.append(actions, target.ledger, "gcs_game_month")
-    return LoadResult(fresh, actions, archive.purge_list(actions), rejects, counts)
+    return LoadResult(fresh, actions, archive.purge_list(actions), rejects, Row(**counts), days)
+
+
+def _staged_fresh(marked: DataFrame, is_known: Column) -> tuple[DataFrame, dict[str, int]]:
+    """The games that are not known, staged, and the counts of all."""
+    counts = keys.copy_counts(is_known)
+    seen = Observation()
+    observed = marked.observe(seen, *[column.alias(name) for name, column in counts.items()])
+    fresh = tables.stage(observed.where(~is_known).select(*schemas.GAMES.fieldNames()), "fresh")
+    return fresh, {name: seen.get[name] for name in counts}
+
+
+def _rejected(staged: DataFrame, run_time: dt.datetime) -> DataFrame:
+    """Bad rows as rows of the rejects table."""
+    stamp = F.lit(run_time).cast("timestamp")
+    part = F.col("part") if "part" in staged.columns else F.lit(None)
+    columns = {
+        "part": part.cast("string"),
+        "text_hash": F.sha2("text", 256),
+        "game_month": paths.endpoint_month(F.col("endpoint")),
+        "rejected_dt": stamp,
+        "rejected_date": F.to_date(stamp),
+    }
+    names = schemas.LOAD_REJECTS.fieldNames()
+    return staged.where("reason IS NOT NULL").select(*[columns.get(n, F.col(n)).alias(n) for n in names])
+
+
+def _unstored(rejects: DataFrame, target: GameTables, months: list[dt.date]) -> DataFrame:
+    """Rejects the table lacks: a run that is repeated, or meets a text again in its place, adds no second row.
+
+    Stored texts are told apart by their hash; only rows of the batch's months are compared.
+    """
+    same = ("endpoint", "part", "pos", "reason", "text_hash")
+    stored = tables.current(rejects.sparkSession, target.rejects)
+    # Rows of before have neither hash nor month.
+    stored = stored.where(F.col("game_month").isin(months) | F.col("game_month").isNull())
+    stored = stored.withColumn("text_hash", F.coalesce("text_hash", F.sha2("text", 256)))
+    had = stored.select(*[F.col(c).alias(f"_{c}") for c in same]).distinct()
+    return rejects.join(had, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in same], "left_anti")
+
+
+def _place(batch: DataFrame) -> list[str]:
+    return [c for c in ("endpoint", "part", "pos") if c in batch.columns]
+
+
+def first_copies(batch: DataFrame) -> DataFrame:
+    """First copy of each game of the batch, with the number of copies."""
+    return keys.first_and_copies(batch, "game_id", _place(batch))
 
 
 def new_games(batch: DataFrame, table: DataFrame) -> DataFrame:
@@ -167,8 +237,7 @@ def new_games(batch: DataFrame, table: DataFrame) -> DataFrame:
     De-duplicating first lets copies collapse before the shuffle and leaves the
     batch partitioned by game for the anti-join: one exchange serves both.
     """
-    order = [c for c in ("endpoint", "part", "pos") if c in batch.columns]
-    unique = keys.keep_first(batch, "game_id", order)
+    unique = keys.keep_first(batch, "game_id", _place(batch))
     return unique.join(table.select("game_id"), "game_id", "left_anti").select(*schemas.GAMES.fieldNames())
 
 

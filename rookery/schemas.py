@@ -70,7 +70,8 @@ LOAD_LEDGER = StructType(
     ]
 )
 
-# What a lenient load could not take: a document (no position) or one of its games; the part, where documents have one.
+# What a lenient load could not take: a document (no position) or one of its games; the part, where documents have one;
+# a hash of the text, which tells texts of one place apart, and the endpoint's month.
 LOAD_REJECTS = StructType(
     [
         _required("endpoint", StringType()),
@@ -78,6 +79,8 @@ LOAD_REJECTS = StructType(
         _optional("pos", IntegerType()),
         _required("reason", StringType()),
         _optional("text", StringType()),
+        _optional("text_hash", StringType()),
+        _optional("game_month", DateType()),
         _required("rejected_dt", TimestampType()),
         _required("rejected_date", DateType()),
     ]

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -63,6 +63,19 @@ def stage(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(location)
 
 
+def stage_measured(rows: DataFrame, label: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict[str, Any]]:
+    """:func:`stage`, and aggregates of the rows taken while they are written: no job of their own.
+
+    What is written by a task that is repeated may count twice, so sums are to be compared with zero, or
+    taken where every task ends in the write.
+    """
+    seen = Observation()
+    names = {f"m{i}": name for i, name in enumerate(metrics)}
+    observed = rows.observe(seen, *[metrics[name].alias(alias) for alias, name in names.items()])
+    staged = stage(observed, label)
+    return staged, {name: seen.get[alias] for alias, name in names.items()}
+
+
 def with_dates(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The named columns as dates."""
     return rows.withColumns({c: F.to_date(c) for c in columns})

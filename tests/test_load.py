@@ -17,7 +17,7 @@ from rookery.plans.load import GameTables, load_documents, load_month, new_games
 from rookery.sources import archive as source
 from rookery.sources import tables
 from rookery.streaming.load import start_load, start_unique_games
-from rookery.streaming.runs import file_stream
+from rookery.streaming.runs import file_stream, stream_session
 
 T1 = dt.datetime(2025, 1, 20, 12)
 T2 = dt.datetime(2025, 1, 20, 13)
@@ -395,3 +395,75 @@ def test_actions_of_unparsed_documents(spark):
     assert lenient == set(bodies)
     with pytest.raises(Exception):
         archive.document_actions(cut, T1).collect()
+
+
+DAY = 86400
+
+
+def _land_and_run(spark, database, folder, files, seen):
+    """Land documents in one file each, and run the stream of unique games; the days each batch read."""
+    landing, checkpoint = f"{folder}/landing", f"{folder}/checkpoint"
+    responses = documents(spark, files).select(F.concat(F.lit("https://x/pub/"), "endpoint").alias("url"), "body")
+    source.land_responses(responses, landing)
+    stream = file_stream(stream_session(spark), landing, schemas.readable(schemas.LANDING), max_files=1)
+    start_unique_games(
+        stream.select("endpoint", "body"), database, checkpoint, T1, on_batch=lambda r: seen.append((r.days, r.counts.kept))
+    ).awaitTermination()
+
+
+def test_near_copies_end_in_the_state(spark, database, tmp_path):
+    """Months in reverse order, and all games again under another player: the table is not asked a second time."""
+    months = {f"2024/{m:02d}": [game(m * 10 + i, 1704067200 + (m * 30 + i) * DAY) for i in range(3)] for m in (9, 7, 5)}
+    first, second = [], []
+    for period, games in months.items():
+        _land_and_run(spark, database, tmp_path, {f"player/a/games/{period}": {"games": games}}, first)
+    assert [len(days) for days, _ in first if days] == [3, 3, 3] and sum(kept for _, kept in first) == 9
+    for period, games in reversed(months.items()):
+        _land_and_run(spark, database, tmp_path, {f"player/b/games/{period}": {"games": games}}, second)
+    assert sum(len(days) for days, _ in second) == 0
+    assert len(games_of(spark, database)) == tables.current(spark, database.games).count() == 9
+    # What the copies' documents are is known all the same.
+    assert {r.action_taken for r in tables.current(spark, database.ledger).collect()} == {"Loaded"}
+    assert len(ledger_of(spark, database)) == 6
+
+
+def test_copies_the_state_has_forgotten_meet_the_table(spark, database, tmp_path):
+    files = {"player/a/games/2024/09": {"games": [game(1), game(2)]}, "player/c/games/2024/09": {"games": []}}
+    _land_and_run(spark, database, tmp_path / "one", files, [])
+    seen = []
+    # Another checkpoint knows nothing.
+    _land_and_run(spark, database, tmp_path / "two", {"player/b/games/2024/09": {"games": [game(1), game(3)]}}, seen)
+    assert sum(len(days) for days, _ in seen) == 1 and sum(kept for _, kept in seen) == 1
+    assert sorted(r.game_id for r in tables.current(spark, database.games).collect()) == [1, 2, 3]
+    actions = {r.gcs_endpoint[7]: r.action_taken for r in tables.current(spark, database.ledger).collect()}
+    assert actions == {"a": "Loaded", "b": "Loaded", "c": "Deleted"}
+
+
+def test_a_load_measures_while_it_writes(spark, database):
+    files = {k: v for k, v in FILES.items() if k.startswith("player/")}
+    result = load_documents(documents(spark, files), database, T1)
+    assert result.counts.asDict() == {"rows": 6, "filtered_away": 0, "duplicates_removed": 2, "kept": 4}
+    assert result.days == [dt.date(2024, 10, 31), dt.date(2024, 11, 1)]
+    context = spark.sparkContext
+    context.setJobGroup("second load", "")
+    try:
+        load_documents(documents(spark, files), database, T2)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # No job for the contract, the days, the months or the counts.
+    assert len(context.statusTracker().getJobIdsForGroup("second load")) <= 12
+
+
+def test_repeated_rejects_compare_hashes(spark, database):
+    load_documents(documents(spark, BAD), database, T1, strict=False)
+    stored = tables.current(spark, database.rejects)
+    assert {r.game_month for r in stored.collect()} == {dt.date(2024, 10, 1)}
+    assert all(r.text_hash for r in stored.collect())
+    # A row of before, without hash and month.
+    old = stored.where("endpoint LIKE '%/c/%'").withColumns(
+        {"endpoint": F.lit("player/d/games/2024/10"), "text_hash": F.lit(None).cast("string"), "game_month": F.lit(None).cast("date")}
+    )
+    tables.append(tables.stage(old, "old"), database.rejects, "rejected_date")
+    again = BAD | {"player/d/games/2024/10": BAD["player/c/games/2024/10"]}
+    load_documents(documents(spark, again), database, T2, strict=False)
+    assert tables.current(spark, database.rejects).count() == 4
