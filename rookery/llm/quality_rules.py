@@ -2,6 +2,9 @@
 
 A document is held against the character classes and common words of every
 language of the corpus, by Jensen-Shannon divergence; far from all of them it is not prose.
+
+A reference is the median over blocks of a language's documents.  Exact and near copies share
+their block, as it follows from the rare words of a text, so that a large group of copies moves one block, not the median.
 """
 
 from __future__ import annotations
@@ -9,6 +12,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.llm import textstats as ts
-from rookery.llm.tables import staged, utf8
+from rookery.llm.tables import quoted, row_of, staged, utf8, with_row
 
 
 @dataclass(frozen=True)
@@ -28,6 +32,8 @@ class Rules:
     max_repeat_percent: int = 50
     #: A common word makes up at least this share of its language's words.
     common_share: float = 0.005
+    #: Blocks that a language's documents are dealt to; its reference is their median.
+    blocks: int = 15
     #: Shorter texts are not judged by characters, or by words: their histograms are mostly chance.
     min_chars_judged: int = 200
     min_words_judged: int = 100
@@ -40,10 +46,12 @@ class Rules:
 
 STATS = (
     "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, "
-    "classes array<long>, n_tokens long, common_ids array<int>, common_counts array<int>"
+    "classes array<long>, n_tokens long, common_ids array<int>, common_counts array<int>, block int"
 )
 #: Words that a block of the first pass counts before it reports.
 BLOCK_WORDS = 1_000_000
+#: Copies may make up this many times the other words of a language before a common word escapes the candidates.
+DILUTION = 3
 
 
 def common_words(docs: DataFrame, share: float, text_column: str = "text", lang_column: str = "lang") -> DataFrame:
@@ -82,7 +90,8 @@ def common_words(docs: DataFrame, share: float, text_column: str = "text", lang_
         if sizes:
             yield report()
 
-    reports = docs.filter(F.col(lang_column).isNotNull()).select(lang_column, text_column)
+    lang, text = F.col(quoted(lang_column)), F.col(quoted(text_column))
+    reports = docs.filter(lang.isNotNull()).select(lang.alias("lang"), text.alias("text"))
     counted = (
         reports.mapInArrow(run, "lang string, word binary, n long, block long")
         .groupBy("lang", "word")
@@ -119,6 +128,7 @@ def _counted(words: list[bytes], rules: Rules) -> Callable[[Batches], Batches]:
                 folded = data.translate(ts.FOLD).split()
                 places = [i for i in map(index.get, folded) if i is not None]
                 ids, counts = np.unique(np.array(places, np.int32), return_counts=True)
+                rare = set(tokens).difference(index) or (data,)
                 failed = n < rules.min_words or 100 * repeats > rules.max_repeat_percent * n
                 rows.append(
                     (
@@ -132,9 +142,11 @@ def _counted(words: list[bytes], rules: Rules) -> Callable[[Batches], Batches]:
                         len(folded),
                         ids,
                         counts.astype(np.int32),
+                        min(map(crc32, rare)) % rules.blocks,
                     )
                 )
             kinds = [pa.int64()] * 5 + [pa.bool_(), pa.list_(pa.int64()), pa.int64()] + [pa.list_(pa.int32())] * 2
+            kinds.append(pa.int32())
             columns = list(zip(*rows)) or [[]] * len(kinds)
             names = ["row", *(c.split()[0] for c in STATS.split(", "))]
             yield pa.RecordBatch.from_arrays(
@@ -144,17 +156,16 @@ def _counted(words: list[bytes], rules: Rules) -> Callable[[Batches], Batches]:
     return run
 
 
-def _carried(docs: DataFrame, keep: tuple[str, ...], text_column: str) -> tuple[DataFrame, str]:
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text_column).alias("text"))
-    return rows, rows.schema["row"].dataType.simpleString()
+def _carried(docs: DataFrame, keep: tuple[str, ...], text_column: str) -> DataFrame:
+    return docs.select(row_of(docs, keep), F.col(quoted(text_column)).alias("text"))
 
 
 def text_statistics(
     docs: DataFrame, words: list[bytes], rules: Rules, keep: tuple[str, ...], text_column: str = "text"
 ) -> DataFrame:
     """row (the columns of ``keep``) and the counts of each text, one pass."""
-    rows, kind = _carried(docs, keep, text_column)
-    return rows.mapInArrow(_counted(words, rules), f"row {kind}, {STATS}")
+    rows = _carried(docs, keep, text_column)
+    return rows.mapInArrow(_counted(words, rules), with_row(rows, STATS))
 
 
 @dataclass(frozen=True)
@@ -170,27 +181,30 @@ class Reference:
 def references(stats: DataFrame, n_common: int, rules: Rules, lang_field: str = "row.lang") -> list[Reference]:
     """A reference for each language, from all its documents that pass the base rules.
 
-    What comes back to the driver is bounded by languages x (classes + common words).
+    Shares are medians over the blocks.  What comes back to the driver is bounded by languages x
+    blocks x (classes + common words).
     """
     good = stats.filter(~F.col("base_failed") & F.col(lang_field).isNotNull()).withColumn("_lang", F.col(lang_field))
-    class_sums = good.select("_lang", F.posexplode("classes").alias("id", "n")).groupBy("_lang", "id").agg(F.sum("n"))
-    totals = dict(good.groupBy("_lang").agg(F.sum("n_tokens")).collect())
-    pairs = good.select("_lang", F.explode(F.arrays_zip("common_ids", "common_counts")).alias("p"))
-    word_sums = pairs.groupBy("_lang", "p.common_ids").agg(F.sum("p.common_counts"))
-    classes = {lang: np.zeros(len(ts.CLASSES)) for lang in totals}
-    words = {lang: np.zeros(n_common) for lang in totals}
+    by = ("_lang", "block")
+    class_sums = good.select(*by, F.posexplode("classes").alias("id", "n")).groupBy(*by, "id").agg(F.sum("n"))
+    totals = {(r[0], r[1]): r[2] for r in good.groupBy(*by).agg(F.sum("n_tokens")).collect()}
+    pairs = good.select(*by, F.explode(F.arrays_zip("common_ids", "common_counts")).alias("p"))
+    word_sums = pairs.groupBy(*by, "p.common_ids").agg(F.sum("p.common_counts"))
+    classes = {key: np.zeros(len(ts.CLASSES)) for key in totals}
+    words = {key: np.zeros(n_common) for key in totals}
     for target, rows in ((classes, class_sums.collect()), (words, word_sums.collect())):
-        for lang, place, n in rows:
-            target[lang][place] = n
+        for lang, block, place, n in rows:
+            target[lang, block][place] = n
     found = []
-    for lang in sorted(totals):
-        if not totals[lang]:
+    for lang in sorted({lang for lang, _ in totals}):
+        held = [key for key in sorted(totals) if key[0] == lang and totals[key]]
+        if not held:
             continue
-        shares = words[lang] / totals[lang]
+        shares = np.median([words[key] / totals[key] for key in held], axis=0)
         ids = np.flatnonzero(shares >= rules.common_share)
-        found.append(
-            Reference(lang, classes[lang] / classes[lang].sum(), ids, np.append(shares[ids], 1 - shares[ids].sum()))
-        )
+        middle = np.median([classes[key] / classes[key].sum() for key in held], axis=0)
+        rest = max(1 - shares[ids].sum(), 0.0)
+        found.append(Reference(lang, middle / middle.sum(), ids, np.append(shares[ids], rest)))
     return found
 
 
@@ -267,19 +281,21 @@ def quality_rules(
     language by words, so a missing or wrong language tag does no harm to its document.
 
     Null text counts as empty and fails the base rules, as any text below
-    ``min_words``.  Without any language tag there is no reference: the base
+    ``min_words``.  Copies count as rows, but a group of copies, exact or near, is one of the blocks
+    whose median is the reference.  Without any language tag there is no reference: the base
     rules alone decide.  An empty table gives no rows.  ``row`` keeps extra columns apart from the results' names.
     """
-    vocabulary = sorted({bytes(r.word) for r in common_words(docs, rules.common_share, text_column, lang_column).collect()})
+    share = rules.common_share / (1 + DILUTION)
+    vocabulary = sorted({bytes(r.word) for r in common_words(docs, share, text_column, lang_column).collect()})
     kept_columns = tuple(keep or docs.columns)
     carried = kept_columns if lang_column in kept_columns else (*kept_columns, lang_column)
     narrow = tuple(c for c in carried if c != text_column)
     stats = staged(text_statistics(docs, vocabulary, rules, narrow, text_column), "quality-stats")
-    refs = references(stats, len(vocabulary), rules, f"row.`{lang_column}`")
+    refs = references(stats, len(vocabulary), rules, f"row.{quoted(lang_column)}")
     judge = _judged(refs, rules, len(vocabulary))
     if text_column not in kept_columns:
-        return stats.mapInArrow(judge, f"row {stats.schema['row'].dataType.simpleString()}, {VERDICT}")
+        return stats.mapInArrow(judge, with_row(stats, VERDICT))
     # Counting again costs less than a second copy of all texts; both steps share a worker.
     count = _counted(vocabulary, rules)
-    rows, kind = _carried(docs, carried, text_column)
-    return rows.mapInArrow(lambda batches: judge(count(batches)), f"row {kind}, {VERDICT}")
+    rows = _carried(docs, carried, text_column)
+    return rows.mapInArrow(lambda batches: judge(count(batches)), with_row(rows, VERDICT))

@@ -8,6 +8,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rookery.session import scratch_path
 
@@ -57,6 +58,16 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def row_of(docs: DataFrame, keep: Iterable[str]) -> Column:
+    """``row``: the columns of ``keep`` as they are, whatever their names."""
+    return F.struct(*[F.col(quoted(name)).alias(name) for name in keep]).alias("row")
+
+
+def with_row(rows: DataFrame, more: str) -> StructType:
+    """Schema of ``row`` and of further columns given as text."""
+    return StructType([rows.schema["row"], *StructType.fromDDL(more).fields])
+
+
 def word_count(text: Column) -> Column:
     """Words of a text; null counts as empty."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
@@ -76,7 +87,7 @@ def utf8(values: pa.ChunkedArray | pa.Array) -> Iterator[bytes]:
 
 
 def map_batches(
-    frame: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str
+    frame: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` over single batches."""
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import statistics
+import zlib
 from collections import Counter
 
 import pytest
@@ -32,25 +34,37 @@ def character_classes(text):
     return [*found, len(text) - sum(found)]
 
 
-def plain_rules(rows):
-    rules = quality_rules.Rules()
+def plain_references(rows, rules):
+    """lang -> (common words, their shares and that of all others, shares of the character classes)."""
     words = {r[0]: re.findall(r"[a-z\u0080-\U0010FFFF]+", re.sub("[A-Z]", lambda m: m[0].lower(), r[1])) for r in rows}
     failed = {r[0]: plain_counts(r[1])[5] for r in rows}
+    # Rare words are those that are no candidate for a common word of any language.
+    candidates = {bytes(w) for w in plain_rules.candidates}
     refs = []
     for lang in sorted({r[2] for r in rows}):
-        good = [r for r in rows if r[2] == lang and not failed[r[0]]]
-        counts = sum((Counter(words[r[0]]) for r in good), Counter())
-        # Candidates come from all texts of the language.
-        everything = sum((Counter(words[r[0]]) for r in rows if r[2] == lang), Counter())
-        common = [
-            w
-            for w in everything
-            if everything[w] >= rules.common_share * everything.total()
-            and counts[w] >= rules.common_share * counts.total()
-        ]
-        classes = [sum(c) for c in zip(*(character_classes(r[1]) for r in good))]
-        shares = [counts[w] / counts.total() for w in common]
-        refs.append((common, [*shares, 1 - sum(shares)], [c / sum(classes) for c in classes]))
+        blocks = {}
+        for r in rows:
+            if r[2] == lang and not failed[r[0]]:
+                rare = set(r[1].encode().split()) - candidates or {r[1].encode()}
+                blocks.setdefault(min(map(zlib.crc32, rare)) % rules.blocks, []).append(r)
+        counts = [sum((Counter(words[r[0]]) for r in held), Counter()) for held in blocks.values()]
+        counts_held = [c for c in counts if c.total()]
+        middle = {
+            w: statistics.median(c[w] / c.total() for c in counts_held)
+            for w in set().union(*counts_held)
+            if w.encode() in candidates
+        }
+        common = sorted(w for w, share in middle.items() if share >= rules.common_share)
+        sums = [[sum(c) for c in zip(*(character_classes(r[1]) for r in held))] for held in blocks.values()]
+        classes = [statistics.median(s[i] / sum(s) for s in sums) for i in range(7)]
+        shares = [middle[w] for w in common]
+        refs.append((common, [*shares, max(1 - sum(shares), 0)], [c / sum(classes) for c in classes]))
+    return words, failed, refs
+
+
+def plain_rules(rows):
+    rules = quality_rules.Rules()
+    words, failed, refs = plain_references(rows, rules)
     kept = []
     for row in rows:
         tokens, chars, n_words = words[row[0]], character_classes(row[1]), plain_counts(row[1])[0]
@@ -156,6 +170,9 @@ def test_stages_are_those_asked_for(stages):
 @pytest.mark.parametrize("k, plain", [(0, plain_rules), (1, plain_near_duplicates), (2, plain_cut)])
 def test_stage_equals_brute_force(stages, k, plain):
     before = rows_of(stages[k])
+    if k == 0:
+        share = quality_rules.Rules().common_share / (1 + quality_rules.DILUTION)
+        plain_rules.candidates = [r.word for r in quality_rules.common_words(stages[0], share).collect()]
     after = sorted(plain(before))
     assert rows_of(stages[k + 1]) == after
     assert k == 2 or len(after) < len(before)

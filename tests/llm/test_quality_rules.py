@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from rookery.llm import quality_rules as qr
 
@@ -76,3 +77,39 @@ def test_divergence_bounds():
     p, q = np.array([[1.0, 0.0], [0.5, 0.5]]), np.array([0.0, 1.0])
     got = qr.divergence(p, q)
     assert got[0] == 1.0 and 0 < got[1] < 1 and qr.divergence(q[None], q)[0] == 0
+
+
+def listing(seed, n=400):
+    """An atypical text that passes the base rules."""
+    rng = np.random.default_rng(seed)
+    return " ".join(f"{rng.integers(100, 99999)}:{rng.integers(10, 99)};" for _ in range(n))
+
+
+def edited(text, seed, share=0.03):
+    rng = np.random.default_rng(seed)
+    words = text.split()
+    for place in rng.choice(len(words), int(share * len(words)), replace=False):
+        words[place] = f"{rng.integers(100, 99999)}:{rng.integers(10, 99)};"
+    return " ".join(words)
+
+
+@pytest.mark.parametrize("near", [False, True])
+def test_a_third_of_all_rows_as_copies_moves_no_verdict(spark, make_docs, near):
+    clean = [(i, prose(i + 10, 120 + 15 * i), "en", "s") for i in range(60)]
+    base = listing(1)
+    copies = [(1000 + i, edited(base, i) if near else base, "en", "s") for i in range(30)]
+    alone = {r.row.doc_id: r.kept for r in qr.quality_rules(make_docs(clean)).collect()}
+    found = {r.row.doc_id: r.kept for r in qr.quality_rules(make_docs(clean + copies)).collect()}
+    assert all(alone.values()) and {k: v for k, v in found.items() if k < 1000} == alone
+    assert not any(v for k, v in found.items() if k >= 1000)
+
+
+def test_copies_do_not_hide_common_words(spark, make_docs):
+    rules = qr.Rules()
+    clean = [(i, prose(i, 200), "en", "s") for i in range(30)]
+    # Copies with three times as many words as all else.
+    copies = [(1000 + i, prose(999, 1800), "en", "s") for i in range(10)]
+    words = sorted(bytes(r.word) for r in qr.common_words(make_docs(clean + copies), rules.common_share / 4).collect())
+    stats = qr.text_statistics(make_docs(clean + copies), words, rules, ("doc_id", "lang"))
+    (ref,) = qr.references(stats, len(words), rules)
+    assert {b"the", b"of", b"and", b"to", b"in", b"that", b"was"} <= {words[i] for i in ref.word_ids}
