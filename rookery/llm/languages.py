@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rookery.llm.tables import map_batches, utf8
+from rookery.llm.tables import map_batches, quoted, row_of, utf8, with_row
 
 #: N-grams of one to three bytes of the lowered text fall into so many bins; the model is languages x bins.
 BINS = 1 << 12
@@ -27,8 +27,6 @@ class Mixture:
     """Parameters of the inference."""
 
     rounds: int = 12
-    #: Most languages a text is split into.
-    max_languages: int = 4
     #: A further language must raise the log likelihood by this much times the logarithm of the n-grams.
     penalty: float = 6.0
     #: Added to every bin of a language.
@@ -94,7 +92,8 @@ def train_languages(
             columns = [pa.array([lang] * len(bins), pa.string()), pa.array(bins), pa.array(counts[bins])]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "bin", "n"])
 
-    tagged = docs.filter(F.col(lang_column).isNotNull()).select(lang_column, text_column)
+    lang, text = F.col(quoted(lang_column)), F.col(quoted(text_column))
+    tagged = docs.filter(lang.isNotNull()).select(lang.alias("lang"), text.alias("text"))
     rows = tagged.mapInArrow(run, "lang string, bin long, n long").groupBy("lang", "bin").agg(F.sum("n")).collect()
     languages = tuple(sorted({r[0] for r in rows}))
     shares = np.full((len(languages), BINS), smoothing)
@@ -117,8 +116,9 @@ def mixture_shares(counts: np.ndarray, model: LanguageModel, settings: Mixture)
     """Proportions of the chosen languages for each row of counts, and the size of the chosen set.
 
     Sets are nested: the best single language, then the languages in the order
-    of their proportions if all are allowed.  A set that does not pay is not
-    extended; texts for which even all languages together do not pay keep their single one.
+    of their proportions if all are allowed, up to all of them.  The set of the best penalised likelihood is
+    chosen, the smaller one at equality.  No set is likelier than all languages together, so a size is fitted only
+    to the texts for which that bound pays.
     """
     n_langs = len(model.languages)
     fee = settings.penalty * np.log(counts.sum(1) + 1)
@@ -127,12 +127,12 @@ def mixture_shares(counts: np.ndarray, model: LanguageModel, settings: Mixture)
     score, size = single.max(1), np.ones(len(counts), np.int64)
     full, likelihood = _fitted(counts, np.ones((len(counts), n_langs)), model, settings.rounds)
     rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
-    rows = np.flatnonzero(likelihood - score > fee)
-    for k in range(2, min(settings.max_languages, n_langs) + 1):
+    for k in range(2, n_langs + 1):
+        rows = np.flatnonzero(likelihood - (k - 1) * fee > score)
         if not len(rows):
-            break
-        weights, likelihood = _fitted(counts[rows], (rank[rows] < k).astype(float), model, settings.rounds)
-        paid = likelihood - (k - 1) * fee[rows]
+            continue
+        weights, reached = _fitted(counts[rows], (rank[rows] < k).astype(float), model, settings.rounds)
+        paid = reached - (k - 1) * fee[rows]
         better = paid > score[rows]
         weights, rows = weights[better], rows[better]
         best[rows], score[rows], size[rows] = weights, paid[better], k
@@ -153,7 +153,7 @@ def identify_languages(
     without a letter, and all texts if no language was learned get ``und`` and
     0.  Ties go to the language first by name.  Texts are counted whole.
     """
-    carried = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(text_column).alias("text"))
+    carried = docs.select(row_of(docs, keep or docs.columns), F.col(quoted(text_column)).alias("text"))
     pair = pa.struct([("lang", pa.string()), ("share", pa.float64())])
 
     def run(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
@@ -177,7 +177,5 @@ def identify_languages(
             ]
             yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "score", "mixture"])
 
-    row = carried.schema["row"].dataType.simpleString()
-    return map_batches(
-        carried, run, f"row {row}, lang_pred string, score double, mixture array<struct<lang: string, share: double>>"
-    )
+    more = "lang_pred string, score double, mixture array<struct<lang: string, share: double>>"
+    return map_batches(carried, run, with_row(carried, more))

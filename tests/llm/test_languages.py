@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -74,3 +75,68 @@ def test_nothing_learned(spark, make_docs):
     assert empty.languages == ()
     assert [r.lang_pred for r in lg.identify_languages(docs, empty).collect()] == ["und"]
     assert lg.identify_languages(docs.filter("false"), empty).collect() == []
+
+
+def brute_mixture(counts, model, settings):
+    """Best penalised likelihood over all nested sets, one text at a time."""
+    n_langs = len(model.languages)
+    fee = settings.penalty * math.log(counts.sum() + 1)
+
+    def fitted(allowed):
+        weights = np.array([1.0 / len(allowed) if k in allowed else 0.0 for k in range(n_langs)])
+        for _ in range(settings.rounds):
+            shares = [[weights[k] * model.shares[k, b] for k in range(n_langs)] for b in np.flatnonzero(counts)]
+            held = [counts[b] for b in np.flatnonzero(counts)]
+            weights = np.array([sum(n * s[k] / sum(s) for n, s in zip(held, shares)) for k in range(n_langs)])
+            weights /= weights.sum()
+        likelihood = sum(counts[b] * math.log((weights * model.shares[:, b]).sum()) for b in np.flatnonzero(counts))
+        return weights, likelihood
+
+    single = [(counts * np.log(model.shares[k])).sum() for k in range(n_langs)]
+    best = np.eye(n_langs)[int(np.argmax(single))]
+    score = max(single)
+    full, bound = fitted(range(n_langs))
+    order = np.argsort(-full, kind="stable")
+    for k in range(2, n_langs + 1):
+        weights, likelihood = fitted(set(order[:k].tolist()))
+        if bound - (k - 1) * fee > score and likelihood - (k - 1) * fee > score:
+            best, score = weights, likelihood - (k - 1) * fee
+    return best
+
+
+@pytest.fixture(scope="module")
+def six(spark):
+    """A model of six languages with words of their own."""
+    rng = random.Random(5)
+    words = {f"l{k}": ["".join(rng.choice(part) for _ in range(6)) for _ in range(40)] for k, part in enumerate(PARTS)}
+    schema = "doc_id long, text string, lang string, source string"
+    rows = [(i, " ".join(rng.choice(words[lang]) for _ in range(60)), lang, "s") for i, lang in enumerate(list(words) * 8)]
+    return words, lg.train_languages(spark.createDataFrame(rows, schema))
+
+
+PARTS = ["abcde", "fghij", "klmno", "pqrst", "uvwxy", "zäöüß"]
+
+
+def test_mixtures_equal_brute_force(six):
+    words, model = six
+    rng = random.Random(8)
+    settings = lg.Mixture()
+    for langs in (1, 2, 3, 5, 6):
+        mixed = " ".join(rng.choice(words[lang]) for lang in list(words)[:langs] for _ in range(rng.randrange(60, 160)))
+        counts = lg.bin_counts(mixed.encode()).astype(float)
+        got, size = lg.mixture_shares(counts[None], model, settings)
+        assert size[0] == langs == np.count_nonzero(got[0])
+        assert np.allclose(got[0], brute_mixture(counts, model, settings), atol=1e-6)
+    for _ in range(6):
+        mixed = " ".join(rng.choice(words[rng.choice(list(words))]) for _ in range(rng.randrange(3, 40)))
+        counts = lg.bin_counts(mixed.encode()).astype(float)
+        got, _ = lg.mixture_shares(counts[None], model, settings)
+        assert np.allclose(got[0], brute_mixture(counts, model, settings), atol=1e-6)
+
+
+def test_five_languages_are_reported(spark, make_docs, six):
+    words, model = six
+    rng = random.Random(4)
+    mixed = " ".join(rng.choice(words[lang]) for lang in list(words)[:5] for _ in range(100))
+    (row,) = lg.identify_languages(make_docs([(1, mixed, None, "s")]), model).collect()
+    assert sorted(m.lang for m in row.mixture) == ["l0", "l1", "l2", "l3", "l4"]
