@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rookery.llm import textstats as ts
-from rookery.llm.tables import map_batches, utf8
+from rookery.llm.tables import map_batches, quoted, row_of, utf8, with_row
 
 FEATURES = (
     "log_words", "repeated_words", "duplicate_lines", "symbols", "upper", "punctuation", "digits", "exclamations",
@@ -82,15 +82,14 @@ def features(data: bytes) -> list[float]:
 
 def text_features(docs: DataFrame, keep: tuple[str, ...], text_column: str = "text") -> DataFrame:
     """row (the columns of ``keep``) and the statistics of every whole text; null counts as empty."""
-    carried = docs.select(F.struct(*keep).alias("row"), F.col(text_column).alias("text"))
+    carried = docs.select(row_of(docs, keep), F.col(quoted(text_column)).alias("text"))
 
     def run(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
         values = np.array([features(d) for d in utf8(batch.column(1))], float).reshape(batch.num_rows, len(FEATURES))
         columns = [batch.column(0), *(pa.array(np.ascontiguousarray(c)) for c in values.T)]
         yield pa.RecordBatch.from_arrays(columns, ["row", *FEATURES])
 
-    kinds = ", ".join(f"{name} double" for name in FEATURES)
-    return map_batches(carried, run, f"row {carried.schema['row'].dataType.simpleString()}, {kinds}")
+    return map_batches(carried, run, with_row(carried, ", ".join(f"{name} double" for name in FEATURES)))
 
 
 #: One condition: feature, whether above the threshold, threshold.
@@ -221,14 +220,25 @@ def train_quality(
 
     At most ``max_rows`` rows are used, those with the smallest hash of their
     id, so the same rows at every run.  Null ids and labels are left out.
+
+    A bound on the hash, from the number of labels, leaves about twice ``max_rows`` labels before the
+    statistics are joined, so that what is ordered and sent does not grow with the corpus.  Should the
+    documents hold too few of those, the bound is widened.
     """
     known = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).select(
         F.col("doc_id").alias("_label_id"), F.col("quality").cast("double").alias("_label")
     )
-    joined = stats.join(known, F.col(id_field) == F.col("_label_id"))
-    sample = joined.orderBy(F.xxhash64("_label_id"), *FEATURES, "_label").limit(settings.max_rows)
-    found = np.array([tuple(r) for r in sample.select("_label", *FEATURES).collect()], float)
-    found = found.reshape(-1, len(FEATURES) + 1)
+    place = F.xxhash64("_label_id")
+    share = min(1.0, 2 * settings.max_rows / max(known.count(), 1))
+    while True:
+        near = known if share >= 1 else known.filter(place <= int(share * 2**64) - 2**63)
+        joined = stats.join(near, F.col(id_field) == F.col("_label_id"))
+        sample = joined.orderBy(place, *FEATURES, "_label").limit(settings.max_rows)
+        rows = sample.select("_label", *FEATURES).collect()
+        if share >= 1 or len(rows) >= settings.max_rows:
+            break
+        share = min(1.0, 4 * share)
+    found = np.array([tuple(r) for r in rows], float).reshape(-1, len(FEATURES) + 1)
     return fit_rules(found[:, 1:], found[:, 0], settings)
 
 
