@@ -6,18 +6,24 @@ from collections.abc import Callable, Hashable, Sequence
 
 import numpy as np
 
+#: Longest chunk that is remembered, and bytes of chunks (4 for a character) and ids, besides the entries' own overhead.
+CHUNK = 64
+LIMIT = 64 << 20
+
 
 class DistinctTable:
     """Remembers the ids of chunks as packed bytes and joins them by position.
 
-    The first ``most`` distinct chunks stay; frequent ones are soon among them.
-    Later ones go to a smaller table that starts anew when it is full.
+    The first distinct chunks stay, up to ``most`` of them and LIMIT bytes; frequent ones are soon among them.
+    Later ones go to a smaller table that starts anew when it is full.  Chunks of over CHUNK
+    characters are segmented where they stand and not remembered.  So a task holds bounded bytes whatever the texts are.
     """
 
     def __init__(self, encode: Callable[[list], list[bytes]], most: int):
         self.encode, self.most = encode, most
         self.known: dict[Hashable, bytes] = {}
         self.recent: dict[Hashable, bytes] = {}
+        self.known_bytes = self.recent_bytes = 0
 
     def ids(self, chunks: Sequence[Hashable]) -> np.ndarray:
         """Ids of all chunks in order, as 32-bit integers."""
@@ -25,14 +31,24 @@ class DistinctTable:
             return np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), np.int32)
         except KeyError:
             pass
-        if len(self.recent) > self.most // 4:
-            self.recent = {}
+        if len(self.recent) > self.most // 4 or self.recent_bytes > LIMIT // 4:
+            self.recent, self.recent_bytes = {}, 0
         recent = self.recent
         missing = [c for c in set(chunks).difference(self.known) if c not in recent]
-        target = self.known if len(self.known) < self.most else recent
-        target.update(zip(missing, self.encode(missing)))
+        new = dict(zip(missing, self.encode(missing)))
+        kept = {c: v for c, v in new.items() if len(c) <= CHUNK} if max(map(len, missing), default=0) > CHUNK else new
+        held = sum(map(len, kept)) * 4 + sum(map(len, kept.values()))
+        if len(self.known) < self.most and self.known_bytes < LIMIT:
+            self.known.update(kept)
+            self.known_bytes += held
+        else:
+            recent.update(kept)
+            self.recent_bytes += held
         get = self.known.get
-        return np.frombuffer(b"".join([v if (v := get(c)) is not None else recent[c] for c in chunks]), np.int32)
+        return np.frombuffer(
+            b"".join([v if (v := get(c)) is not None else v if (v := recent.get(c)) is not None else new[c] for c in chunks]),
+            np.int32,
+        )
 
 
 def packed(ids: Sequence[int]) -> bytes:

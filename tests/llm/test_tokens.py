@@ -10,7 +10,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from rookery.llm import pieces, token_files
+from rookery.llm import distinct, pieces, token_files
 from rookery.session import scratch_path
 
 WORD_FILE = public_tokenizers.path("word_bpe_49k.json")
@@ -114,3 +114,35 @@ def test_no_rows(spark, make_docs):
     path = scratch_path(spark, "tokens")
     token_files.write_tokens(make_docs(["x"]).filter("false"), path, WORD_FILE, end_id=1)
     assert token_files.read_documents(spark, path).filter(F.lit(True)).collect() == []
+
+
+def test_table_of_chunks_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(distinct, "LIMIT", 4000)
+    calls = []
+
+    def encode(chunks):
+        calls.extend(chunks)
+        return [distinct.packed([ord(x) for x in c]) for c in chunks]
+
+    held = distinct.DistinctTable(encode, 1_000_000)
+    long = "x" * (distinct.CHUNK + 1)
+    for number in range(400):
+        chunks = [f"{number}", long, "a", long, f"{number % 7}"]
+        assert held.ids(chunks).tolist() == [ord(c) for chunk in chunks for c in chunk]
+        stored = [*held.known, *held.recent]
+        assert long not in stored
+        assert 4 * sum(map(len, stored)) + sum(map(len, [*held.known.values(), *held.recent.values()])) < 4000 * 2
+    assert calls.count("a") == 1 and calls.count(long) == 400 and len(held.known) < 400
+
+
+def test_long_words_without_spaces(spark):
+    text = "\u4e2d\u6587" * 3000
+    docs = spark.createDataFrame([(i, (text + str(i) + " ") * 3) for i in range(4)], "doc_id long, text string")
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=model)
+    for row in pieces.encode_pieces(docs, model).collect():
+        assert row.ids == library.encode(row.row.text)
+    codec = pieces.ChunkCodec(model)
+    codec.encode(text)
+    assert not codec.table.known and not codec.table.recent
