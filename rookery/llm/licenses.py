@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rookery.llm.tables import map_batches, utf8
+from rookery.llm.tables import map_batches, quoted, row_of, utf8, with_row
 
 #: Words are runs of digits, letters a-z and characters beyond ASCII, after A-Z are lowered.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 or b >= 128 else 32 for b in range(256))
@@ -229,7 +229,7 @@ def scan_licenses(
     phrases alone, all places; ``labels`` of all templates.  The score is the
     largest weight found, 0 for none.  Null text counts as empty.  Texts are scanned whole, at any length.
     """
-    carried = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(text_column).alias("text"))
+    carried = docs.select(row_of(docs, keep or docs.columns), F.col(quoted(text_column)).alias("text"))
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         machine = automaton(templates)
@@ -258,7 +258,7 @@ def scan_licenses(
             [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["row", *names]
         )
 
-    return map_batches(carried, run, f"row {carried.schema['row'].dataType.simpleString()}, {RESULT}")
+    return map_batches(carried, run, with_row(carried, RESULT))
 
 
 def _pattern(parts: list) -> str:

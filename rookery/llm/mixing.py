@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rookery.llm.tables import staged, word_count
+from rookery.llm.tables import quoted, row_of, staged, word_count
 
 #: Sub-groups that one stratum of a source is numbered in: three hexadecimal digits of the document's key.
 KEY_DIGITS = 3
@@ -78,17 +78,18 @@ def mix_copies(
     are hashed as empty text.  Equal ids are told apart by their text, equal
     rows are interchangeable.  An empty table gives an empty mix.
     """
-    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_column).cast("string"), F.lit(""))))
+    source, text = F.col(quoted(source_column)), F.col(quoted(text_column))
+    key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col(quoted(id_column)).cast("string"), F.lit(""))))
     spare = "greatest(length(bin(size)) - 8, 0)"
     rows = (
         docs.select(
-            F.struct(*(keep or docs.columns)).alias("row"),
-            F.col(source_column).alias("source"),
+            row_of(docs, keep or docs.columns),
+            source.alias("source"),
             # The source as a key that is never null.
-            F.coalesce(F.concat(F.lit("="), F.col(source_column).cast("string")), F.lit("")).alias("_source"),
-            word_count(F.col(text_column)).alias("size"),
+            F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("")).alias("_source"),
+            word_count(text).alias("size"),
             key.alias("_key"),
-            F.xxhash64(text_column).alias("_same"),
+            F.xxhash64(text).alias("_same"),
         )
         .withColumn("_stratum", F.expr(f"shiftleft(shiftright(size, {spare}), {spare})"))
         .withColumn("_part", F.substring("_key", 1, KEY_DIGITS))

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.llm.distinct import DistinctTable, packed
-from rookery.llm.tables import utf8
+from rookery.llm.tables import quoted, row_of, utf8, with_row
 
 # Fixed value: SentencePiece writes a space as this marker.
 MARKER = "▁"
@@ -99,7 +99,7 @@ def encode_pieces(
     own encoding, without begin or end ids.  Null text counts as empty and has
     no ids.  Texts of any length are encoded whole.  ``model_file`` must be readable on every executor.
     """
-    carried = docs.select(F.struct(*(keep or docs.columns)).alias("row"), F.col(text_column).alias("text"))
+    carried = docs.select(row_of(docs, keep or docs.columns), F.col(quoted(text_column)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         codec = chunk_codec(model_file)
@@ -111,5 +111,4 @@ def encode_pieces(
                 columns = [batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["row", "ids", "decoded"])
 
-    row = carried.schema["row"].dataType.simpleString()
-    return carried.mapInArrow(run, f"row {row}, ids array<int>, decoded string")
+    return carried.mapInArrow(run, with_row(carried, "ids array<int>, decoded string"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rookery.llm.components import components
-from rookery.llm.tables import map_batches, staged, utf8
+from rookery.llm.tables import map_batches, quoted, row_of, staged, utf8, with_row
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -53,8 +53,8 @@ def fingerprints(docs: DataFrame, keep: tuple[str, ...], text_column: str = "tex
         found = np.fromiter(map(fingerprint, utf8(batch.column(1))), np.uint64, batch.num_rows)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["row", "fingerprint"])
 
-    carried = docs.select(F.struct(*keep).alias("row"), F.col(text_column).alias("text"))
-    return map_batches(carried, run, f"row {carried.schema['row'].dataType.simpleString()}, fingerprint long")
+    carried = docs.select(row_of(docs, keep), F.col(quoted(text_column)).alias("text"))
+    return map_batches(carried, run, with_row(carried, "fingerprint long"))
 
 
 def _half(value: Column, place: Column) -> Column:
@@ -160,12 +160,12 @@ def _classes(prints: DataFrame, paired_bucket: int) -> DataFrame:
 
 def _named(docs: DataFrame, id_column: str, text_column: str) -> Column:
     """What a document is known by: its id, null last, then two hashes of its text."""
-    row_id, text = F.col(id_column), F.col(text_column)
+    row_id, text = F.col(quoted(id_column)), F.col(quoted(text_column))
     return F.struct(
         row_id.isNull().alias("none"),
         row_id.alias("id"),
         F.xxhash64(text).alias("t1"),
-        F.xxhash64(text, F.lit(1)).alias("t2"),
+        F.xxhash64(F.lit(1), text).alias("t2"),
     )
 
 
@@ -187,8 +187,8 @@ def near_duplicates(
     Repeated rows are copies of each other.  An empty table gives no rows.
     """
     base = docs.select(
-        F.struct(F.struct(*(keep or docs.columns)).alias("row"), _named(docs, id_column, text_column).alias("named")).alias("row"),
-        F.col(text_column).alias("text"),
+        F.struct(row_of(docs, keep or docs.columns), _named(docs, id_column, text_column).alias("named")).alias("row"),
+        F.col(quoted(text_column)).alias("text"),
     )
     prints = fingerprints(base, ("row",), "text").select("row.row.row", "row.row.named", "fingerprint")
     prints = staged(prints, "fingerprints")
@@ -207,13 +207,13 @@ def one_of_each(
     keep are known; these are unique, so large groups of copies don't meet in one task.
     """
     named = _named(docs, id_column, text_column)
-    narrow = docs.select(named.alias("named"), F.col(text_column).alias("text"))
+    narrow = docs.select(named.alias("named"), F.col(quoted(text_column)).alias("text"))
     prints = staged(fingerprints(narrow, ("named",), "text").select("row.named", "fingerprint"), "fingerprints")
     names = _classes(prints, paired_bucket).select("name").distinct()
 
     def keys(name: str) -> list[Column]:
         fields = [F.col(f"{name}.{f}") for f in ("id", "t1", "t2")]
-        return [F.xxhash64(*fields).alias("_k1"), F.xxhash64(*fields, F.lit(1)).alias("_k2")]
+        return [F.xxhash64(*fields).alias("_k1"), F.xxhash64(F.lit(1), *fields).alias("_k2")]
 
     rows = docs.select(F.struct("*").alias("row"), named.alias("named")).select("row", *keys("named"))
     kept = rows.join(names.select(*keys("name")), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"])

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rookery.llm.suffix_array import suffix_array
-from rookery.llm.tables import staged, utf8
+from rookery.llm.tables import quoted, row_of, staged, utf8, with_row
 
 LENGTH = 50
 CORE = 24
@@ -523,15 +523,15 @@ def remove_repeats(
     other.  Of equal texts the smallest id is kept whole and no other is compared.
     Texts below LENGTH bytes stay whole.  An empty table gives no rows.
     """
-    text = F.col(text_column)
+    text = F.col(quoted(text_column))
     others = [c for c in (keep or docs.columns) if c != text_column]
     base = docs.select(
-        F.struct(*others).alias("row"),
-        F.col(id_column).cast("long").alias("doc"),
+        row_of(docs, others),
+        F.col(quoted(id_column)).cast("long").alias("doc"),
         text.alias("text"),
         F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes"),
         F.xxhash64(text).alias("t1"),
-        F.xxhash64(text, F.lit(1)).alias("t2"),
+        F.xxhash64(F.lit(1), text).alias("t2"),
     )
     same_doc = Window.partitionBy("doc").orderBy("t1", "t2")
     firsts = (
@@ -587,7 +587,5 @@ def remove_repeats(
                 [batch.column("row"), *(pa.array(c, k) for c, k in zip(columns, kinds))], names
             )
 
-    row = base.schema["row"].dataType.simpleString()
-    return judged.mapInArrow(
-        run, f"row {row}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
-    )
+    more = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, kept_text string"
+    return judged.mapInArrow(run, with_row(base, more))

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rookery.llm.tables import map_batches, staged
+from rookery.llm.tables import map_batches, quoted, staged
 
 #: Numbers (vectors x coordinates) of a candidate block, 2 MB, and of a query block.
 BLOCK_NUMBERS = 1 << 18
@@ -36,11 +36,11 @@ RESULT = "query_uid long, query_id long, vec_id long, score long"
 
 def integer_vectors(vectors: DataFrame, query: Column, scale: float, id_column: str, vector_column: str) -> DataFrame:
     """uid, id, query, values (floor of scale times each component), length; rows that take no part left out."""
-    vector = F.col(vector_column).cast("array<double>")
+    vector = F.col(quoted(vector_column)).cast("array<double>")
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    rows = vectors.filter(F.col(id_column).isNotNull() & F.col(vector_column).isNotNull() & finite).select(
+    rows = vectors.filter(F.col(quoted(id_column)).isNotNull() & F.col(quoted(vector_column)).isNotNull() & finite).select(
         F.monotonically_increasing_id().alias("uid"),
-        F.col(id_column).cast("long").alias("id"),
+        F.col(quoted(id_column)).cast("long").alias("id"),
         F.coalesce(query, F.lit(False)).alias("query"),
         F.transform(vector, lambda x: F.floor(x * scale).cast("long")).alias("values"),
     )
