@@ -28,6 +28,9 @@ from rookery.plans.weekly import create_weekly_openings, refresh_weekly_openings
 from rookery.session import scratch_path
 from rookery.sources import archive as source
 from rookery.sources import tables
+from rookery.sources.objects import write_objects
+
+OBJECT_PERIOD = "2024/11"
 
 
 def _exploded(spark, sf_dir, keep_empty=False):
@@ -135,6 +138,15 @@ def land_response_metadata(spark, sf_dir):
     return landed.select("endpoint", "player", "period", "url", F.size("games").alias("n_games"))
 
 
+def archive_objects(spark, sf_dir):
+    """The first document of each endpoint written as an object; one period's objects listed, read and parsed."""
+    root = scratch_path(spark, "objects")
+    first = documents(spark, sf_dir, ("own",)).groupBy("endpoint").agg(F.min_by("body", "part").alias("body"))
+    write_objects(first, root)
+    exploded = ops.explode_games(ops.parse_documents(source.read_objects(spark, root, OBJECT_PERIOD)))
+    return exploded.select("endpoint", "pos", F.col("game.url").alias("url"))
+
+
 def append_table_roundtrip(spark, sf_dir):
     """Append the games in two halves to a day-partitioned table."""
     target = _target(spark, "roundtrip")
@@ -224,6 +236,7 @@ QUERIES = {
     "endpoint_month_ledger": endpoint_month_ledger,
     "required_contract": required_contract,
     "land_response_metadata": land_response_metadata,
+    "archive_objects": archive_objects,
     "append_table_roundtrip": append_table_roundtrip,
     "incremental_load": incremental_load,
     "load_rejects": load_rejects,
@@ -274,6 +287,10 @@ QUALIFY row_number() OVER (PARTITION BY game_id ORDER BY endpoint, part, pos) =
     UNION ALL
     SELECT black_username, period, CASE status WHEN 'O' THEN 1 WHEN 'F' THEN 0 END FROM v_games)
 WHERE period NOT LIKE '%/11'""",
+    "archive_objects": _ARCHIVE
+    + f"""SELECT endpoint, CAST(pos AS INTEGER) AS pos, url FROM v_copies
+WHERE endpoint = 'player/' || white_username || '/games/' || period AND period = '{OBJECT_PERIOD}'
+QUALIFY part = min(part) OVER (PARTITION BY endpoint)""",
     "append_table_roundtrip": _ARCHIVE + f"SELECT {GAME_COLUMNS_SQL} FROM v_games",
     "incremental_load": _ARCHIVE + f"SELECT {GAME_COLUMNS_SQL} FROM v_games",
     "load_rejects": _ARCHIVE

@@ -20,6 +20,7 @@ from rookery.functions import paths
 from rookery.operators import archive, keys, quality
 from rookery.sources import archive as objects
 from rookery.sources import tables
+from rookery.sources.objects import read_listed
 
 MALFORMED = "malformed document"
 
@@ -254,20 +255,18 @@ def load_month(
 ) -> LoadResult:
     """Load the objects of one period (H2).
 
-    The period is scanned, and handled objects are dropped by their path before
-    a body is parsed; at any number of objects in the same way.  A ``DEV`` run opens
-    ``dev_endpoint`` alone.
+    Objects are listed with their sizes; handled ones are dropped from the list, and only the rest is
+    opened.  A ``DEV`` run opens ``dev_endpoint`` alone.
     """
     if mode == "DEV":
         if not dev_endpoint:
             raise ValueError("a DEV run needs dev_endpoint")
         return _load(objects.read_objects(spark, root, period, dev_endpoint), target, run_time, False, strict)
-    documents = objects.read_objects(spark, root, period)
     month = F.to_date(F.lit(f"{period}/01"), "yyyy/MM/dd")
     done = tables.current(spark, target.ledger).where(F.col("gcs_game_month") == month)
-    documents = documents.join(done.select(F.col("gcs_endpoint").alias("endpoint")).distinct(), "endpoint", "left_anti")
+    listed = objects.list_objects(spark, root, period)
+    todo = listed.join(done.select(F.col("gcs_endpoint").alias("path")).distinct(), "path", "left_anti")
     if mode != "PROD":
-        handled = done.select(F.col("gcs_endpoint").alias("endpoint"))
-        todo = keys.remaining_endpoints(keys.list_endpoints(objects.list_objects(spark, root, period), period), handled)
-        documents = documents.join(keys.select_endpoints(todo, mode, test_volume).select("endpoint"), "endpoint", "left_semi")
-    return _load(documents, target, run_time, mode == "PROD", strict)
+        chosen = keys.select_endpoints(todo.select(F.col("path").alias("endpoint")), mode, test_volume)
+        todo = todo.join(chosen.select(F.col("endpoint").alias("path")), "path", "left_semi")
+    return _load(read_listed(todo, root), target, run_time, mode == "PROD", strict)

@@ -8,57 +8,21 @@ partitioned by period, in files of a size that suits a large cluster.
 from __future__ import annotations
 
 import datetime as dt
-import re
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rookery import schemas
 from rookery.functions import paths
+from rookery.sources import objects
 
-def _endpoint_of(file_path: Column) -> Column:
-    return F.regexp_extract(file_path, r"/(player/[^/]+/games/.*)$", 1)
-
-
-def _decoded(uri: Column) -> Column:
-    # A plus sign is itself in a path; only %xx escapes are encoded.
-    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
-
-
-def _path_missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
-def list_objects(spark: SparkSession, root: str, period: str) -> DataFrame:
-    """Paths of a period's objects, relative to ``root``; no content is read (A2)."""
-    try:
-        files = spark.read.format("binaryFile").load(f"{root}/player/*/games/{period}")
-    except AnalysisException as error:
-        if _path_missing(error):
-            return spark.createDataFrame([], "path string")
-        raise
-    return files.select(_endpoint_of(F.col("path")).alias("path"))
+list_objects = objects.list_objects
 
 
 def read_objects(spark: SparkSession, root: str, period: str, endpoint: str | None = None) -> DataFrame:
-    """Documents of a period as ``endpoint, body``, in one scan over all objects (A1); or the one object named.
-
-    A filter on ``endpoint`` above the scan is decided by file path, before a body is parsed.
-    """
-    name = f"player/*/games/{period}" if endpoint is None else _literal(endpoint)
-    try:
-        text = spark.read.text(f"{root}/{name}", wholetext=True)
-    except AnalysisException as error:
-        if _path_missing(error):
-            return spark.createDataFrame([], "endpoint string, body string")
-        raise
-    return text.select(_endpoint_of(_decoded(F.col("_metadata.file_path"))).alias("endpoint"), F.col("value").alias("body"))
-
-
-def _literal(path: str) -> str:
-    """A path in which no character is a pattern."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+    """Documents of a period as ``endpoint, body`` (A1); or the one object named."""
+    listed = list_objects(spark, root, None if endpoint else period)
+    return objects.read_listed(listed if endpoint is None else listed.where(F.col("path") == endpoint), root)
 
 
 def landing_rows(responses: DataFrame) -> tuple[DataFrame, DataFrame]:

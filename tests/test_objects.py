@@ -1,0 +1,76 @@
+"""The data source of archive objects: listing, reading and writing on the executors."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from rookery.sources import archive, objects
+
+NAMES = ["a", "b[1]", "c{2}", "d e", "f%20", "g+h", "q'r", "*", "?x", "ü", "\\\\y"]
+
+
+@pytest.fixture
+def root(spark, tmp_path):
+    rows = [(f"player/{n}/games/{p}", json.dumps({"games": [n, p]})) for n in NAMES for p in ("2024/10", "2024/11", "2025/10")]
+    objects.write_objects(spark.createDataFrame(rows, "endpoint string, body string").repartition(3), str(tmp_path))
+    (tmp_path / "leaderboards").mkdir()
+    (tmp_path / "leaderboards" / "2024").write_text("{}")
+    return tmp_path
+
+
+def paths_of(frame):
+    return sorted(r.path for r in frame.collect())
+
+
+def test_write_list_and_read(spark, root):
+    assert not list((root / "_writing").iterdir())
+    want = sorted(f"player/{n}/games/2024/10" for n in NAMES)
+    listed = objects.list_objects(spark, str(root), "2024/10")
+    assert paths_of(listed) == want
+    assert {r.path: r.size for r in listed.collect()} == {p: (root / p).stat().st_size for p in want}
+    assert len(paths_of(objects.list_objects(spark, f"file://{root}"))) == 3 * len(NAMES)
+    read = {r.endpoint: json.loads(r.body)["games"] for r in archive.read_objects(spark, str(root), "2024/11").collect()}
+    assert read == {f"player/{n}/games/2024/11": [n, "2024/11"] for n in NAMES}
+    assert objects.list_objects(spark, str(root / "none")).count() == 0
+    assert archive.read_objects(spark, str(root), "1999/01").count() == 0
+
+
+def test_an_object_is_replaced(spark, root):
+    changed = spark.createDataFrame([("player/a/games/2024/10", "new")], "endpoint string, body string")
+    objects.write_objects(changed, str(root))
+    (row,) = archive.read_objects(spark, str(root), "2024/10", "player/a/games/2024/10").collect()
+    assert row.body == "new"
+
+
+def test_filter_on_the_path_is_taken_by_the_source(spark, root):
+    listed = objects.list_objects(spark, str(root))
+    path = "player/b[1]/games/2024/10"
+    for found, n in ((listed.where(F.col("path") == path), 1), (listed.where(F.col("path").isin(path, "player/a/games/x")), 1)):
+        assert found.count() == n
+        assert "path" not in found._jdf.queryExecution().executedPlan().toString().split("BatchScan")[0].replace("path#", "")
+    reader = objects.ObjectReader({"root": str(root)})
+    kept = list(reader.pushFilters([objects.EqualTo(("path",), path), objects.EqualTo(("size",), 3)]))
+    assert [f.attribute for f in kept] == [("size",)]
+    # One partition that asks for one path; no folder is listed.
+    assert [p.paths for p in reader.partitions()] == [(path,)]
+    assert [r[0] for p in reader.partitions() for r in reader.read(p)] == [path]
+
+
+def test_buckets_part_the_players(root):
+    reader = objects.ObjectReader({"root": str(root), "period": "2024/10", "buckets": "4"})
+    found = [[path for path, _ in reader.read(p)] for p in reader.partitions()]
+    assert len(found) == 4 and sorted(sum(found, [])) == sorted(f"player/{n}/games/2024/10" for n in NAMES)
+    assert max(map(len, found)) < len(NAMES)
+
+
+def test_no_body_crosses_an_exchange(spark, root, monkeypatch):
+    monkeypatch.setattr(objects, "SPLIT_BYTES", 1)
+    documents = objects.read_listed(objects.list_objects(spark, str(root), "2024/10"), str(root))
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    above, below = plan.split("Exchange", 1)
+    assert "MapInArrow" in above and "body" in above
+    assert "body" not in below and "BatchScan" in below and "FileScan" not in plan
+    assert documents.count() == len(NAMES)
