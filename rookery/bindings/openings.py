@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rookery.bindings.views import V_WEEKLY, table, weekly, weekly_games, with_cte
 from rookery.functions import labels
 from rookery.operators import openings as ops
+from rookery.plans.reports import opening_report
+from rookery.sources.tables import stage
 
 TIME_CLASSES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 START, END = "1996-01-01", "1999-12-31"
 CHOSEN = ["Brand#2", "Brand#3", "Brand#4", "Brand#5", "Brand#6", "Brand#7"]
 MIN_TOP = 100
+MIN_REPORT = 1
+REPORT_START, REPORT_END = dt.date(1996, 1, 1), dt.date(1999, 12, 31)
 MIN_TOTAL = 2400
 MIN_WEEKLY = 4
 
@@ -21,6 +27,35 @@ def _rounded(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.withColumns({c: F.round(c, 9) for c in columns})
 
 
+def opening_report_frames(spark, sf_dir):
+    """Frames of the opening report, one below the other: frame, two names, a number and a figure."""
+    shown = {
+        "weekly_opening": ("week_start", "opening_archetype", "total_games", "white_win_count"),
+        "timeclass_opening": ("time_class", "opening_archetype", "total_games", "white_win_pct"),
+        "opening": ("opening_archetype", None, "total_games", "black_win_pct"),
+        "weekly_totals": ("week_start", None, "total_games", None),
+        "hierarchy": ("node", "parent", "total_games", None),
+        "top": ("opening_archetype", None, "total_games", "white_win_pct"),
+        "points": ("opening_archetype", None, "total_games", "win_pct"),
+        "kpis": ("kpi", "opening", None, "value"),
+        "stats": (None, None, "n_openings", "mean_pct"),
+        "dimensions": ("dimension", "value", "sort_rank", None),
+    }
+    base = weekly(spark, sf_dir)
+    with opening_report(base, REPORT_START, REPORT_END, list(TIME_CLASSES[:4]), None, MIN_REPORT, "white") as report:
+        heat = report["heat_map"]
+        report["heat"] = heat.unpivot("opening_archetype", heat.columns[1:], "time_class", "win_pct").where("win_pct IS NOT NULL")
+        shown["heat"] = ("opening_archetype", "time_class", None, "win_pct")
+        frames = None
+        for name, columns in shown.items():
+            values = [F.lit(None) if c is None else F.col(c) for c in columns]
+            kinds = ("string", "string", "bigint", "double")
+            cells = [v.cast(k).alias(a) for v, k, a in zip(values, kinds, ("a", "b", "n", "v"))]
+            frame = report[name].select(F.lit(name).alias("frame"), *cells)
+            frames = frame if frames is None else frames.union(frame)
+        return stage(_rounded(frames, "v"), "opening-report")
+
+
 def _opening(spark, sf_dir, minimum=None):
     return ops.by_opening(weekly(spark, sf_dir), minimum)
 
@@ -120,6 +155,7 @@ def winrate_scatter(spark, sf_dir):
 
 
 QUERIES = {
+    "opening_report_frames": opening_report_frames,
     "top10_openings": top10_openings,
     "weekly_openings_build": weekly_openings_build,
     "weekly_range": weekly_range,
@@ -174,7 +210,46 @@ def _kpi(name: str, metric: str, direction: str, shown: str | None = None) -> st
   FROM v_opening WHERE {metric} IS NOT NULL ORDER BY {metric} {direction}, opening_archetype LIMIT 1)"""
 
 
+_LISTED = ", ".join(f"'{c}'" for c in TIME_CLASSES[:4])
+REPORT_SQL = (
+    with_cte(V_WEEKLY)
+    + f""", base AS (
+  SELECT * FROM v_weekly WHERE week_start BETWEEN DATE '{REPORT_START}' AND DATE '{REPORT_END}' AND time_class IN ({_LISTED})
+    AND opening_archetype IS NOT NULL),
+wo AS (SELECT week_start, opening_archetype, sum(total_games) AS g, sum(white_win_count) AS w FROM base GROUP BY ALL HAVING g > {MIN_REPORT}),
+tc AS (SELECT time_class, opening_archetype, sum(total_games) AS g, sum(white_win_count) / sum(total_games) * 100 AS w
+  FROM base GROUP BY ALL HAVING g > {MIN_REPORT}),
+op AS (SELECT opening_archetype AS o, sum(total_games) AS g, sum(white_win_count) / sum(total_games) * 100 AS w,
+  sum(black_win_count) / sum(total_games) * 100 AS b FROM base GROUP BY ALL HAVING g > {MIN_REPORT}),
+kpis AS (
+  SELECT unnest(['most_played_opening', 'least_played_opening', 'highest_win_pct_as_white', 'highest_win_pct_as_black',
+                 'lowest_win_pct_as_white', 'lowest_win_pct_as_black']) AS kpi,
+    unnest([(SELECT o FROM op ORDER BY g DESC, o LIMIT 1), (SELECT o FROM op ORDER BY g, o LIMIT 1),
+            (SELECT o FROM op ORDER BY w DESC, o LIMIT 1), (SELECT o FROM op ORDER BY b DESC, o LIMIT 1),
+            (SELECT o FROM op ORDER BY w, o LIMIT 1), (SELECT o FROM op ORDER BY b, o LIMIT 1)]) AS opening,
+    unnest([(SELECT max(g) FROM op)::DOUBLE, (SELECT min(g) FROM op)::DOUBLE, (SELECT max(w) FROM op), (SELECT max(b) FROM op),
+            (SELECT min(w) FROM op), (SELECT min(b) FROM op)]) AS value),
+frames AS (
+  SELECT 'weekly_opening' AS frame, week_start::VARCHAR AS a, opening_archetype AS b, g AS n, w::DOUBLE AS v FROM wo
+  UNION ALL SELECT 'timeclass_opening', time_class, opening_archetype, g, w FROM tc
+  UNION ALL SELECT 'opening', o, NULL, g, b FROM op
+  UNION ALL SELECT 'weekly_totals', week_start::VARCHAR, NULL, sum(g), NULL FROM wo GROUP BY week_start
+  UNION ALL SELECT 'hierarchy', o, 'All', g, NULL FROM op
+  UNION ALL SELECT 'hierarchy', 'All', NULL, coalesce(sum(g), 0), NULL FROM op
+  UNION ALL (SELECT 'top', o, NULL, g, w FROM op ORDER BY g DESC, o LIMIT 10)
+  UNION ALL SELECT 'points', o, NULL, g, w FROM op WHERE g > 0
+  UNION ALL SELECT 'kpis', kpi, opening, NULL, value FROM kpis WHERE opening IS NOT NULL
+  UNION ALL SELECT 'stats', NULL, NULL, count(w), avg(w) FROM op
+  UNION ALL SELECT DISTINCT 'dimensions', 'time_class', time_class, 1, NULL::DOUBLE FROM v_weekly WHERE time_class IS NOT NULL
+  UNION ALL SELECT DISTINCT 'dimensions', 'opening_archetype', opening_archetype, 1, NULL::DOUBLE
+    FROM v_weekly WHERE opening_archetype IS NOT NULL
+  UNION ALL SELECT 'dimensions', 'time_class', 'all', 0, NULL
+  UNION ALL SELECT 'heat', opening_archetype, time_class, NULL, w FROM tc)
+SELECT frame, a, b, n::BIGINT AS n, round(v, 9) AS v FROM frames"""
+)
+
 ORACLE = {
+    "opening_report_frames": REPORT_SQL,
     "top10_openings": with_cte(V_WEEKLY)
     + f"""SELECT opening_archetype, total_games, white_win_count, black_win_count,
   round(white_win_count / nullif(total_games, 0) * 100, 9) AS white_win_pct,

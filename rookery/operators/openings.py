@@ -127,6 +127,35 @@ def by_opening(weekly: DataFrame, minimum: int | None = None) -> DataFrame:
     return add_win_pct(_sum_counts(weekly, ["opening_archetype"], minimum))
 
 
+#: The three aggregates of the report, by the number that the grouping gives them.
+LEVELS = {
+    2: ("week_start", "opening_archetype"),
+    4: ("time_class", "opening_archetype"),
+    6: ("opening_archetype",),
+}
+
+
+def grouped_counts(weekly: DataFrame) -> DataFrame:
+    """Counts of all three aggregates (E3, E4, E5) from one pass over the rows, told apart by ``level``."""
+    keys = ("week_start", "time_class", "opening_archetype")
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTS]
+    sets = weekly.where("opening_archetype IS NOT NULL").groupingSets(LEVELS.values(), *keys)
+    counts = sets.agg(F.grouping_id().cast("int").alias("level"), *sums)
+    # A row whose own week or time class is NULL is no group of that aggregate.
+    lacks = F.lit(False)
+    for level, held in LEVELS.items():
+        for key in held:
+            lacks = lacks | ((F.col("level") == level) & F.col(key).isNull())
+    return counts.where(~lacks)
+
+
+def at_level(grouped: DataFrame, keys: Sequence[str], minimum: int | None = None, with_pct: bool = True) -> DataFrame:
+    """One aggregate of :func:`grouped_counts`, with win rates if asked."""
+    level = {held: number for number, held in LEVELS.items()}[tuple(keys)]
+    counts = min_games(grouped.where(F.col("level") == level).select(*keys, *COUNTS), minimum)
+    return add_win_pct(counts) if with_pct else counts
+
+
 def weekly_totals(weekly_openings: DataFrame, metric: str = "total_games") -> DataFrame:
     """Sum of a metric per week over the openings that passed their threshold."""
     return weekly_openings.groupBy("week_start").agg(F.coalesce(F.sum(metric), F.lit(0)).alias(metric))

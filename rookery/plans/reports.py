@@ -9,6 +9,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame
 
 from rookery.operators import openings, usage
+from rookery.sources import tables
+
+#: What can be chosen in the opening report.
+DIMENSIONS = ("time_class", "opening_archetype")
 
 
 @contextmanager
@@ -21,31 +25,31 @@ def opening_report(
     minimum: int | None = None,
     color: str | None = None,
 ) -> Iterator[dict[str, DataFrame]]:
-    """All frames of the opening report (H5).
+    """All frames of the opening report (H5), with its lists of dimensions and heat map.
 
-    The filtered base and the per-opening counts are kept for the duration of
-    the ``with`` block, as every frame derives from them.
+    The three aggregates come out of one expansion of the filtered base, which is written to the scratch
+    folder; every figure derives from it.  The lists are those of all weeks of ``weekly``.
     """
-    base = openings.dimension_filter(openings.week_range(weekly, start, end), time_class, chosen_openings).persist()
-    by_opening = openings.by_opening(base, minimum).persist()
-    weekly_opening = openings.weekly_opening(base, minimum)
-    try:
-        yield {
-            "opening": by_opening,
-            "weekly_opening": weekly_opening,
-            "timeclass_opening": openings.timeclass_opening(base, minimum),
-            "weekly_totals": openings.weekly_totals(weekly_opening),
-            "hierarchy": openings.opening_hierarchy(by_opening),
-            "points": openings.win_rate_points(by_opening, color),
-            "top": openings.top_openings(by_opening),
-            "kpis": openings.opening_kpis(by_opening),
-            "stats": openings.win_pct_stats(by_opening, color),
-            "histogram": openings.win_pct_histogram(by_opening, color),
-            "curve": openings.normal_curve(by_opening, color),
-        }
-    finally:
-        by_opening.unpersist()
-        base.unpersist()
+    base = openings.dimension_filter(openings.week_range(weekly, start, end), time_class, chosen_openings)
+    grouped = tables.stage(openings.grouped_counts(base), "opening-report")
+    by_opening = openings.at_level(grouped, ["opening_archetype"], minimum)
+    weekly_opening = openings.at_level(grouped, ["week_start", "opening_archetype"], minimum, with_pct=False)
+    timeclass_opening = openings.at_level(grouped, ["time_class", "opening_archetype"], minimum)
+    yield {
+        "opening": by_opening,
+        "weekly_opening": weekly_opening,
+        "timeclass_opening": timeclass_opening,
+        "weekly_totals": openings.weekly_totals(weekly_opening),
+        "hierarchy": openings.opening_hierarchy(by_opening),
+        "points": openings.win_rate_points(by_opening, color),
+        "top": openings.top_openings(by_opening),
+        "kpis": openings.opening_kpis(by_opening),
+        "stats": openings.win_pct_stats(by_opening, color),
+        "histogram": openings.win_pct_histogram(by_opening, color),
+        "curve": openings.normal_curve(by_opening, color),
+        "dimensions": openings.distinct_dimensions(weekly, DIMENSIONS, with_all=DIMENSIONS[:1]),
+        "heat_map": openings.win_pct_pivot(timeclass_opening),
+    }
 
 
 @contextmanager

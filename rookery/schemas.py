@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 from pyspark.sql.types import (
     ArrayType,
+    BinaryType,
     BooleanType,
     DataType,
     DateType,
@@ -164,6 +165,17 @@ JOB_LOG = StructType(
     ]
 )
 
+USER_NUMBERS = StructType([_required("user_email", StringType()), _required("user_number", LongType())])
+
+# Users of a day as bits, by bucket of 32,768 numbers.
+USER_DAYS = StructType(
+    [
+        _required("job_created_date", DateType()),
+        _required("bucket", LongType()),
+        _required("bitmap", BinaryType()),
+    ]
+)
+
 RUNS_TRIGGERED = StructType(
     [
         _required("run_id", StringType()),

@@ -11,6 +11,12 @@ from pyspark.sql.types import StructType
 
 from rookery.session import scratch_path
 
+# How times are written to CSV, and to be read again.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
+}
+
 
 def query(spark: SparkSession, sql: str, args: dict[str, Any] | None = None, **tables: DataFrame) -> DataFrame:
     """Result of a SQL text, lazily.
@@ -95,5 +101,5 @@ def append(rows: DataFrame, table: str, partition_column: str | None = None) ->
 
 
 def export_csv(rows: DataFrame, location: str) -> None:
-    """Write rows as CSV files with a header."""
-    rows.write.mode("overwrite").option("header", True).csv(location)
+    """Write rows as CSV files with a header (A9); times keep their microseconds."""
+    rows.write.mode("overwrite").option("header", True).options(**CSV_TIMES).csv(location)

@@ -191,3 +191,28 @@ def test_week_range_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(l_shipdate,1996-01-01" in plan and "LessThan(l_shipdate,1996" in plan
     whole = ops.week_range(weekly(spark, "/root/testdata/sf0.001"), "1996-01-01", "1996-03-31")
     assert sorted(map(str, ranged.collect())) == sorted(map(str, whole.collect()))
+
+
+def test_one_expansion_gives_all_aggregates(spark, weekly):
+    grouped = ops.grouped_counts(weekly)
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1 and plan.count("Exchange") == 1
+    for keys, plain in (
+        (["week_start", "opening_archetype"], ops.weekly_opening),
+        (["time_class", "opening_archetype"], ops.timeclass_opening),
+        (["opening_archetype"], ops.by_opening),
+    ):
+        for minimum in (None, 10):
+            got = ops.at_level(grouped, keys, minimum, with_pct=plain is not ops.weekly_opening)
+            want = plain(weekly, minimum)
+            assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_report_reads_its_base_once(spark, weekly):
+    with opening_report(weekly, W1, W2, "all", None, None, "white") as report:
+        for name in set(report) - {"dimensions"}:
+            plan = report[name]._jdf.queryExecution().executedPlan().toString()
+            # Only the staged aggregates are read; the hierarchy has a roll-up of its own.
+            assert "opening-report" in plan and ("Expand" in plan) == (name == "hierarchy")
+        assert {r.value for r in report["dimensions"].where("dimension = 'time_class'").collect()} == {"all", "blitz", "rapid"}
+        assert sorted(report["heat_map"].columns) == ["blitz", "opening_archetype", "rapid"]

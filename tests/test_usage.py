@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 import pytest
 
 from rookery import schemas
 from rookery.operators import usage as ops
 from rookery.plans.reports import usage_report
+from rookery.plans.usage_state import UsageState, distinct_users, rolling_users, store_days
+from rookery.session import scratch_path
 from rookery.sources import tables
 
 AS_OF = dt.date(2025, 3, 15)
@@ -125,3 +128,40 @@ def test_report_and_csv(spark, log, tmp_path):
         assert report["window"].count() == 1 and report["users"].count() >= 1
         plan = report["kpis"]._jdf.queryExecution().executedPlan().toString()
         assert "InMemoryTableScan" in plan
+
+
+def test_distinct_users_from_bitmaps(spark):
+    name = f"t_{uuid.uuid4().hex}"
+    state = UsageState.create(spark, name, scratch_path(spark, name))
+    first = dt.date(2025, 1, 1)
+    rows = [(first + dt.timedelta(days=i % 9), f"u{i * 7 % 40}" if i % 11 else None) for i in range(200)]
+
+    def frame(part):
+        return spark.createDataFrame(part, "job_created_date date, user_email string").repartition(3)
+
+    def users(a, b):
+        return distinct_users(spark, state, first + dt.timedelta(days=a), first + dt.timedelta(days=b)).first()[0]
+
+    # Bit by bit, out of order, and some of it twice.
+    for part in (rows[120:], rows[:80], rows[60:130], []):
+        store_days(frame(part), state)
+    for a in range(9):
+        for b in range(a, 10):
+            want = {u for d, u in rows if u and a <= (d - first).days <= b}
+            assert users(a, b) == len(want)
+    assert users(20, 30) == 0
+    known = spark.table(state.users).collect()
+    assert len({r.user_number for r in known}) == len(known) == len({u for _, u in rows if u})
+    rolling = {r.end_date: r.distinct_users for r in rolling_users(spark, state, 3).collect()}
+    assert rolling == {
+        d: len({u for e, u in rows if u and 0 <= (d - e).days < 3}) for d in {d for d, u in rows if u}
+    }
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_csv_keeps_microseconds(spark, tmp_path):
+    when = dt.datetime(2025, 1, 20, 12, 0, 0, 123456)
+    rows = spark.createDataFrame([(1, when, None), (2, when.replace(microsecond=0), "a,b")], "n int, t timestamp, s string")
+    tables.export_csv(rows, str(tmp_path / "csv"))
+    back = spark.read.option("header", True).options(**tables.CSV_TIMES).schema(rows.schema).csv(str(tmp_path / "csv"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
