@@ -24,83 +24,146 @@ FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or 48 <= b <= 57 o
 
 @dataclass(frozen=True)
 class Template:
-    """``weight`` says how surely the wording grants the license: a mention, a notice, the full text."""
+    """``weight`` says how surely the wording grants the license: a mention, an opening, a grant by name, the whole text.
+
+    A ``grant`` by name is none where it is denied in the words before it.
+    """
 
     label: str
     text: str
     weight: float
     base: bool = False
+    grant: bool = False
+
 
+MENTION, OPENING, NAMED, GRANT, WHOLE = 0.5, 0.6, 0.7, 0.8, 1.0
 
-# Wording of public licenses and their notices.
+# Wording of public licenses and their notices, to the end of what is mandatory.
+_MIT_GRANT = (
+    "permission is hereby granted free of charge to any person obtaining a copy of this {1-1} [[and associated "
+    "documentation files]] [[the {1-1}]] to deal in the {1-1} without restriction including without limitation the "
+    "rights to use copy modify merge publish distribute sublicense and or sell copies of the {1-1}"
+)
+_MIT_REST = (
+    "and to permit persons to whom the {1-1} is furnished to do so subject to the following conditions the above "
+    "copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or "
+    "substantial portions of the {1-1} the {1-1} is provided as is without warranty of any kind express or implied "
+    "including but not limited to the warranties of merchantability fitness for a particular purpose and "
+    "noninfringement in no event shall the {1-8} be liable for any claim damages or other liability whether in an action of "
+    "contract tort or otherwise arising from out of or in connection with the {1-1} or the use or other dealings in the {1-1} "
+)
+_BSD_GRANT = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the "
+    "following conditions are met"
+)
+_BSD_TWO = (
+    "[[1]] redistributions of source code must retain the above copyright notice this "
+    "list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above "
+    "copyright notice this list of conditions and the following disclaimer in the documentation and or other "
+    "materials provided with the distribution"
+)
+_BSD_THREE = (
+    "[[3]] neither the name of {1-12} nor the names of [[its]] {0-2} contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission"
+)
+_BSD_REST = (
+    "this software is provided by {1-10} as is and any express or implied warranties including but not limited to the "
+    "implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {1-10} be "
+    "liable for any direct indirect incidental special exemplary or consequential damages including but not limited to "
+    "procurement of substitute goods or services loss of use data or profits or business interruption however caused and "
+    "on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising "
+    "in any way out of the use of this software even if advised of the possibility of such damage"
+)
+_ISC_GRANT = (
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
+    "granted provided that the above copyright notice and this permission notice appear in all copies"
+)
+_ISC_REST = (
+    "the software is provided as is and the {1-4} disclaims all warranties with regard to this software including all "
+    "implied warranties of merchantability and fitness in no event shall the {1-4} be liable for any special direct "
+    "indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an "
+    "action of contract negligence or other tortious action arising out of or in connection with the use or performance "
+    "of this software"
+)
+_APACHE_NOTICE = (
+    "licensed under the apache license version 2 0 the license you may not use this {1-2} except in compliance with "
+    "the license you may obtain a copy of the license at {1-10} unless required by applicable law or agreed to in writing "
+    "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind "
+    "either express or implied see the license for the specific language governing permissions and limitations under the "
+    "license"
+)
+_GPL_NOTICE = (
+    "free software you can redistribute it and or modify it under the terms of the gnu {kind}general public license as "
+    "published by the free software foundation either version {version} of the license or at your option any later version "
+    "this {1-4} is distributed in the hope that it will be useful but without any warranty without even the implied "
+    "warranty of merchantability or fitness for a particular purpose see the gnu {kind}general public license for more details"
+)
+_GPL_KINDS = (("gpl-2.0", "", "2"), ("gpl-3.0", "", "3"), ("lgpl-2.1", "lesser ", "2 1"), ("lgpl-3.0", "lesser ", "3"),
+              ("agpl-3.0", "affero ", "3"))
+_MPL_NOTICE = (
+    "source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not "
+    "distributed with this file you can obtain one at [[http]] [[https]] mozilla org mpl 2 0"
+)
+_UNLICENSE = (
+    "free and unencumbered software released into the public domain anyone is free to copy modify publish use compile "
+    "sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or "
+    "non commercial and by any means"
+)
+_CC_NAMES = (
+    ("cc-by-4.0", "creative commons attribution 4 0"),
+    ("cc-by-sa-4.0", "creative commons attribution sharealike 4 0"),
+    ("cc-by-sa-4.0", "creative commons attribution share alike 4 0"),
+    ("cc-by-nc-4.0", "creative commons attribution noncommercial 4 0"),
+    ("cc-by-nc-4.0", "creative commons attribution non commercial 4 0"),
+    ("cc-by-nd-4.0", "creative commons attribution noderivatives 4 0"),
+    ("cc-by-nd-4.0", "creative commons attribution no derivatives 4 0"),
+    ("cc-by-nc-sa-4.0", "creative commons attribution noncommercial sharealike 4 0"),
+    ("cc-by-nc-nd-4.0", "creative commons attribution noncommercial noderivatives 4 0"),
+    ("cc0-1.0", "creative commons zero [[v]] 1 0"),
+    ("cc0-1.0", "cc0 1 0 universal"),
+)
+_CC_GRANTS = ("by", "by sa", "by nc", "by nd", "by nc sa", "by nc nd")
+_GNU = "the gnu general public license [[as published by the free software foundation]] [[either]] [[version]]"
 TEMPLATES = (
-    Template("mit", "mit license", 0.5, base=True),
-    Template("apache", "apache license", 0.5, base=True),
-    Template("gpl", "general public license", 0.5, base=True),
-    Template("mit", "released under [[the terms of]] the mit license", 0.8),
-    Template("mit", "licensed under [[the terms of]] the mit license", 0.8),
-    Template("apache-2.0", "licensed under [[the terms of]] the apache license [[version]] 2 0", 0.8),
-    Template(
-        "gpl-3.0",
-        "licensed under [[the terms of]] the gnu general public license [[as published by the free software foundation]] "
-        "[[either]] [[version]] 3",
-        0.8,
-    ),
-    Template(
-        "gpl-2.0",
-        "licensed under [[the terms of]] the gnu general public license [[as published by the free software foundation]] "
-        "[[either]] [[version]] 2",
-        0.8,
-    ),
-    Template("cc-by-nc-4.0", "licensed under [[the terms of]] [[a]] [[the]] [[creative commons]] cc by nc 4 0", 0.8),
-    Template("cc-by-sa-4.0", "licensed under [[the terms of]] [[a]] [[the]] [[creative commons]] cc by sa 4 0", 0.8),
-    Template("cc-by-4.0", "licensed under [[the terms of]] [[a]] [[the]] [[creative commons]] cc by 4 0", 0.8),
-    Template(
-        "mit",
-        "permission is hereby granted free of charge to any person obtaining a copy of this {0-6} [[and associated "
-        "documentation files]] [[the software]] to deal in the software without restriction including without limitation the "
-        "rights to use copy modify merge publish distribute sublicense and or sell copies of the software",
-        1.0,
+    Template("mit", "mit license", MENTION, base=True),
+    Template("apache", "apache license", MENTION, base=True),
+    Template("gpl", "general public license", MENTION, base=True),
+    *(
+        Template("mit", f"{verb} under [[the terms of]] the mit license", GRANT, grant=True)
+        for verb in ("released", "licensed", "distributed")
     ),
-    Template(
-        "isc",
-        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby "
-        "granted provided that the above copyright notice and this permission notice appear in all copies",
-        1.0,
-    ),
-    Template(
-        "bsd",
-        "redistribution and use in source and binary forms with or without modification are permitted provided that the "
-        "following conditions are met [[1]] redistributions of source code must retain the above copyright notice this "
-        "list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above "
-        "copyright notice this list of conditions and the following disclaimer in the documentation and or other "
-        "materials provided with the distribution",
-        1.0,
-    ),
-    Template(
-        "bsd-3-clause",
-        "neither the name of {1-12} nor the names of [[its]] {0-2} contributors may be used to endorse or promote "
-        "products derived from this software without specific prior written permission",
-        1.0,
-    ),
-    Template(
-        "apache-2.0",
-        "licensed under the apache license version 2 0 the license you may not use this {1-2} except in compliance with "
-        "the license you may obtain a copy of the license at",
-        1.0,
-    ),
-    Template(
-        "gpl",
-        "is free software you can redistribute it and or modify it under the terms of the gnu [[lesser]] [[affero]] general "
-        "public license as published by the free software foundation",
-        1.0,
+    Template("apache-2.0", "licensed under [[the terms of]] the apache license [[version]] 2 0", GRANT, grant=True),
+    *(Template(f"gpl-{n}.0", f"licensed under [[the terms of]] {_GNU} {n}", GRANT, grant=True) for n in (2, 3)),
+    *(
+        Template(
+            f"cc-{kind.replace(' ', '-')}-4.0",
+            f"licensed under [[the terms of]] [[a]] [[the]] [[creative commons]] cc {kind} 4 0",
+            GRANT,
+            grant=True,
+        )
+        for kind in _CC_GRANTS
     ),
-    Template(
-        "mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", 1.0
+    *(Template(label, name, NAMED) for label, name in _CC_NAMES),
+    Template("mit-opening", _MIT_GRANT, OPENING),
+    Template("bsd-opening", _BSD_GRANT, OPENING),
+    Template("isc-opening", _ISC_GRANT, OPENING),
+    Template("mit-text", f"{_MIT_GRANT} {_MIT_REST}", WHOLE),
+    Template("isc-text", f"{_ISC_GRANT} {_ISC_REST}", WHOLE),
+    Template("bsd-2-clause-text", f"{_BSD_GRANT} {_BSD_TWO} {_BSD_REST}", WHOLE),
+    Template("bsd-3-clause-text", f"{_BSD_GRANT} {_BSD_TWO} {_BSD_THREE} {_BSD_REST}", WHOLE),
+    Template("apache-2.0-notice", _APACHE_NOTICE, WHOLE),
+    *(
+        Template(f"{label}-notice", _GPL_NOTICE.replace("{kind}", kind).replace("{version}", version), WHOLE)
+        for label, kind, version in _GPL_KINDS
     ),
-    Template("unlicense", "this is free and unencumbered software released into the public domain", 1.0),
+    Template("mpl-2.0-notice", _MPL_NOTICE, WHOLE),
+    Template("unlicense-text", _UNLICENSE, WHOLE),
 )
 
+#: Words that deny a grant, and how many words before it they may stand.
+DENIALS = (b"not", b"never")
+DENIED_BEFORE = 3
+
 _MARKUP = re.compile(r"\[\[|\]\]|\{(\d+)-(\d+)\}|[^\s\[\]{}]+")
 
 
@@ -191,7 +254,7 @@ class Automaton:
         return self.known[key]
 
     def matches(self, words: list[bytes]) -> list[tuple[int, int, int]]:
-        """(template, start, end) of every accepted run of words, the shortest for each start."""
+        """(template, start, end) of every accepted run of words, the shortest for each start; no denied grants."""
         found = []
         first = self.first_words
         known = self.words
@@ -202,7 +265,11 @@ class Automaton:
                 at += 1
                 for number in {self.accepts[s] for s in states if s in self.accepts} - seen:
                     seen.add(number)
-                    found.append((number, start, at))
+                    denied = self.templates[number].grant and not set(DENIALS).isdisjoint(
+                        words[max(start - DENIED_BEFORE, 0) : start]
+                    )
+                    if not denied:
+                        found.append((number, start, at))
         return found
 
 
@@ -227,7 +294,8 @@ def scan_licenses(
 
     ``n_base``, ``first_word``, ``last_word`` and ``base_labels`` tell of base
     phrases alone, all places; ``labels`` of all templates.  The score is the
-    largest weight found, 0 for none.  Null text counts as empty.  Texts are scanned whole, at any length.
+    largest weight found, 0 for none.  A whole text has its label only if all its mandatory words stand; with
+    a changed or limited grant no more than its opening is found.  Null text counts as empty.  Texts are scanned whole, at any length.
     """
     carried = docs.select(row_of(docs, keep or docs.columns), F.col(quoted(text_column)).alias("text"))
 
@@ -284,16 +352,21 @@ def license_sql(templates: tuple[Template, ...] = TEMPLATES) -> str:
         for t in plain
     )
     hits = ", ".join(
-        f"CASE WHEN regexp_matches(joined, ' {_pattern(parsed(t.text))}') THEN {{'label': '{t.label}', 'weight': {t.weight}::DOUBLE}} END"
+        f"CASE WHEN regexp_matches({'granted' if t.grant else 'joined'}, ' {_pattern(parsed(t.text))}') THEN {{'label': '{t.label}', 'weight': {t.weight}::DOUBLE}} END"
         for t in templates
     )
+    verbs = "|".join(sorted({t.text.split()[0] for t in templates if t.grant}))
+    denials = "|".join(w.decode() for w in DENIALS)
     return rf"""
 WITH split AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents),
-counted AS (SELECT doc_id, w, len(w) AS n_words, ' ' || array_to_string(w, ' ') || ' ' AS joined FROM split),
+joint AS (SELECT doc_id, w, len(w) AS n_words, ' ' || array_to_string(w, ' ') || ' ' AS joined FROM split),
+counted AS (
+  SELECT *, regexp_replace(joined, ' (?:{denials}) (?:[^ ]+ ){{0,{DENIED_BEFORE - 1}}}(?:{verbs}) under', ' denied', 'g') AS granted
+  FROM joint),
 found AS (
   SELECT doc_id, n_words, {places} AS base, list_filter([{hits}], lambda h: h IS NOT NULL) AS hit FROM counted)
 SELECT doc_id, n_words::BIGINT AS n_words, len(base)::BIGINT AS n_base,
