@@ -23,6 +23,7 @@ from rookery.bindings.views import (
 from rookery.functions import games, paths
 from rookery.operators import archive as ops
 from rookery.operators import keys, quality
+from rookery.plans.compaction import compact, partition_files
 from rookery.plans.load import GameTables, load_documents
 from rookery.plans.weekly import create_weekly_openings, refresh_weekly_openings
 from rookery.session import scratch_path
@@ -31,6 +32,7 @@ from rookery.sources import tables
 from rookery.sources.objects import write_objects
 
 OBJECT_PERIOD = "2024/11"
+APPENDS = 20
 
 
 def _exploded(spark, sf_dir, keep_empty=False):
@@ -157,6 +159,30 @@ def append_table_roundtrip(spark, sf_dir):
     return flat_games(_kept(spark, target))
 
 
+def compact_table(spark, sf_dir):
+    """Games appended in twenty parts, so that a day has many files; compacted twice; files left, and whether all is there."""
+    target = _target(spark, "compact")
+    rows = keys.keep_first(_games(spark, sf_dir), "game_id", ["endpoint", "part", "pos"])
+    rows = tables.stage(rows.select(*schemas.GAMES.fieldNames()), "games")
+    for part in range(APPENDS):
+        tables.append(rows.where(F.pmod("game_id", F.lit(APPENDS)) == part), target.games, "game_date")
+    first = compact(spark, target.games, "game_date")
+    again = compact(spark, target.games, "game_date")
+    files = partition_files(spark, target.games, "game_date").select("game_date", "files")
+    counts = tables.current(spark, target.games).groupBy("game_date").agg(
+        F.count(F.lit(1)).alias("games"), F.sum("game_id").alias("ids")
+    )
+    left = again.agg(F.count(F.lit(1)).alias("left_crowded"))
+    crowded = first.select("game_date", (F.col("files") > 1).alias("was_crowded"))
+    result = counts.join(files, "game_date").join(crowded, "game_date", "left")
+    result = result.withColumns(
+        {"was_crowded": F.coalesce("was_crowded", F.lit(False)), "left_crowded": left.select("left_crowded").scalar()}
+    )
+    result = tables.stage(result, "result")
+    spark.sql(f"DROP DATABASE {target.games.split('.')[0]} CASCADE")
+    return result
+
+
 def _target(spark, label):
     database = f"rookery_{label}_{uuid.uuid4().hex}"
     return GameTables.create(spark, database, scratch_path(spark, label))
@@ -238,6 +264,7 @@ QUERIES = {
     "land_response_metadata": land_response_metadata,
     "archive_objects": archive_objects,
     "append_table_roundtrip": append_table_roundtrip,
+    "compact_table": compact_table,
     "incremental_load": incremental_load,
     "load_rejects": load_rejects,
     "weekly_refresh": weekly_refresh,
@@ -291,6 +318,9 @@ WHERE period NOT LIKE '%/11'""",
     + f"""SELECT endpoint, CAST(pos AS INTEGER) AS pos, url FROM v_copies
 WHERE endpoint = 'player/' || white_username || '/games/' || period AND period = '{OBJECT_PERIOD}'
 QUALIFY part = min(part) OVER (PARTITION BY endpoint)""",
+    "compact_table": _ARCHIVE
+    + f"""SELECT game_date, count(*) AS games, sum(game_id)::BIGINT AS ids, 1 AS files,
+  count(DISTINCT game_id % {APPENDS}) > 1 AS was_crowded, 0 AS left_crowded FROM v_games GROUP BY game_date""",
     "append_table_roundtrip": _ARCHIVE + f"SELECT {GAME_COLUMNS_SQL} FROM v_games",
     "incremental_load": _ARCHIVE + f"SELECT {GAME_COLUMNS_SQL} FROM v_games",
     "load_rejects": _ARCHIVE

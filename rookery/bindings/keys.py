@@ -28,7 +28,8 @@ from rookery.operators import keys as ops
 from rookery.plans.ingest import RequestTables, ingest_window, record_outcomes, store_requests
 from rookery.plans.ingest import plan_requests as plan
 from rookery.session import scratch_path
-from rookery.sources.archive import write_leaderboards
+from rookery.sources.archive import append_leaderboards, write_leaderboards
+from rookery.sources.objects import list_objects, write_objects
 from rookery.sources.tables import stage
 
 TEST_VOLUME = 25
@@ -159,11 +160,31 @@ def batch_counts(spark, sf_dir):
     return ops.batch_counts(_archive_ids(spark, sf_dir), _loaded_ids(spark, sf_dir))
 
 
+def leaderboard_snapshots(spark, sf_dir):
+    """Two dated snapshots, of which the first lacks a segment: players, and those the second brought."""
+    location = scratch_path(spark, "snapshots")
+    every = boards(spark, sf_dir)
+    append_leaderboards(every.where("NOT contains(body, 'MACHINERY')"), location, RUN_TIME)
+    append_leaderboards(every, location, RUN_TIME + dt.timedelta(days=31))
+    return archive.snapshot_players(spark.read.parquet(location))
+
+
+def plan_from_storage(spark, sf_dir):
+    """Requests of a year that no stored object answers: objects of all periods are listed from storage."""
+    root = scratch_path(spark, "stored")
+    stored = landed(spark, sf_dir).where("endpoint LIKE '%/1997/0%'").distinct()
+    write_objects(stored.select("endpoint", F.lit("{}").alias("body")), root)
+    listed = list_objects(spark, root).select(F.col("path").alias("endpoint"))
+    return plan(boards(spark, sf_dir), dt.date(1997, 1, 1), dt.date(1997, 12, 1), BASE_URL, landed=listed)
+
+
 def plan_requests(spark, sf_dir):
     return plan(boards(spark, sf_dir), GRID_START, GRID_END, BASE_URL, landed=landed(spark, sf_dir))
 
 
 QUERIES = {
+    "leaderboard_snapshots": leaderboard_snapshots,
+    "plan_from_storage": plan_from_storage,
     "endpoint_listing": endpoint_listing,
     "leaderboard_players": leaderboard_players,
     "endpoint_parts": endpoint_parts,
@@ -189,6 +210,12 @@ _LOADED = """v_loaded AS (
 )"""
 
 ORACLE = {
+    "leaderboard_snapshots": """SELECT DATE '2025-01-20' AS snapshot_date, lower(c_name) AS player, true AS is_new
+FROM customer WHERE c_mktsegment <> 'MACHINERY'
+UNION ALL SELECT DATE '2025-02-20', lower(c_name), c_mktsegment = 'MACHINERY' FROM customer""",
+    "plan_from_storage": with_cte(V_GRID)
+    + """SELECT player, period, endpoint, 'https://x/pub/' || endpoint AS url FROM v_grid
+WHERE period BETWEEN '1997/01' AND '1997/12' AND NOT (period < '1997/10' AND endpoint IN (SELECT endpoint FROM v_landed))""",
     "endpoint_listing": with_cte(V_GRID)
     + "SELECT DISTINCT endpoint FROM v_landed WHERE endpoint LIKE '%1997/04' ORDER BY endpoint",
     "leaderboard_players": "SELECT DISTINCT lower(c_name) AS player FROM customer",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -135,7 +135,28 @@ def leaderboard_players(boards: DataFrame, body: str = "body") -> DataFrame:
 
     Values that are not lists of users, such as a fetch time, hold no players.
     """
+    return _board_players(boards, body).distinct()
+
+
+def snapshot_players(boards: DataFrame, body: str = "body") -> DataFrame:
+    """Players of each dated snapshot, and whether the snapshot before had them (A3, A4).
+
+    The first snapshot's players are all new.  Snapshots are few, so each is known to the others by its date alone.
+    """
+    players = _board_players(boards, body, "snapshot_date").distinct()
+    dates = players.select("snapshot_date").distinct()
+    before = dates.select(
+        "snapshot_date", F.lag("snapshot_date").over(Window.orderBy("snapshot_date")).alias("earlier")
+    ).where("earlier IS NOT NULL")
+    # What a snapshot holds is not new in the one that follows.
+    known = players.join(before.select("earlier", F.col("snapshot_date").alias("later")), F.col("snapshot_date") == F.col("earlier"))
+    known = known.select(F.col("later").alias("snapshot_date"), "player", F.lit(False).alias("fresh"))
+    found = players.join(known, ["snapshot_date", "player"], "left")
+    return found.select("snapshot_date", "player", F.coalesce("fresh", F.lit(True)).alias("is_new"))
+
+
+def _board_players(boards: DataFrame, body: str, *keep: str) -> DataFrame:
     # Outer, as in explode_games, so that no text is parsed twice.
-    formats = boards.select(F.explode_outer(F.from_json(body, "map<string,string>")).alias("format", "users"))
-    users = formats.select(F.explode_outer(F.from_json("users", schemas.LEADERBOARD_USERS)).alias("user"))
-    return users.select(F.lower("user.username").alias("player")).where("player IS NOT NULL").distinct()
+    formats = boards.select(*keep, F.explode_outer(F.from_json(body, "map<string,string>")).alias("format", "users"))
+    users = formats.select(*keep, F.explode_outer(F.from_json("users", schemas.LEADERBOARD_USERS)).alias("user"))
+    return users.select(*keep, F.lower("user.username").alias("player")).where("player IS NOT NULL")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rookery import schemas
 from rookery.functions import paths
+from rookery.functions.periods import run_window
 from rookery.operators import archive, keys, quality
 from rookery.sources import archive as objects
 from rookery.sources import tables
@@ -270,3 +271,23 @@ def load_month(
         chosen = keys.select_endpoints(todo.select(F.col("path").alias("endpoint")), mode, test_volume)
         todo = todo.join(chosen.select(F.col("endpoint").alias("path")), "path", "left_semi")
     return _load(read_listed(todo, root), target, run_time, mode == "PROD", strict)
+
+
+def run_period(spark: SparkSession, as_of: dt.date, mode: str, start: dt.date | None = None) -> str:
+    """Period a run loads: that of the month before ``as_of`` in ``PROD``, else that of ``start``."""
+    day = F.lit(start) if start else None
+    return spark.range(1).select(run_window(F.lit(as_of), mode, day, day)["period"]).first()[0]
+
+
+def load_run(
+    spark: SparkSession,
+    root: str,
+    as_of: dt.date,
+    target: GameTables,
+    run_time: dt.datetime,
+    mode: str = "PROD",
+    start: dt.date | None = None,
+    **options: object,
+) -> LoadResult:
+    """:func:`load_month` of the period that the mode and the day of the run give."""
+    return load_month(spark, root, run_period(spark, as_of, mode, start), target, run_time, mode, **options)

@@ -29,6 +29,4 @@ def refresh_weekly_openings(
     days = touched.sparkSession.createDataFrame([(w,) for w in weeks], "week date")
     listed = [r[0] for r in days.select(F.explode(F.sequence("week", F.date_add("week", 6)))).collect()]
     counts = build_weekly_openings(games.where(F.col("game_date").isin(listed)), archetypes)
-    columns = [c for c in schemas.WEEKLY_OPENINGS.fieldNames() if c != "week_start"]
-    rows = counts.select(*columns, "week_start").hint("rebalance", "week_start")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(name)
+    tables.replace_partitions(counts.hint("rebalance", "week_start"), name)

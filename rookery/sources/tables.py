@@ -100,6 +100,23 @@ def append(rows: DataFrame, table: str, partition_column: str | None = None) ->
     writer.saveAsTable(table)
 
 
+def replace_partitions(rows: DataFrame, table: str) -> None:
+    """Put rows in place of the partitions that occur in them; all other partitions stay.
+
+    The mode is a setting of the session: an option of the writer is not heard when a catalog table is written to,
+    and the whole table would be replaced.
+    """
+    spark = rows.sparkSession
+    setting = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "dynamic")
+    try:
+        rows.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(setting, before)
+    spark.catalog.refreshTable(table)
+
+
 def export_csv(rows: DataFrame, location: str) -> None:
     """Write rows as CSV files with a header (A9); times keep their microseconds."""
     rows.write.mode("overwrite").option("header", True).options(**CSV_TIMES).csv(location)

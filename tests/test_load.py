@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 from rookery import schemas, session
 from rookery.bindings import streams, views
 from rookery.operators import archive, quality
-from rookery.plans.load import GameTables, load_documents, load_month, new_games, on_days
+from rookery.plans.load import GameTables, load_documents, load_month, load_run, new_games, on_days, run_period
 from rookery.sources import archive as source
 from rookery.sources import tables
 from rookery.streaming.load import start_load, start_unique_games
@@ -467,3 +467,13 @@ def test_repeated_rejects_compare_hashes(spark, database):
     again = BAD | {"player/d/games/2024/10": BAD["player/c/games/2024/10"]}
     load_documents(documents(spark, again), database, T2, strict=False)
     assert tables.current(spark, database.rejects).count() == 4
+
+
+def test_run_loads_the_period_of_its_mode(spark, root, database):
+    assert run_period(spark, dt.date(2024, 11, 20), "PROD") == "2024/10"
+    assert run_period(spark, dt.date(2024, 11, 20), "TEST", dt.date(2024, 3, 5)) == "2024/03"
+    result = load_run(spark, str(root), dt.date(2024, 11, 4), database, T1)
+    assert sorted(games_of(spark, database)) == [101, 102, 103] and result.counts.kept == 3
+    test = load_run(spark, str(root), dt.date(2025, 1, 1), database, T1, mode="TEST", start=dt.date(2024, 11, 1), test_volume=5)
+    assert [r.game_id for r in test.games.collect()] == [104]
+    assert len(games_of(spark, database)) == 3

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 import statistics
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 from rookery import schemas
 from rookery.operators import openings as ops
 from rookery.plans.reports import opening_report
+from rookery.session import scratch_path
+from rookery.sources import tables
 
 W1, W2 = dt.date(2025, 1, 6), dt.date(2025, 1, 13)
 ROWS = [
@@ -216,3 +219,19 @@ def test_report_reads_its_base_once(spark, weekly):
             assert "opening-report" in plan and ("Expand" in plan) == (name == "hierarchy")
         assert {r.value for r in report["dimensions"].where("dimension = 'time_class'").collect()} == {"all", "blitz", "rapid"}
         assert sorted(report["heat_map"].columns) == ["blitz", "opening_archetype", "rapid"]
+
+
+def test_refresh_keeps_the_weeks_a_load_does_not_touch(spark):
+    from rookery.plans.weekly import create_weekly_openings, refresh_weekly_openings
+
+    name = f"t_{uuid.uuid4().hex}"
+    tables.ensure_database(spark, name, scratch_path(spark, name))
+    create_weekly_openings(spark, f"{name}.weekly")
+    schema = "game_date date, time_class string, opening string, white struct<result string>, black struct<result string>"
+    first = [(W1 + dt.timedelta(days=i), "blitz", "A", ("win",), ("x",)) for i in range(14)]
+    later = [(W1 + dt.timedelta(days=20), "blitz", "A", ("x",), ("win",))]
+    refresh_weekly_openings(spark.createDataFrame(first, schema), spark.createDataFrame(first, schema), f"{name}.weekly")
+    refresh_weekly_openings(spark.createDataFrame(first + later, schema), spark.createDataFrame(later, schema), f"{name}.weekly")
+    weeks = {r.week_start: r.total_games for r in tables.current(spark, f"{name}.weekly").collect()}
+    assert weeks == {W1: 7, W1 + dt.timedelta(days=7): 7, W1 + dt.timedelta(days=14): 1}
+    spark.sql(f"DROP DATABASE {name} CASCADE")
