@@ -10,6 +10,7 @@ the rest (Cauchy-Schwarz), and only what can still reach the score is multiplied
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,6 +28,8 @@ QUERY_NUMBERS = 1 << 16
 STEP_ROWS = 512
 #: Block lengths that come to the driver to tell which blocks a query needs.
 LENGTH_MARKS = 256
+#: Query blocks whose scores to beat a task remembers, 8 KB each.
+REMEMBERED = 256
 #: Share of the rotated coordinates in the partial sum.
 LEADING = 0.25
 
@@ -170,6 +173,33 @@ def block_top(
     return best_q, best_c, best_s, beat
 
 
+def search_blocks(batches: Iterable[pa.RecordBatch], dims: int, axes: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """Results of query blocks against candidate blocks, one pair a row.
+
+    The scores that a query block has reached are carried along to the candidate blocks that follow in the
+    task, and queries too short to reach theirs with a block's length are not multiplied with it.
+    """
+    beats: OrderedDict[int, np.ndarray] = OrderedDict()
+    names = [c.split()[0] for c in RESULT.split(", ")]
+    for batch in batches:
+        for place in range(batch.num_rows):
+            (row,) = batch.slice(place, 1).to_pylist()
+            queries = _unpacked(row["q_n"], dims, row["q_data"])
+            beat = beats.pop(row["q_block"], None)
+            beat = np.frombuffer(row["beat"], np.int64).copy() if beat is None else beat
+            size = np.sqrt((queries[2].astype(float) ** 2).sum(1))
+            reach = size * row["length"] * (1 + 1e-9) + 1e-6 >= beat
+            if reach.any():
+                asking = tuple(part[reach] for part in queries)
+                candidates = _unpacked(row["n"], dims, row["data"])
+                at_q, at_c, score, beat[reach] = block_top(asking, candidates, axes, k, beat[reach])
+                columns = (asking[0][at_q], asking[1][at_q], candidates[1][at_c], score)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
+            beats[row["q_block"]] = beat
+            if len(beats) > REMEMBERED:
+                beats.popitem(last=False)
+
+
 def top_inner_products(
     vectors: DataFrame,
     query: Column,
@@ -219,16 +249,6 @@ def top_inner_products(
             names = ["q_block", "q_n", "q_data", "beat", "needed", "uids", "ids", "found", "scores"]
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds)], names)
 
-    def later(batch: pa.RecordBatch) -> Iterable[pa.RecordBatch]:
-        for place in range(batch.num_rows):
-            (row,) = batch.slice(place, 1).to_pylist()
-            q = _unpacked(row["q_n"], dims, row["q_data"])
-            c = _unpacked(row["n"], dims, row["data"])
-            at_q, at_c, score, _ = block_top(q, c, axes, k, np.frombuffer(row["beat"], np.int64))
-            columns = (q[0][at_q], q[1][at_q], c[1][at_c], score)
-            names = [c.split()[0] for c in RESULT.split(", ")]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names)
-
     seeded = staged(
         map_batches(
             queries,
@@ -239,12 +259,12 @@ def top_inner_products(
         "seeded-queries",
     )
     wanted = seeded.filter("needed > 1").select(
-        "q_n", "q_data", "beat", F.explode(F.sequence(F.lit(1), F.col("needed") - 1)).alias("_block")
+        "q_block", "q_n", "q_data", "beat", F.explode(F.sequence(F.lit(1), F.col("needed") - 1)).alias("_block")
     )
     # Both sides grow with the vectors: never broadcast.
     met = wanted.hint("merge").join(candidates, F.col("_block") == F.col("block"))
-    met = met.select("q_n", "q_data", "beat", "n", "data")
-    found = map_batches(met, later, RESULT)
+    met = met.select("q_block", "q_n", "q_data", "beat", "length", "n", "data")
+    found = met.mapInArrow(lambda batches: search_blocks(batches, dims, axes, k), RESULT)
     start = seeded.select(F.explode(F.arrays_zip("uids", "ids", "found", "scores")).alias("z")).select(
         F.col("z.uids").alias("query_uid"),
         F.col("z.ids").alias("query_id"),

@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +68,40 @@ def test_short_blocks_are_not_sent(spark, monkeypatch):
     assert sorted(map(tuple, topk.top_inner_products(frame, F.col("vec_id") == 0).collect())) == [
         r for r in plain(rows, 5) if r[0] == 0
     ]
+
+
+def test_scores_are_carried_from_block_to_block(monkeypatch):
+    rng = np.random.default_rng(3)
+    dims, k = 6, 2
+    queries = rng.integers(-50, 50, (8, dims))
+    blocks = [(rng.normal(size=(30, dims)) * scale).astype(np.int64) for scale in (400, 300, 60, 5, 1, 1)]
+
+    def packed(uids, values):
+        return uids.astype(np.int64).tobytes() * 2 + values.astype(np.int64).tobytes()
+
+    start, rows = 100, []
+    for block in blocks:
+        rows.append(
+            {
+                "q_block": 0, "q_n": len(queries), "q_data": packed(np.arange(8), queries),
+                "beat": np.full(8, np.iinfo(np.int64).min).tobytes(),
+                "length": float(np.sqrt((block.astype(float) ** 2).sum(1)).max()), "n": 30,
+                "data": packed(np.arange(start, start + 30), block),
+            }
+        )
+        start += 30
+    kinds = pa.schema(
+        [("q_block", pa.int64()), ("q_n", pa.int32()), ("q_data", pa.binary()), ("beat", pa.binary()),
+         ("length", pa.float64()), ("n", pa.int32()), ("data", pa.binary())]
+    )
+    met = []
+    top = topk.block_top
+    monkeypatch.setattr(topk, "block_top", lambda q, c, *rest: met.append(len(q[0])) or top(q, c, *rest))
+    batches = [pa.RecordBatch.from_pylist([row], kinds) for row in rows]
+    found = pa.Table.from_batches(list(topk.search_blocks(batches, dims, np.eye(dims), k))).to_pylist()
+    # The short blocks can't reach what the long ones gave.
+    assert met[0] == 8 and sum(met) < 8 * 4 and len(met) < len(blocks)
+    everything = np.concatenate(blocks)
+    for uid, query in enumerate(queries):
+        best = sorted((r["score"] for r in found if r["query_uid"] == uid), reverse=True)[:k]
+        assert best == sorted((everything @ query).tolist(), reverse=True)[:k]
