@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable, Sequence
+from collections.abc import Callable, Hashable, Iterable, Sequence
 
 import numpy as np
 
@@ -31,10 +31,29 @@ class DistinctTable:
             return np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), np.int32)
         except KeyError:
             pass
+        new = self._learn(set(chunks).difference(self.known))
+        get, recent = self.known.get, self.recent
+        return np.frombuffer(
+            b"".join([v if (v := get(c)) is not None else v if (v := recent.get(c)) is not None else new[c] for c in chunks]),
+            np.int32,
+        )
+
+    def of_distinct(self, chunks: Sequence[Hashable]) -> list[bytes]:
+        """Packed ids of each chunk, where no chunk comes twice."""
+        found = list(map(self.known.get, chunks))
+        unknown = [c for c, v in zip(chunks, found) if v is None]
+        if not unknown:
+            return found
+        new = self._learn(unknown)
+        recent = self.recent
+        return [v if v is not None else new[c] if c in new else recent[c] for c, v in zip(chunks, found)]
+
+    def _learn(self, unknown: Iterable[Hashable]) -> dict[Hashable, bytes]:
+        """Encode distinct chunks outside ``known`` that the smaller table does not hold, and remember them."""
         if len(self.recent) > self.most // 4 or self.recent_bytes > LIMIT // 4:
             self.recent, self.recent_bytes = {}, 0
         recent = self.recent
-        missing = [c for c in set(chunks).difference(self.known) if c not in recent]
+        missing = [c for c in unknown if c not in recent]
         new = dict(zip(missing, self.encode(missing)))
         kept = {c: v for c, v in new.items() if len(c) <= CHUNK} if max(map(len, missing), default=0) > CHUNK else new
         held = sum(map(len, kept)) * 4 + sum(map(len, kept.values()))
@@ -44,11 +63,7 @@ class DistinctTable:
         else:
             recent.update(kept)
             self.recent_bytes += held
-        get = self.known.get
-        return np.frombuffer(
-            b"".join([v if (v := get(c)) is not None else v if (v := recent.get(c)) is not None else new[c] for c in chunks]),
-            np.int32,
-        )
+        return new
 
 
 def packed(ids: Sequence[int]) -> bytes:

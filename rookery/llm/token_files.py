@@ -15,9 +15,11 @@ import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,8 +40,9 @@ WRITE_OPTIONS = {
     "parquet.dictionary.page.size": str(1 << 20),
 }
 SCHEMA = "doc_id long, part int, row long, n_tokens long, ids array<int>"
-#: Distinct words a worker remembers.
+#: Distinct words a worker remembers; of plain words, letters in lower case and marks apart.
 TABLE_WORDS = 800_000
+#: Rows handed on at once.
 ROWS = 500
 
 
@@ -52,7 +55,16 @@ def _byte_symbols() -> dict[int, str]:
 
 # Letters whose lower case is one letter and which no normalization changes, then marks that split off as one run.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131\u0134-\u0148\u014a-\u017e"
-_PLAIN = re.compile(rf"[{_LETTERS}]+[.,;:!?#$%&*|-]*")
+_MARKS = ".,;:!?#$%&*|-"
+_PLAIN = re.compile(rf"[{_LETTERS}]+[{_MARKS}]*")
+_NOTHING = pa.scalar(b"", pa.large_binary())
+
+
+def _parted(words: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Letters of plain words in lower case, and the marks behind them; other words whole, and nothing."""
+    parts = pc.extract_regex(words, f"^(?P<letters>[{_LETTERS}]+)(?P<marks>[{_MARKS}]*)$")
+    letters, marks = pc.struct_field(parts, "letters"), pc.struct_field(parts, "marks")
+    return pc.coalesce(pc.utf8_lower(letters), words), pc.fill_null(marks, "")
 
 
 class WordCodec:
@@ -61,7 +73,8 @@ class WordCodec:
     Only for tokenizers whose tokens never contain or depend on ASCII white
     space (``splits_words`` tests it); others encode whole texts.  Words of
     plain letters, with or without marks behind, go to the vocabulary's merges
-    at once if that gives the ids of the whole pipeline (``plain_words`` tests it).
+    at once if that gives the ids of the whole pipeline (``plain_words`` tests it);
+    their letters and their marks are remembered apart, whatever the case.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -89,14 +102,18 @@ class WordCodec:
     def plain_words(self) -> bool:
         """Whether plain words can go to the merges at once: tested on every letter and mark that they may hold."""
         letters = re.findall(f"[{_LETTERS}]", "".join(map(chr, range(0x180))))
-        words = [f"{a}{b}{m}" for a, b, m in zip(letters, letters[7:] + letters[:7], ".,;:!?#$%&*|-" * 40)]
+        words = [f"{a}{b}{m}" for a, b, m in zip(letters, letters[7:] + letters[:7], _MARKS * 40)]
         words += [w + m for w in ("The", "nation", "\u00c9t\u00e9", "stra\u00dfe") for m in ("", ".", "...", "?!", "###", "-|")]
-        return all(self._plain_ids(w) == self.whole(w) for w in words)
+        heads, tails = _parted(pa.array(words))
+        parts = [*zip(words, heads.to_pylist(), tails.to_pylist())]
+        if any(head != word.lower().rstrip(_MARKS) for word, head, _ in parts):
+            return False
+        return all(self._plain_ids(w) == self.whole(w) == self.whole(head) + self.whole(tail) for w, head, tail in parts)
 
     def _plain_ids(self, word: str) -> list[int]:
         ids: list[int] = []
         lowered = word.lower()
-        letters = lowered.rstrip(".,;:!?#$%&*|-")
+        letters = lowered.rstrip(_MARKS)
         for part in (letters, lowered[len(letters) :]):
             if part:
                 written = part if part.isascii() else "".join(map(self.symbols.__getitem__, part.encode()))
@@ -115,11 +132,31 @@ class WordCodec:
         found.update((w, packed(e.ids)) for w, e in zip(others, encoded))
         return [found[w] for w in words]
 
+    def _packed_ids(self, words: pa.Array) -> pa.Array:
+        """Packed ids of all words, each distinct one looked up once."""
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        return pa.array(self.table.of_distinct(distinct), pa.large_binary()).take(coded.indices)
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in order, and how many each text has; null counts as empty."""
+        if not self.by_word:
+            ids = [self.whole(data.decode()) for data in utf8(texts)]
+            return np.fromiter(chain.from_iterable(ids), np.int32), np.array([len(i) for i in ids], np.int64)
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        coded = words.flatten().dictionary_encode()
+        if self.plain:
+            packed_ids = pc.binary_join_element_wise(*map(self._packed_ids, _parted(coded.dictionary)), _NOTHING)
+        else:
+            packed_ids = self._packed_ids(coded.dictionary)
+        found = packed_ids.take(coded.indices)
+        ends = np.append(0, np.cumsum(pc.binary_length(found).to_numpy() // 4))
+        at = np.append(0, np.cumsum(words.value_lengths().to_numpy()))
+        return np.frombuffer(found.buffers()[2] or b"", np.int32, ends[-1]), np.diff(ends[at])
+
     def encode(self, data: bytes) -> np.ndarray:
         """Ids of a UTF-8 text."""
-        if not self.by_word:
-            return np.array(self.whole(data.decode()), np.int32)
-        return self.table.ids(data.split())
+        return self.encode_all(pa.array([data.decode()]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -142,14 +179,15 @@ def write_tokens(
         for whole in batches:
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
-                ids = [np.append(codec.encode(data), np.int32(end_id)) for data in utf8(batch.column(1))]
-                n = batch.num_rows
+                ids, sizes = codec.encode_all(batch.column(1))
+                n, ends = batch.num_rows, np.cumsum(sizes)
+                lists = np.append(0, ends + np.arange(1, n + 1)).astype(np.int32)
                 columns = [
                     batch.column(0),
                     pa.array(np.full(n, part, np.int32)),
                     pa.array(np.arange(row, row + n)),
-                    pa.array([len(i) for i in ids], pa.int64()),
-                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.array(sizes + 1),
+                    pa.ListArray.from_arrays(lists, np.insert(ids, ends, np.int32(end_id))),
                 ]
                 row += n
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "part", "row", "n_tokens", "ids"])

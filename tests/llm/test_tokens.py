@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -146,3 +147,36 @@ def test_long_words_without_spaces(spark):
     codec = pieces.ChunkCodec(model)
     codec.encode(text)
     assert not codec.table.known and not codec.table.recent
+
+
+def test_words_that_differ_in_case_and_marks_are_encoded_once():
+    codec, calls = token_files.WordCodec(WORD_FILE), []
+    encode = codec.table.encode
+    codec.table.encode = lambda words: calls.extend(words) or encode(words)
+    for text in ("Nation, nation NATION... nation", "", "Été. été nation?! it's 3rd,", " nation,\n"):
+        assert codec.encode(text.encode()).tolist() == codec.whole(text)
+    assert sorted(w.decode() for w in calls if w) == sorted(["nation", "été", ",", ".", "...", "?!", "it's", "3rd,"])
+
+
+def test_nulls_slices_and_no_texts():
+    codec, texts = token_files.WordCodec(WORD_FILE), [None, "Nation, a", "", " nation,\n", None]
+    ids, sizes = codec.encode_all(pa.array(["left out", *texts, "left out"]).slice(1, len(texts)))
+    want = [codec.whole(t or "") for t in texts]
+    assert ids.tolist() == [i for w in want for i in w] and sizes.tolist() == [len(w) for w in want]
+    for none in (pa.array([], pa.string()), pa.array([None, " "])):
+        ids, sizes = codec.encode_all(none)
+        assert ids.tolist() == [] and sizes.tolist() == [0] * len(none)
+
+
+def test_texts_of_a_batch_equal_the_library(monkeypatch):
+    texts = pa.array(mixed_texts() * 2)
+    whole = token_files.WordCodec(WORD_FILE)
+    want = [whole.whole(t or "") for t in texts.to_pylist()]
+    for most, plain, by_word in ((5, True, True), (10**6, True, True), (50, False, True), (5, False, False)):
+        monkeypatch.setattr(token_files, "TABLE_WORDS", most)
+        codec = token_files.WordCodec(WORD_FILE)
+        codec.plain, codec.by_word = plain, by_word
+        for values in (texts, texts.cast(pa.large_string())):
+            ids, sizes = codec.encode_all(values)
+            assert sizes.tolist() == [len(w) for w in want]
+            assert ids.dtype == np.int32 and ids.tolist() == [i for w in want for i in w]
