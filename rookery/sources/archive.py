@@ -1,7 +1,7 @@
 """Archive objects and the landing table of responses.
 
 Two layouts hold the same documents.  *Objects*: one JSON document per
-``player/<p>/games/<YYYY>/<MM>`` path.  *Landing table*: one row per response,
+``player/<p>/games/<YYYY>/<MM>`` path, in files of their own or in bundles.  *Landing table*: one row per response,
 partitioned by period, in files of a size that suits a large cluster.
 """
 
